@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 NULL_KEY_MARKER = "_dbt_utils_surrogate_key_null_"
 
 MONEY = T.DecimalType(18, 2)
+MONEY_TOTAL = T.DecimalType(28, 2)
 
 
 def _col(c) -> Column:
@@ -90,6 +91,11 @@ def mean(c) -> Column:
     return F.sum(_col(c)).cast("double") / F.nullif(F.count(_col(c)), F.lit(0)).cast("double")
 
 
+def money_mean(c) -> Column:
+    """Mean of two-decimal amounts held as double, again independent of the order of the rows."""
+    return mean(_col(c).cast(MONEY_TOTAL))
+
+
 def pct(part, whole, digits: int = 2) -> Column:
     """Share in percent, rounded; NULL when ``whole`` is 0."""
     return F.round(safe_divide(_col(part).cast("double") * 100, _col(whole).cast("double")), digits)

@@ -1,6 +1,6 @@
 """Registered queries, each beside its equivalent SQL."""
 
-from clientele.plans import customer  # noqa: F401
+from clientele.plans import aggregates, customer  # noqa: F401
 from clientele.plans.catalog import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
