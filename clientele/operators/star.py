@@ -97,7 +97,8 @@ def before_after(facts: DataFrame, first_days: DataFrame, key: str, day: str) ->
 
 def upgrades(dim: DataFrame, card_type: str = "Premium") -> DataFrame:
     """Versions with ``card_type`` that started after the account was opened."""
+    names = [c for c in ("first_name", "last_name") if c in dim.columns]
     return dim.where((F.col("card_type") == card_type) & (F.col("valid_from") > F.col("account_open_date"))).select(
-        "customer_id", "first_name", "last_name", "card_type", F.col("valid_from").alias("upgrade_date"),
+        "customer_id", *names, "card_type", F.col("valid_from").alias("upgrade_date"),
         F.datediff("valid_from", "account_open_date").alias("days_to_upgrade"),
     )

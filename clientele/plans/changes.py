@@ -99,12 +99,11 @@ def scd_merge(spark, folder):
 
 
 @query("ca_upgrade", sql(
-    f"""with {SCD_SQL} select customer_id, email, card_type, valid_from as upgrade_date, {days('account_open_date', 'valid_from')} as days_to_upgrade from merged
+    f"""with {SCD_SQL} select customer_id, card_type, valid_from as upgrade_date, {days('account_open_date', 'valid_from')} as days_to_upgrade from merged
     where card_type = 'Premium' and valid_from > account_open_date order by upgrade_date desc, customer_id limit 100""", "cust"))
 def ca_upgrade(spark, folder):
     dim = scd.scd2_merge(_history(spark, folder), _snapshot(spark, folder), TRACKING, AS_OF)
-    found = star.upgrades(dim.withColumns({"first_name": F.col("email"), "last_name": F.lit("")})).drop("last_name")
-    return found.withColumnRenamed("first_name", "email").orderBy(F.desc("upgrade_date"), "customer_id").limit(100)
+    return star.upgrades(dim).orderBy(F.desc("upgrade_date"), "customer_id").limit(100)
 
 
 # ---- change capture ----
@@ -325,7 +324,6 @@ def sem_verified(spark, folder):
         F.count(F.lit(1)).alias("n"), F.sum(money).alias("ltv"), F.sum(F.col("spend_last_90_days").cast("decimal(28,2)")).alias("recent")
     )
     risky = (F.col("card_type") == "Premium") & F.col("churn_risk_category").isin("Medium Risk", "High Risk")
-    nothing = F.lit(None).cast("bigint")
     asked = F.array(
         F.struct(F.lit("customers in each segment").alias("question"), F.col("customer_segment").alias("label")),
         F.struct(F.lit("average lifetime value by segment").alias("question"), F.col("customer_segment").alias("label")),
