@@ -131,7 +131,7 @@ FEED_LAYOUT = (
     FixedField("country", 331, 24),
     FixedField("ceo_name", 355, 46),
     FixedField("description", 401, 150),
-    FixedField("year", 26, 4),
+    FixedField("year", 8, 4),
     FixedField("quarter", 30, 1),
     FixedField("qtr_start_date", 31, 8),
     FixedField("posting_date", 39, 8),
