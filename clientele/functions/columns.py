@@ -96,6 +96,11 @@ def money_mean(c) -> Column:
     return mean(_col(c).cast(MONEY_TOTAL))
 
 
+def stable_mean(c) -> Column:
+    """Mean of doubles that does not depend on the order of the rows: summed as decimals with ten digits."""
+    return mean(_col(c).cast(T.DecimalType(38, 10)))
+
+
 def pct(part, whole, digits: int = 2) -> Column:
     """Share in percent, rounded; NULL when ``whole`` is 0."""
     return F.round(safe_divide(_col(part).cast("double") * 100, _col(whole).cast("double")), digits)

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.columns import mean, money_mean, pct
+from clientele.functions.columns import mean, money_mean, pct, stable_mean
 from clientele.functions.dates import days_between, months_before, on
 from clientele.operators import customer as C
 from clientele.operators.suites import banded_status, passed, report
@@ -253,7 +253,7 @@ def class_means(data: DataFrame) -> DataFrame:
     """Feature means of churned and active customers."""
     kind = F.when(F.col("churned") == 1, "Churned").otherwise("Active").alias("customer_type")
     shown = ("age", "credit_limit", "avg_monthly_spend", "lifetime_value", "tenure_months", "days_since_last_transaction", "credit_utilization_pct")
-    return data.groupBy(kind).agg(F.count(F.lit(1)).alias("customers"), *[F.round(F.avg(f), 4).alias(f"avg_{f}") for f in shown])
+    return data.groupBy(kind).agg(F.count(F.lit(1)).alias("customers"), *[stable_mean(f).alias(f"avg_{f}") for f in shown])
 
 
 def churn_by_segment(data: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-AGGREGATIONS = {"sum": F.sum, "avg": F.avg, "count": F.count, "count_distinct": F.count_distinct, "min": F.min, "max": F.max}
+from clientele.functions.columns import stable_mean
+
+AGGREGATIONS = {"sum": F.sum, "avg": stable_mean, "count": F.count, "count_distinct": F.count_distinct, "min": F.min, "max": F.max}
 
 
 @dataclass(frozen=True)

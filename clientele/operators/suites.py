@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.columns import mean, pct
+from clientele.functions.columns import pct
 from clientele.functions.dates import months_between_boundaries
 from clientele.operators.windows import share_of_total
 

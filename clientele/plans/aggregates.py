@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from clientele.functions.columns import flag_count, mean, money_mean
+from clientele.functions.columns import flag_count, mean, money_mean, stable_mean
 from clientele.functions.dates import days_between, months_before, months_between_boundaries, on
 from clientele.operators import reports as R
 from clientele.operators.clean import category_attributes
@@ -15,8 +15,8 @@ from clientele.operators.windows import share_of_total
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
-from clientele.plans.oracle import avg, d, days, month_of, months, n, pct, rnd, sql
-from clientele.sources.roles import AS_OF, changes, customers, fact, table, transactions
+from clientele.plans.oracle import avg, d, days, month_of, months, n, pct, rnd, sql, stable
+from clientele.sources.roles import AS_OF, customers, fact, table, transactions
 
 # ---- verified queries over the profile ----
 
@@ -93,13 +93,13 @@ def vq_declining(spark, folder):
 
 @query("agg_card_perf", sql(
     f"""select card_type, {n('count(*)')} as customer_count, {avg('cast(lifetime_value as decimal(28,2))')} as avg_ltv,
-    round(avg(credit_utilization_pct), 4) as avg_utilization, {avg('total_transactions')} as avg_txn_count,
+    {stable('credit_utilization_pct')} as avg_utilization, {avg('total_transactions')} as avg_txn_count,
     {n("count(*) filter (where churn_risk_category = 'High Risk')")} as high_risk_count from profile group by 1""", "profile"))
 def agg_card_perf(spark, folder):
     return inputs.profile(spark, folder).groupBy("card_type").agg(
         F.count(F.lit(1)).alias("customer_count"),
         money_mean("lifetime_value").alias("avg_ltv"),
-        F.round(F.avg("credit_utilization_pct"), 4).alias("avg_utilization"),
+        stable_mean("credit_utilization_pct").alias("avg_utilization"),
         mean("total_transactions").alias("avg_txn_count"),
         flag_count(F.col("churn_risk_category") == "High Risk").alias("high_risk_count"),
     )
@@ -119,7 +119,7 @@ def agg_state_top(spark, folder):
 @query("agg_state_compare", sql(
     f"""select state, {n('count(*)')} as customer_count, round(sum(lifetime_value), 2) as total_spending,
     {avg('cast(lifetime_value as decimal(28,2))')} as avg_spending_per_customer, round(sum(spend_last_90_days), 2) as spending_last_90_days,
-    round(avg(avg_transaction_value), 4) as avg_transaction_value
+    {stable('avg_transaction_value')} as avg_transaction_value
     from profile where state in ('NATION_3', 'NATION_7') group by 1""", "profile"))
 def agg_state_compare(spark, folder):
     return inputs.profile(spark, folder).where(F.col("state").isin("NATION_3", "NATION_7")).groupBy("state").agg(
@@ -127,7 +127,7 @@ def agg_state_compare(spark, folder):
         F.round(F.sum("lifetime_value"), 2).alias("total_spending"),
         money_mean("lifetime_value").alias("avg_spending_per_customer"),
         F.round(F.sum("spend_last_90_days"), 2).alias("spending_last_90_days"),
-        F.round(F.avg("avg_transaction_value"), 4).alias("avg_transaction_value"),
+        stable_mean("avg_transaction_value").alias("avg_transaction_value"),
     )
 
 
@@ -361,15 +361,15 @@ def agg_share_partitioned(spark, folder):
 
 
 @query("agg_value_share", sql(
-    f"""with g as (select customer_segment, count(*) as c, sum(cast(lifetime_value as decimal(28,2))) as v, avg(avg_monthly_spend) as m from seg group by 1)
+    f"""with g as (select customer_segment, count(*) as c, sum(cast(lifetime_value as decimal(28,2))) as v, {stable('avg_monthly_spend')} as m from seg group by 1)
     select customer_segment, {n('c')} as customer_count, {pct('c', 'sum(c) over ()')} as percentage,
-    cast(v as double) / c as avg_lifetime_value, round(m, 4) as avg_monthly_spend, {d('v')} as total_segment_value,
+    cast(v as double) / c as avg_lifetime_value, m as avg_monthly_spend, {d('v')} as total_segment_value,
     {pct('v', 'sum(v) over ()')} as value_percentage from g""", "seg"))
 def agg_value_share(spark, folder):
     value = F.col("lifetime_value").cast("decimal(28,2)")
     g = inputs.segments(spark, folder).groupBy("customer_segment").agg(
         F.count(F.lit(1)).alias("customer_count"), mean(value).alias("avg_lifetime_value"),
-        F.round(F.avg("avg_monthly_spend"), 4).alias("avg_monthly_spend"), F.sum(value).alias("total_segment_value"),
+        stable_mean("avg_monthly_spend").alias("avg_monthly_spend"), F.sum(value).alias("total_segment_value"),
     )
     return share_of_total(share_of_total(g, "customer_count", "percentage"), "total_segment_value", "value_percentage")
 

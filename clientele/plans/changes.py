@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 
 from clientele.functions.columns import MONEY
 from clientele.operators import cdc, policy, scd, semantic, star
-from clientele.operators.clean import category_attributes
 from clientele.operators.customer import monthly_spending
-from clientele.operators.windows import neighbour
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
 from clientele.plans.oracle import CHANGES_FROM as CUT_SQL
 from clientele.plans.oracle import EVENTS_AS_OF as EVENTS_SQL
-from clientele.plans.oracle import avg, d, days, month_of, n, pct, rnd, sql
+from clientele.plans.oracle import avg, d, days, n, sql, stable
 from clientele.sources.roles import (
     AS_OF, CHANGES_FROM, EVENTS_AS_OF, category, changes, customers, fact, table, transactions,
 )
@@ -276,16 +274,14 @@ def pol_classify(spark, folder):
 
 
 @query("sem_metric", sql(
-    f"""select customer_segment, churn_risk_category, round(sum(lifetime_value), 2) as lifetime_value, {n('sum(total_transactions)')} as total_transactions, round(avg(credit_limit), 4) as credit_limit,
-    round(avg(churn_risk_score), 4) as churn_risk_score, {n('count(customer_id)')} as customer_count from profile group by 1, 2""", "profile"))
+    f"""select customer_segment, churn_risk_category, round(sum(lifetime_value), 2) as lifetime_value, {n('sum(total_transactions)')} as total_transactions, {stable('credit_limit')} as credit_limit,
+    {stable('churn_risk_score')} as churn_risk_score, {n('count(customer_id)')} as customer_count from profile group by 1, 2""", "profile"))
 def sem_metric(spark, folder):
     got = semantic.metric(
         {"customer_profile": inputs.profile(spark, folder)}, "customer_profile",
         ["lifetime_value", "total_transactions", "credit_limit", "churn_risk_score", "customer_count"], ["customer_segment", "churn_risk_category"],
     )
-    return got.withColumns({
-        "lifetime_value": F.round("lifetime_value", 2), "credit_limit": F.round("credit_limit", 4), "churn_risk_score": F.round("churn_risk_score", 4),
-    })
+    return got.withColumn("lifetime_value", F.round("lifetime_value", 2))
 
 
 @query("sem_join", sql(
@@ -301,15 +297,14 @@ def sem_join(spark, folder):
 
 
 @query("sem_monthly", sql(
-    f"""select month, card_type as customer_profile_card_type, {d('sum(total_spend)')} as total_spend, {n('sum(transaction_count)')} as transaction_count, round(avg(avg_transaction_value), 4) as avg_transaction_value,
+    f"""select month, card_type as customer_profile_card_type, {d('sum(total_spend)')} as total_spend, {n('sum(transaction_count)')} as transaction_count, {stable('avg_transaction_value')} as avg_transaction_value,
     {n('count(distinct customer_id)')} as customer_count from monthly left join cust using (customer_id) group by 1, 2""", "monthly", "cust"))
 def sem_monthly(spark, folder):
     tables = {"monthly_spending": monthly_spending(transactions(spark, folder)), "customer_profile": customers(spark, folder)}
-    got = semantic.metric(
+    return semantic.metric(
         tables, "monthly_spending", ["total_spend", "transaction_count", "avg_transaction_value", "customer_count"],
         ["month", "customer_profile.card_type"],
     )
-    return got.withColumn("avg_transaction_value", F.round("avg_transaction_value", 4))
 
 
 @query("sem_verified", sql(

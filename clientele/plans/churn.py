@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clientele.functions.columns import plain_types
 from clientele.operators import churn
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
-from clientele.plans.oracle import avg, d, days, month_of, n, pct, rnd, sql
+from clientele.plans.oracle import avg, d, days, month_of, n, pct, sql, stable
 from clientele.session import checkpointed, scratch
 from clientele.sources.roles import AS_OF, transactions
 
@@ -79,7 +78,7 @@ def ml_validate_data(spark, folder):
 
 @query("ml_class_means", sql(
     f"""with {LABEL_SQL}, {FEATURE_SQL} select case when churned = 1 then 'Churned' else 'Active' end as customer_type, {n('count(*)')} as customers, """
-    + ", ".join(f"round(avg({f}), 4) as avg_{f}" for f in ("age", "credit_limit", "avg_monthly_spend", "lifetime_value", "tenure_months", "days_since_last_transaction", "credit_utilization_pct"))
+    + ", ".join(f"{stable(f)} as avg_{f}" for f in ("age", "credit_limit", "avg_monthly_spend", "lifetime_value", "tenure_months", "days_since_last_transaction", "credit_utilization_pct"))
     + " from feat group by 1", "txn", "profile"))
 def ml_class_means(spark, folder):
     return churn.class_means(_training(spark, folder, median=False))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clientele.functions.columns import money_mean
+from clientele.functions.columns import money_mean, stable_mean
 from clientele.functions.dates import months_before
 from clientele.operators import customer as C
 from clientele.operators.campaign import (
@@ -19,7 +19,7 @@ from clientele.operators.windows import share_of_total
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
-from clientele.plans.oracle import CTES, SCALED, avg, n, pct, segment_case, sql
+from clientele.plans.oracle import CTES, SCALED, avg, n, pct, segment_case, sql, stable
 from clientele.session import scratch
 from clientele.sources.roles import AS_OF, customers, fact, transactions
 
@@ -78,11 +78,11 @@ def ca_atv(spark, folder):
 
 
 @query("ca_consistency", sql(
-    f"select spending_consistency, {n('count(*)')} as customer_count, round(avg(avg_transaction_value), 4) as avg_atv from summary group by 1",
+    f"select spending_consistency, {n('count(*)')} as customer_count, {stable('avg_transaction_value')} as avg_atv from summary group by 1",
     "summary"))
 def ca_consistency(spark, folder):
     return inputs.summary(spark, folder).groupBy("spending_consistency").agg(
-        F.count(F.lit(1)).alias("customer_count"), F.round(F.avg("avg_transaction_value"), 4).alias("avg_atv")
+        F.count(F.lit(1)).alias("customer_count"), stable_mean("avg_transaction_value").alias("avg_atv")
     )
 
 

@@ -14,14 +14,13 @@ from clientele.functions.columns import MONEY
 from clientele.functions.dates import months_before
 from clientele.operators.customer import monthly_spending
 from clientele.operators.dedupe import latest_per_key
-from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.changes import CHANGE_ORDER, FACT_SQL, fact_changes, order_target
 from clientele.plans.customer import AUDIENCE_SQL
-from clientele.plans.oracle import avg, d, days, month_of, n, pct, rnd, sql
+from clientele.plans.oracle import avg, d, month_of, n, rnd, sql
 from clientele.session import scratch
 from clientele.sources import files, sinks
-from clientele.sources.roles import CHANGES_FROM, customers, table, transactions
+from clientele.sources.roles import table, transactions
 from clientele.streaming import feeds
 
 # ---- sources ----

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from clientele.functions.dates import days_before
 from clientele.operators import quality as Q
 from clientele.operators import suites as S
 from clientele.operators import telemetry as T

@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 from clientele.functions import columns as K
 from clientele.functions import text as X
-from clientele.functions.dates import days_before, months_before, months_between_boundaries, on
+from clientele.functions.dates import days_before, months_between_boundaries, on
 from clientele.operators import clean, reshape, setops, star
 from clientele.operators import windows as W
+from clientele.operators.customer import monthly_spending
 from clientele.operators.dedupe import deduplicate, latest_per_key
+from clientele.operators.quality import mutually_exclusive_ranges, scd_gaps, sequential_values
 from clientele.operators.reports import monthly_totals, per_customer, merged
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
-from clientele.plans.oracle import CTES, avg, case_map, d, days, month_of, months, n, pct, rnd, sql
+from clientele.plans.oracle import avg, d, days, month_of, months, n, rnd, sql
 from clientele.sources.roles import (
-    AS_OF, EVENTS_AS_OF, category, changes, customers, fact, lines, raw_lines, table, transactions,
+    AS_OF, category, changes, customers, fact, lines, raw_lines, table, transactions,
 )
 
 # ---- projections ----
@@ -380,11 +382,26 @@ def _versions(spark, folder):
     select customer_id, valid_from, valid_to, next_valid_from, {days('valid_to', 'next_valid_from')} - 1 as gap_days from x
     where next_valid_from is not null and valid_to != next_valid_from - 1""", "txn"))
 def win_scd_gaps(spark, folder):
-    from clientele.operators.quality import scd_gaps
-
     return scd_gaps(_versions(spark, folder), "customer_id", bucket=F.trunc("valid_from", "year"))
 
 
+@query("win_ranges_exclusive", """with r as (select user_id, ts as lower_bound, ts + interval 4 hour as upper_bound, lead(ts) over (partition by user_id order by ts) as next_lower_bound from events)
+    select * from r where not coalesce(upper_bound < next_lower_bound, next_lower_bound is null)""")
+def win_ranges_exclusive(spark, folder):
+    """Sessions of four hours per user that do not leave a gap before the next one."""
+    sessions = table(spark, folder, "events").select(
+        "user_id", F.col("ts").alias("lower_bound"), (F.col("ts") + F.expr("interval 4 hours")).alias("upper_bound")
+    )
+    return mutually_exclusive_ranges(sessions, "lower_bound", "upper_bound", ["user_id"], F.to_date("lower_bound"), gaps="required")
+
+
+@query("win_sequential", """with r as (select event_type, event_id, lag(event_id) over (partition by event_type order by event_id) as previous_value from events)
+    select * from r where not (event_id = previous_value + 1)""")
+def win_sequential(spark, folder):
+    ids = table(spark, folder, "events").select("event_type", "event_id")
+    return sequential_values(ids, "event_id", ["event_type"], F.floor(F.col("event_id") / 4096), 1)
+
+
 # ---- sort, limit, sets ----
 
 
@@ -501,8 +518,6 @@ def shp_dim_date(spark, folder):
     f"""with {MONTHS_SQL} select cust.customer_id, m.month, coalesce(monthly.transaction_count, 0) as transaction_count, {d('coalesce(monthly.total_spend, 0)')} as total_spend
     from cust cross join m left join monthly on monthly.customer_id = cust.customer_id and monthly.month = m.month""", "cust", "monthly"))
 def shp_monthly_panel(spark, folder):
-    from clientele.operators.customer import monthly_spending
-
     active = monthly_spending(transactions(spark, folder)).select("customer_id", "month", "transaction_count", "total_spend")
     return reshape.monthly_panel(active, customers(spark, folder), _months(spark, folder), "customer_id", ["transaction_count", "total_spend"])
 
