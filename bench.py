@@ -23,20 +23,18 @@ HEADLINE = (
 
 
 def main() -> None:
-    from pyspark.sql import SparkSession
-
     from clientele.plans import QUERIES
+    from clientele.session import build_session
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("bench")
-        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
-        .config("spark.sql.shuffle.partitions", cpus).config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    spark = build_session("bench", f"local[{cpus}]", **{
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
+        "spark.sql.shuffle.partitions": cpus,
+    })
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

@@ -81,11 +81,6 @@ def banded(value, bands: Iterable[tuple], default, op: str = "lt") -> Column:
     return out.otherwise(F.lit(default))
 
 
-def sum_money(c) -> Column:
-    """Exact decimal sum, so that the result does not depend on the order of the rows."""
-    return F.sum(_col(c))
-
-
 def mean(c) -> Column:
     """Exact sum over count, as double; NULL for no rows."""
     return F.sum(_col(c)).cast("double") / F.nullif(F.count(_col(c)), F.lit(0)).cast("double")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clientele.functions.columns import money_mean
 from clientele.operators import customer as C
 from clientele.operators.windows import global_rank
+from clientele.session import checkpointed
 
 # Fixed value: share of the lifetime value that counts as one year's value of a retained customer.
 ANNUAL_SHARE = 0.2
@@ -76,23 +77,35 @@ def campaign_lists(segments: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def decline_ranks(segments: DataFrame) -> DataFrame:
-    """Declining customers ranked by value and by severity of the decline."""
-    declining = segments.where(F.col("customer_segment") == C.DECLINING).select(
+    """Declining customers ranked by value and by severity of the decline.
+
+    The ranked rows are checkpointed: finding the value ranges and ranking read them several times, and should not
+    repeat the job that produced the segments.
+    """
+    declining = checkpointed(segments.where(F.col("customer_segment") == C.DECLINING).select(
         "customer_id", "lifetime_value", "spend_last_90_days", "spend_prior_90_days", "spend_change_pct"
-    )
+    ))
     return global_rank(
         global_rank(declining, "lifetime_value", "ltv_rank", ascending=False), "spend_change_pct", "decline_rank"
     )
 
 
+def segment_pairs(fact: DataFrame, rules: C.SegmentRules, before: dt.date, now: dt.date) -> DataFrame:
+    """Segment of every customer at two reference dates, from one pass over the fact.
+
+    Both snapshots of a customer land in the same group, so no join of two snapshots is needed.
+    """
+    both = C.assign_segments(C.customer_summary(C.at_dates(fact, [before, now]), "as_of", median=False), rules)
+
+    def at(day: dt.date) -> Column:
+        return F.max(F.when(F.col("as_of") == F.lit(day), F.col("customer_segment")))
+
+    return both.groupBy("customer_id").agg(at(before).alias("prior_segment"), at(now).alias("current_segment")).where(
+        F.col("prior_segment").isNotNull() & F.col("current_segment").isNotNull()
+    )
+
+
 def migration_between(fact: DataFrame, rules: C.SegmentRules, before: dt.date, now: dt.date) -> DataFrame:
     """Customers that changed segment between two reference dates, counted per pair of segments."""
-    current = C.assign_segments(C.customer_summary(fact, now, median=False), rules)
-    earlier = fact.where(F.col("transaction_date") < F.lit(before))
-    prior = C.assign_segments(C.customer_summary(earlier, before, median=False), rules)
-    pairs = prior.select("customer_id", F.col("customer_segment").alias("prior_segment")).join(
-        current.select("customer_id", F.col("customer_segment").alias("current_segment")), "customer_id"
-    )
-    return pairs.where(F.col("prior_segment") != F.col("current_segment")).groupBy("prior_segment", "current_segment").agg(
-        F.count(F.lit(1)).alias("customer_count")
-    )
+    moved = segment_pairs(fact, rules, before, now).where(F.col("prior_segment") != F.col("current_segment"))
+    return moved.groupBy("prior_segment", "current_segment").agg(F.count(F.lit(1)).alias("customer_count"))

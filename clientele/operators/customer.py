@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.columns import banded, mean, sum_money
+from clientele.functions.columns import banded, mean
 from clientele.functions.dates import days_before, days_between, months_between_boundaries, on
 from clientele.operators.windows import exact_percentiles
 
@@ -51,43 +52,49 @@ def spend_change(last: Column, prior: Column) -> Column:
     return F.when(prior > 0, (last - prior) / prior * 100).otherwise(0.0)
 
 
-def customer_summary(fact: DataFrame, as_of: dt.date, key: str = "customer_id", median: bool = True) -> DataFrame:
+def customer_summary(fact: DataFrame, as_of: dt.date | str, key: str = "customer_id", median: bool = True) -> DataFrame:
     """All per-customer aggregates in one pass over the fact: lifetime, value spread, 90-day windows, category shares.
 
+    ``as_of`` is a date, or the name of a date column of the fact: then one row per customer and date is made (see
+    :func:`at_dates`).
+
     Every aggregate has a map-side part, so a customer with a third of all rows costs one partial row per task. The
     exact median cannot be merged that way; it comes from :func:`exact_percentiles`, which bounds every task for any
     group size, and can be left out by jobs that do not read it.
     """
-    recent, prior = days_before(as_of, 90), days_before(as_of, 180)
+    if isinstance(as_of, str):
+        keys, today = [key, as_of], F.col(as_of)
+        recent, prior = F.date_sub(today, 90), F.date_sub(today, 180)
+    else:
+        keys, today = [key], on(as_of)
+        recent, prior = F.lit(days_before(as_of, 90)), F.lit(days_before(as_of, 180))
     day, amount = F.col("transaction_date"), F.col("amount")
 
     def spend(condition: Column) -> Column:
         return F.sum(F.when(condition, amount).otherwise(0)).cast("double")
 
-    base = fact.groupBy(key).agg(
+    base = fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        sum_money("amount").cast("double").alias("lifetime_value"),
+        F.sum(amount).cast("double").alias("lifetime_value"),
         F.min(day).alias("first_transaction_date"),
         F.max(day).alias("last_transaction_date"),
-        mean("amount").alias("avg_transaction_value"),
+        mean(amount).alias("avg_transaction_value"),
         F.round(F.stddev_samp(amount.cast("double")), 4).alias("transaction_value_stddev"),
         F.min(amount).cast("double").alias("min_transaction_value"),
         F.max(amount).cast("double").alias("max_transaction_value"),
-        spend(day >= F.lit(recent)).alias("spend_last_90_days"),
-        spend((day >= F.lit(prior)) & (day < F.lit(recent))).alias("spend_prior_90_days"),
+        spend(day >= recent).alias("spend_last_90_days"),
+        spend((day >= prior) & (day < recent)).alias("spend_prior_90_days"),
         spend(F.col("category_name").isin(*TRAVEL)).alias("_travel"),
         spend(F.col("category_name").isin(*NECESSITIES)).alias("_necessities"),
     )
     if median:
-        halves = exact_percentiles(fact, [key], "amount", {"median_transaction_value": 0.5}, width=1024.0)
-        halves = halves.withColumn("median_transaction_value", F.round("median_transaction_value", 4))
-        base = base.join(halves, key, "left")
+        halves = exact_percentiles(fact, keys, "amount", {"median_transaction_value": 0.5}, width=1024.0)
+        base = base.join(halves.withColumn("median_transaction_value", F.round("median_transaction_value", 4)), keys, "left")
     else:
         base = base.withColumn("median_transaction_value", F.lit(None).cast("double"))
-    age = days_between("first_transaction_date", "last_transaction_date")
-    ltv = F.col("lifetime_value")
+    age, ltv = days_between("first_transaction_date", "last_transaction_date"), F.col("lifetime_value")
     return base.select(
-        key,
+        *keys,
         "total_transactions",
         "lifetime_value",
         "first_transaction_date",
@@ -106,8 +113,15 @@ def customer_summary(fact: DataFrame, as_of: dt.date, key: str = "customer_id",
         (F.col("spend_last_90_days") / 3).alias("avg_monthly_spend"),
         F.when(ltv > 0, F.col("_travel") / ltv * 100).otherwise(0.0).alias("travel_spend_pct"),
         F.when(ltv > 0, F.col("_necessities") / ltv * 100).otherwise(0.0).alias("necessities_spend_pct"),
-        months_between_boundaries("first_transaction_date", on(as_of)).alias("tenure_months"),
-        on(as_of).alias("metric_calculated_date"),
+        months_between_boundaries("first_transaction_date", today).alias("tenure_months"),
+        today.alias("metric_calculated_date"),
+    )
+
+
+def at_dates(fact: DataFrame, dates: Sequence[dt.date], name: str = "as_of") -> DataFrame:
+    """The fact as it was known before each of the ``dates``: one scan serves all reference dates."""
+    return fact.select("*", F.explode(F.array(*[F.lit(d) for d in dates])).alias(name)).where(
+        F.col("transaction_date") < F.col(name)
     )
 
 

@@ -12,6 +12,7 @@ from clientele.functions.dates import months_before
 from clientele.operators import customer as C
 from clientele.operators.campaign import (
     audience, breakeven_rate, campaign_lists, campaign_roi, decline_ranks, migration_between, roi_grid,
+    segment_pairs,
 )
 from clientele.operators.customer import SegmentRules
 from clientele.operators.reports import activity_rate
@@ -150,12 +151,7 @@ def ca_migration(spark, folder):
     select p.customer_id, p.customer_segment as prior_segment, c.customer_segment as current_segment
     from seg c join prior_seg p using (customer_id)""", "seg"))
 def jn_self_migration(spark, folder):
-    now = C.assign_segments(C.customer_summary(fact(spark, folder), AS_OF, median=False), SCALED)
-    earlier = fact(spark, folder).where(F.col("transaction_date") < F.lit(PRIOR))
-    before = C.assign_segments(C.customer_summary(earlier, PRIOR, median=False), SCALED)
-    return before.select("customer_id", F.col("customer_segment").alias("prior_segment")).join(
-        now.select("customer_id", F.col("customer_segment").alias("current_segment")), "customer_id"
-    )
+    return segment_pairs(fact(spark, folder), SCALED, PRIOR, AS_OF)
 
 
 PRIORITY_SQL = """with r as (select customer_id, lifetime_value, spend_last_90_days, spend_prior_90_days, spend_change_pct,

@@ -21,6 +21,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientele.functions.columns import MONEY, lookup
 from clientele.operators.dedupe import latest_per_key
@@ -50,8 +51,15 @@ CHANGE_OF_EVENT = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the given tables. Its schema is read from the files once per process, not once per query."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
