@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.columns import banded, mean
 from clientele.functions.dates import days_before, days_between, months_between_boundaries, on
-from clientele.operators.windows import exact_percentiles
+from clientele.operators.windows import sized_percentiles
 
 # Categories that count as travel and as necessities.
 TRAVEL = ("Travel", "Airlines", "Hotels")
@@ -59,7 +59,7 @@ def customer_summary(fact: DataFrame, as_of: dt.date | str, key: str = "customer
     :func:`at_dates`).
 
     Every aggregate has a map-side part, so a customer with a third of all rows costs one partial row per task. The
-    exact median cannot be merged that way; it comes from :func:`exact_percentiles`, which bounds every task for any
+    exact median cannot be merged that way; it comes from :func:`sized_percentiles`, which bounds every task for any
     group size, and can be left out by jobs that do not read it.
     """
     if isinstance(as_of, str):
@@ -88,7 +88,9 @@ def customer_summary(fact: DataFrame, as_of: dt.date | str, key: str = "customer
         spend(F.col("category_name").isin(*NECESSITIES)).alias("_necessities"),
     )
     if median:
-        halves = exact_percentiles(fact, keys, "amount", {"median_transaction_value": 0.5}, width=1024.0)
+        halves = sized_percentiles(
+            fact.select(*keys, "amount"), keys, "amount", {"median_transaction_value": 0.5}, 1024.0, base, "total_transactions"
+        )
         base = base.join(halves.withColumn("median_transaction_value", F.round("median_transaction_value", 4)), keys, "left")
     else:
         base = base.withColumn("median_transaction_value", F.lit(None).cast("double"))
