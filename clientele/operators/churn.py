@@ -9,14 +9,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import mean, money_mean, pct, stable_mean
 from clientele.functions.dates import days_between, months_before, on
 from clientele.operators import customer as C
 from clientele.operators.suites import banded_status, passed, report
-from clientele.operators.windows import exact_percentiles, share_of_total
+from clientele.operators.windows import exact_percentiles
 
 # Encodings of the banded features.
 CONSISTENCY_CODE = {"Consistent": 0, "Moderate": 1, "Variable": 2}
@@ -203,18 +203,17 @@ def score(model: PipelineModel, feats: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def score_summary(predictions: DataFrame) -> DataFrame:
-    """Spread of the scores with the exact median, and the risk bands with their shares."""
-    bands = predictions.groupBy(
-        F.when(F.col("churn_risk_score") >= 70, "High Risk").when(F.col("churn_risk_score") >= 40, "Medium Risk")
-        .otherwise("Low Risk").alias("risk_category")
-    ).agg(F.count(F.lit(1)).alias("customer_count"))
-    spread = predictions.agg(
-        F.count(F.lit(1)).alias("total_customers"), money_mean("churn_risk_score").alias("avg_risk_score"),
+    """Count, share, mean, range and exact median of the scores, per risk band and for all customers."""
+    band = F.when(F.col("churn_risk_score") >= 70, "High Risk").when(F.col("churn_risk_score") >= 40, "Medium Risk").otherwise("Low Risk")
+    rows = predictions.select("churn_risk_score", F.explode(F.array(band, F.lit("All"))).alias("risk_category"))
+    spread = rows.groupBy("risk_category").agg(
+        F.count(F.lit(1)).alias("customer_count"), money_mean("churn_risk_score").alias("avg_risk_score"),
         F.min("churn_risk_score").alias("min_score"), F.max("churn_risk_score").alias("max_score"),
     )
-    median = exact_percentiles(predictions, [], "churn_risk_score", {"median_score": 0.5}, width=0.25)
-    # One row each.
-    return share_of_total(bands, "customer_count", "pct_of_total").crossJoin(F.broadcast(spread)).crossJoin(F.broadcast(median))
+    medians = exact_percentiles(rows, ["risk_category"], "churn_risk_score", {"median_score": 0.5}, width=0.25)
+    # Every customer counts once in a band and once in 'All', so the total is half the sum.
+    whole = F.sum("customer_count").over(Window.partitionBy()) / 2
+    return spread.withColumn("pct_of_total", pct("customer_count", whole)).join(medians, "risk_category")
 
 
 COMPLETENESS = ("age", "credit_limit", "avg_monthly_spend", "tenure_months", "travel_spend_pct", "spend_change_pct")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import mean, pct, safe_divide
+from clientele.operators.setops import beside
 from clientele.operators.windows import exact_percentiles, share_of_total
 
 
@@ -53,7 +54,7 @@ def five_numbers(df: DataFrame, keys: Sequence[str], value: str, width: float) -
         mean(value).alias("avg_value"),
     )
     rounded = quartiles.select(*keys, *[F.round(q, 2).alias(q) for q in ("q1", "median", "q3")])
-    return plain.join(rounded, list(keys)) if keys else plain.crossJoin(F.broadcast(rounded))
+    return plain.join(rounded, list(keys)) if keys else beside(plain, rounded)
 
 
 def monthly_totals(transactions: DataFrame) -> DataFrame:
@@ -113,5 +114,4 @@ def activity_rate(customers: DataFrame, transactions: DataFrame, since) -> DataF
     active = transactions.where(F.col("transaction_date") >= F.lit(since)).select("customer_id").distinct()
     counted = active.agg(F.count(F.lit(1)).alias("active_customers"))
     total = customers.agg(F.count(F.lit(1)).alias("total_customers"))
-    # Both sides are one-row aggregates.
-    return counted.crossJoin(F.broadcast(total)).withColumn("active_pct", pct("active_customers", "total_customers"))
+    return beside(counted, total).withColumn("active_pct", pct("active_customers", "total_customers"))

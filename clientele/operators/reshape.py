@@ -90,13 +90,19 @@ def spine_of(bounds: DataFrame, step: str, name: str) -> DataFrame:
     return bounds.select("last", days).where(F.col(name) < F.col("last")).select(name)
 
 
-def monthly_panel(active: DataFrame, entities: DataFrame, months: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
-    """Every entity in every month, absent measures as 0.
+def months_from(first: dt.date, last: dt.date) -> Column:
+    """The month starts from ``first`` to ``last``, both included, as an array."""
+    return F.sequence(F.lit(first.replace(day=1)), F.lit(last.replace(day=1)), F.expr("INTERVAL 1 MONTH"))
 
-    ``months`` is a calendar (a few rows per year), so the product is entities x months and is the wanted result.
-    """
-    frame = entities.select(key).crossJoin(F.broadcast(months))
-    dense = frame.join(active, [key, "month"], "left")
+
+def entity_months(entities: DataFrame, key: str, months: Column) -> DataFrame:
+    """Every entity in every month, made in place by exploding the calendar array."""
+    return entities.select(key, F.explode(months).alias("month"))
+
+
+def monthly_panel(active: DataFrame, entities: DataFrame, months: Column, key: str, measures: Sequence[str]) -> DataFrame:
+    """Every entity in every month, absent measures as 0."""
+    dense = entity_months(entities, key, months).join(active, [key, "month"], "left")
     return dense.select(key, "month", *[F.coalesce(m, F.lit(0)).alias(m) for m in measures])
 
 

@@ -57,12 +57,22 @@ def cardinality_diff(a: DataFrame, column: str, b: DataFrame, field: str) -> Dat
     return except_both(left, right)
 
 
+def beside(*rows: DataFrame) -> DataFrame:
+    """One-row tables put side by side as one row.
+
+    The rows are stacked and reduced by one aggregate, which needs no join; a column keeps the value of the one table
+    that has it.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(f"`{c}`").alias(c) for c in stacked.columns])
+
+
 def group_counts(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full join of the row counts of two relations per group; groups with a NULL key stay unmatched."""
     left = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("count_a"))
     right = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("count_b"))
     if not keys:
-        return left.crossJoin(F.broadcast(right))
+        return beside(left, right)
     on = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
     named = [F.col(f"{s}.{k}").alias(f"{k}_{s}") for k in keys for s in ("a", "b")]
     return left.alias("a").join(right.alias("b"), on, "full").select(*named, "count_a", "count_b")

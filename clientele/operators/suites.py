@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.columns import pct
 from clientele.functions.dates import months_between_boundaries
+from clientele.operators.setops import beside
 from clientele.operators.windows import share_of_total
 
 # Target share and accepted band (percent) of each declared segment.
@@ -56,7 +57,7 @@ def customer_suite(
     c = F.col
     sudden = c("decline_type").isin("gradual", "sudden")
     decline_ok = F.when(c("customer_segment") == declining, F.coalesce(sudden, F.lit(False))).otherwise(c("decline_type").isNull())
-    measures = customers.agg(
+    measures = beside(duplicates(customers, "customer_id"), customers.agg(
         F.min("account_open_date").alias("first_open"), F.max("account_open_date").alias("last_open"),
         F.count_if(c("email").like("%@%") & c("email").like("%.%")).alias("valid_email"),
         F.min("credit_limit").alias("min_limit"), F.max("credit_limit").alias("max_limit"),
@@ -64,7 +65,7 @@ def customer_suite(
         F.min("age").alias("min_age"), F.max("age").alias("max_age"),
         F.count_if(c("source_file").isNotNull() & c("ingestion_timestamp").isNotNull()).alias("with_lineage"),
         F.count_if(~decline_ok).alias("decline_errors"),
-    ).crossJoin(F.broadcast(duplicates(customers, "customer_id")))
+    ))
     oldest = F.lit(dt.date(as_of.year - 6, as_of.month, as_of.day))
     total = c("total_rows")
     return report(measures, [
@@ -93,7 +94,9 @@ def segment_bands(customers: DataFrame, targets: Mapping[str, float] = SEGMENT_T
     return shares.withColumn("status", status)
 
 
-def transaction_measures(transactions: DataFrame, customers: DataFrame, as_of: dt.date) -> DataFrame:
+def transaction_measures(
+    transactions: DataFrame, customers: DataFrame, as_of: dt.date, high_amount: float = 10_000
+) -> DataFrame:
     """The measures of the transaction checks as one row.
 
     Rows are reduced to one per customer in the first pass (map-side), so that the orphan and coverage checks join
@@ -107,6 +110,7 @@ def transaction_measures(transactions: DataFrame, customers: DataFrame, as_of: d
         F.count_if(c("ingestion_timestamp").isNull()).alias("null_ingestion"),
         F.count_if(c("transaction_date") > F.lit(as_of)).alias("future"),
         F.count_if(c("amount") <= 0).alias("not_positive"),
+        F.count_if(c("amount") > high_amount).alias("high_amounts"),
         F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"), F.sum("amount").alias("amount"),
         F.min("transaction_date").alias("first_day"), F.max("transaction_date").alias("last_day"),
     )
@@ -116,7 +120,7 @@ def transaction_measures(transactions: DataFrame, customers: DataFrame, as_of: d
     totals = joined.agg(
         F.coalesce(F.sum("n"), zero).alias("rows"),
         F.coalesce(F.sum(F.when(c("customer_id").isNull(), c("n"))), zero).alias("null_customers"),
-        *[F.coalesce(F.sum(x), zero).alias(x) for x in ("null_dates", "null_amounts", "null_ingestion", "future", "not_positive")],
+        *[F.coalesce(F.sum(x), zero).alias(x) for x in ("null_dates", "null_amounts", "null_ingestion", "future", "not_positive", "high_amounts")],
         F.count(F.when(has, c("customer_id"))).alias("customers_seen"),
         F.count_if(~has).alias("customers_missing"),
         F.count(F.when(has & c("known").isNull(), c("customer_id"))).alias("orphan_customers"),
@@ -128,8 +132,7 @@ def transaction_measures(transactions: DataFrame, customers: DataFrame, as_of: d
     keys = duplicates(transactions, "transaction_id").select(
         F.col("surplus_rows").alias("duplicate_rows"), F.col("null_keys").alias("null_transactions")
     )
-    # One row on each side.
-    return totals.crossJoin(F.broadcast(keys))
+    return beside(totals, keys)
 
 
 def transaction_suite(
@@ -192,7 +195,7 @@ def customer_profile(
     c = F.col
     segment_n = {s: F.count_if(c("customer_segment") == s) for s in targets}
     decl = c("customer_segment") == declining
-    row = customers.agg(
+    row = beside(duplicates(customers, "customer_id").select("surplus_rows"), customers.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(c(f).isNull()).alias(f"null_{f}") for f in required],
         F.count_if(~c("customer_id").cast("string").rlike(id_pattern)).alias("bad_id"),
@@ -201,7 +204,7 @@ def customer_profile(
         F.count_if(decl & c("decline_type").isNull()).alias("declining_without_type"),
         F.count_if(~decl & c("decline_type").isNotNull()).alias("type_without_declining"),
         *[n.alias(f"n_{i}") for i, n in enumerate(segment_n.values())],
-    ).crossJoin(F.broadcast(duplicates(customers, "customer_id").select("surplus_rows")))
+    ))
     errors = [(f"null {f}", c(f"null_{f}")) for f in required] + [
         ("duplicate customer_id", c("surplus_rows")), ("customer_id format", c("bad_id")), ("email format", c("bad_email")),
         ("credit limit", c("bad_limit")), ("Declining without decline_type", c("declining_without_type")),

@@ -12,6 +12,7 @@ from clientele.functions.columns import mean, pct
 from clientele.functions.dates import months_between_boundaries
 from clientele.operators.dedupe import latest_per_key
 from clientele.operators.reports import per_customer, segment_activity
+from clientele.operators.setops import beside
 from clientele.operators.suites import duplicates
 
 SNAPSHOT_METRICS = ("customer_count", "transaction_count", "total_transaction_amount", "avg_transaction_amount", "months_of_data")
@@ -31,7 +32,7 @@ def snapshot(customers: DataFrame, transactions: DataFrame, kind: str, at) -> Da
     ).withColumn(
         "months_of_data", F.coalesce(months_between_boundaries("min_transaction_date", "max_transaction_date"), F.lit(0))
     )
-    return side.crossJoin(F.broadcast(rows)).select(
+    return beside(side, rows).select(
         F.lit(at).alias("snapshot_timestamp"), F.lit(kind).alias("snapshot_type"), "*"
     )
 
@@ -82,7 +83,7 @@ QUALITY_CHECKS = (
 
 
 def quality_records(measures: DataFrame, at) -> DataFrame:
-    """Nine check records from the one-row measures of a table (with ``high_amounts``)."""
+    """Nine check records from the one-row measures of a table."""
     lines = F.array(*[
         F.struct(
             F.lit(name).alias("check_name"), F.lit(category).alias("check_category"), F.col("rows").alias("records_checked"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clientele.operators import churn
+from clientele.operators.setops import beside
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
@@ -103,9 +104,9 @@ def ml_gate(spark, folder):
 
 
 @query("ml_score_summary", sql(
-    f"""with g as (select case when churn_risk_score >= 70 then 'High Risk' when churn_risk_score >= 40 then 'Medium Risk' else 'Low Risk' end as risk_category, {n('count(*)')} as customer_count from pred group by 1),
-    s as (select {n('count(*)')} as total_customers, {avg('cast(churn_risk_score as decimal(28,2))')} as avg_risk_score, min(churn_risk_score) as min_score, max(churn_risk_score) as max_score, quantile_cont(churn_risk_score, 0.5) as median_score from pred)
-    select risk_category, customer_count, {pct('customer_count', 'sum(customer_count) over ()')} as pct_of_total, s.* from g, s""", "pred"))
+    f"""with r as (select churn_risk_score, unnest([case when churn_risk_score >= 70 then 'High Risk' when churn_risk_score >= 40 then 'Medium Risk' else 'Low Risk' end, 'All']) as risk_category from pred)
+    select risk_category, {n('count(*)')} as customer_count, {pct('count(*)', '(select count(*) from pred)')} as pct_of_total, {avg('cast(churn_risk_score as decimal(28,2))')} as avg_risk_score,
+    min(churn_risk_score) as min_score, max(churn_risk_score) as max_score, quantile_cont(churn_risk_score, 0.5) as median_score from r group by 1""", "pred"))
 def ml_score_summary(spark, folder):
     return churn.score_summary(inputs.scores_from(inputs.segments(spark, folder)))
 
@@ -121,8 +122,7 @@ def ml_train(spark, folder):
     model, held_out = churn.train(_prepared(spark, folder))
     measured = churn.metrics(held_out)
     ranked = churn.importance(model, spark).where(F.col("importance") > 0).agg(F.max_by("feature", "importance").alias("top_feature"), F.count(F.lit(1)).alias("used_features"))
-    # One row each.
-    return churn.gate(measured).crossJoin(F.broadcast(measured.select("tp", "fp", "fn", "tn"))).crossJoin(F.broadcast(ranked))
+    return beside(churn.gate(measured), measured.select("tp", "fp", "fn", "tn"), ranked)
 
 
 @query("ml_score")

@@ -247,7 +247,7 @@ def _suite_measures(spark, folder):
     orders = transactions(spark, folder).select(F.col("transaction_id").alias("order_id"), "customer_id", "transaction_date")
     rows = raw_lines(spark, folder).join(orders, "order_id")
     known = customers(spark, folder).where("credit_limit >= 0")
-    return rows, S.transaction_measures(rows, known, SUITE_AS_OF)
+    return S.transaction_measures(rows, known, SUITE_AS_OF, high_amount=100000)
 
 
 @query("dq_transaction_suite", sql(
@@ -265,14 +265,14 @@ def _suite_measures(spark, folder):
         _line("null_ingestion_timestamps", "null_i", _pass("null_i = 0")),
     ]), "raw", "txn", "cust"))
 def dq_transaction_suite(spark, folder):
-    return S.transaction_suite(_suite_measures(spark, folder)[1], (50000, 70000), 1500, (77, 79), 90000)
+    return S.transaction_suite(_suite_measures(spark, folder), (50000, 70000), 1500, (77, 79), 90000)
 
 
 @query("dq_issue_list", sql(
     f"""with {SUITE_INPUT}, {TXN_MEASURES}, l as (select unnest(['Duplicate transaction IDs', 'NULL transaction IDs', 'NULL customer IDs', 'Invalid customer IDs', 'Future transaction dates', 'Zero or negative amounts']) as issue_type,
     unnest([dup, null_t, null_c, orphan_c, future, low]) as issue_count from m) select issue_type, {n('issue_count')} as issue_count from l where issue_count > 0""", "raw", "txn", "cust"))
 def dq_issue_list(spark, folder):
-    return S.issue_list(_suite_measures(spark, folder)[1])
+    return S.issue_list(_suite_measures(spark, folder))
 
 
 @query("dq_status_bands", sql(
@@ -312,7 +312,7 @@ def dq_profile_customers(spark, folder):
         _line("future_dates", "future", _pass("future = 0")), _line("amounts", "top", _pass("low = 0 and top <= 110000", "WARNING")),
     ]), "raw", "txn", "cust"))
 def dq_post_generation(spark, folder):
-    return S.post_generation(_suite_measures(spark, folder)[1], (50000, 70000), 110000)
+    return S.post_generation(_suite_measures(spark, folder), (50000, 70000), 110000)
 
 
 # ---- telemetry ----
@@ -354,12 +354,6 @@ def ob_generation(spark, folder):
     return record.withColumn("execution_timestamp", F.col("execution_timestamp").cast("timestamp_ntz"))
 
 
-def _quality_measures(spark, folder):
-    rows, measures = _suite_measures(spark, folder)
-    high = rows.agg(F.count_if(F.col("amount") > 100000).alias("high_amounts"))
-    return measures.crossJoin(F.broadcast(high))
-
-
 QUALITY_SQL = f"{SUITE_INPUT}, {TXN_MEASURES.replace('450000', '100000')}, q as (" + " union all ".join(
     f"""select '{name}' as check_name, '{cat}' as check_category, {n('rows')} as records_checked, {n(col)} as issues_found, {pct(col, 'rows')} as issue_percentage,
     case when {col} = 0 then 'PASS' else '{found}' end as check_status from m"""
@@ -369,7 +363,7 @@ QUALITY_SQL = f"{SUITE_INPUT}, {TXN_MEASURES.replace('450000', '100000')}, q as
 
 @query("ob_quality", sql(f"with {QUALITY_SQL} select timestamp '2001-08-02' as check_timestamp, * from q", "raw", "txn", "cust"))
 def ob_quality(spark, folder):
-    records = T.quality_records(_quality_measures(spark, folder), AFTER_AT)
+    records = T.quality_records(_suite_measures(spark, folder), AFTER_AT)
     return records.withColumn("check_timestamp", F.col("check_timestamp").cast("timestamp_ntz"))
 
 

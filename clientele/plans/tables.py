@@ -245,16 +245,14 @@ MONTHS_SQL = "m as (select unnest(range(date '1995-01-01', date '2001-09-01', in
 
 
 def _months(spark, folder):
-    span = transactions(spark, folder).agg(
-        F.trunc(F.min("transaction_date"), "month").alias("first"), F.add_months(F.trunc(F.max("transaction_date"), "month"), 1).alias("last")
-    )
-    return reshape.spine_of(span, "INTERVAL 1 MONTH", "month")
+    """Months of the feed as a literal calendar; only its first and last day come to the driver."""
+    span = transactions(spark, folder).agg(F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last")).first()
+    return reshape.months_from(span["first"], span["last"])
 
 
 @query("jn_cross_spine", sql(f"with {MONTHS_SQL} select customer_id, month from cust, m", "cust"))
 def jn_cross_spine(spark, folder):
-    # The months are a calendar of a few rows per year; customers x months is the wanted grain.
-    return customers(spark, folder).select("customer_id").crossJoin(F.broadcast(_months(spark, folder)))
+    return reshape.entity_months(table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id")), "customer_id", _months(spark, folder))
 
 
 @query("jn_cross_snapshot", sql(
@@ -266,8 +264,7 @@ def jn_cross_snapshot(spark, folder):
         F.count(F.lit(1)).alias("before_count"), F.sum("amount").alias("before_amount")
     )
     after = txn.agg(F.count(F.lit(1)).alias("after_count"), F.sum("amount").alias("after_amount"))
-    # One row on each side.
-    return before.crossJoin(F.broadcast(after)).withColumns({
+    return setops.beside(before, after).withColumns({
         "delta_count": F.col("after_count") - F.col("before_count"), "delta_amount": F.col("after_amount") - F.col("before_amount"),
     })
 

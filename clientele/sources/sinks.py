@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.text import readable
 from clientele.operators import cdc
+from clientele.operators.setops import beside
 from clientele.operators.suites import duplicates
 from clientele.session import scratch
 
@@ -46,7 +47,7 @@ def publish_validated(
     df.write.parquet(staging)
     staged = spark.read.parquet(staging)
     nulls = staged.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required])
-    found = duplicates(staged, key).crossJoin(F.broadcast(nulls)).first().asDict()
+    found = beside(duplicates(staged, key), nulls).first().asDict()
     low, high = expected_rows * (1 - tolerance), expected_rows * (1 + tolerance)
     problems = []
     if not low <= found["total_rows"] <= high:
@@ -78,12 +79,12 @@ def upsert_table(
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions the batch touches.
 
-    The partition of a key must not change between versions of its row. The touched partition values are a small
-    calendar set; they prune the read of the table.
+    The partition of a key must not change between versions of its row. The semi join on the partition column lets
+    Spark prune the read of the table to the touched partitions.
     """
     target = spark.read.parquet(path)
     touched = batch.select(partition).distinct()
-    affected = target.join(F.broadcast(touched), partition, "left_semi")
+    affected = target.join(touched, partition, "left_semi")
     overwrite_partitions(cdc.upsert(affected, batch, keys, order_by), path, partition)
 
 
