@@ -72,13 +72,22 @@ def global_rank(df: DataFrame, value: str, name: str, ascending: bool = True, bu
     return df.join(ranks, F.col(value) == F.col("_v"), "left").drop("_v")
 
 
-def global_row_number(df: DataFrame, day: str, middle: str, tie: str, name: str, width: int) -> DataFrame:
+def range_bucket(df: DataFrame, column: str, ranges: int = 256) -> Column:
+    """Number of the equal-width range of a numeric column; its least and greatest value are read first."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return F.lit(0)
+    width = max(1, (high - low) // ranges + 1)
+    return F.floor((F.col(column) - F.lit(low)) / F.lit(width))
+
+
+def global_row_number(df: DataFrame, day: str, middle: str, tie: str, name: str, ranges: int = 256) -> DataFrame:
     """ROW_NUMBER() over (day, middle, tie) for the whole table.
 
-    Counts per (day, range of ``middle``) give the offset of each cell; only the rows of one cell are numbered
-    together. ``width`` is the span of one range of the numeric column ``middle``.
+    Counts per (day, range of the numeric column ``middle``) give the offset of each cell; only the rows of one cell
+    are numbered together. A day with many rows is split by ``middle``, a frequent ``middle`` by the days.
     """
-    cell = F.floor(F.col(middle) / width)
+    cell = range_bucket(df, middle, ranges)
     counts = df.groupBy(F.col(day), cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
     per_day = counts.groupBy(day).agg(F.sum("_n").alias("_day_n")).withColumn(
         "_day_before",

@@ -487,8 +487,7 @@ def agg_size_buckets(spark, folder):
 def agg_listagg(spark, folder):
     # Names of a dimension: the list per region is as long as the region has nations.
     joined = table(spark, folder, "nation").join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    joined.createOrReplaceTempView("_nation_region")
-    return spark.sql("select r_name, listagg(n_name, ', ') within group (order by n_name) as nations from _nation_region group by r_name")
+    return joined.groupBy("r_name").agg(F.expr("listagg(n_name, ', ') within group (order by n_name)").alias("nations"))
 
 
 @query("agg_daily", sql(f"select transaction_date, {d('sum(amount)')} as amount from txn group by 1", "txn"))

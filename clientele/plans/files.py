@@ -56,12 +56,13 @@ def src_csv_positional(spark, folder):
     }).drop("source_file", "file_row_number")
 
 
-@query("src_parquet_named", "select c_custkey::varchar as customer_id, c_name as full_name, cast(c_acctbal as decimal(10,2))::double as credit_limit, c_nationkey::bigint as nation, 'customer.parquet' as source_file from customer")
+@query("src_parquet_named", "select c_custkey::varchar as customer_id, c_name as full_name, cast(c_acctbal as decimal(10,2))::double as credit_limit, c_nationkey::bigint as nation, true as has_source from customer")
 def src_parquet_named(spark, folder):
-    return files.read_parquet_named(spark, f"{folder}/customer.parquet", {
+    loaded = files.read_parquet_named(spark, f"{folder}/customer.parquet", {
         "customer_id": ("c_custkey", "string"), "full_name": ("c_name", "string"), "credit_limit": ("c_acctbal", "decimal(10,2)"),
         "nation": ("c_nationkey", "int"),
     })
+    return loaded.withColumn("has_source", F.col("source_file").endswith(".parquet")).drop("source_file")
 
 
 @query("src_load_once", f"select event_type, {n('count(*)')} as loaded_rows, {n('count(distinct event_id)')} as distinct_rows from events group by 1")
@@ -69,7 +70,7 @@ def src_load_once(spark, folder):
     target, checkpoint = scratch(spark, "landing"), scratch(spark, "landing-checkpoint")
     schema = table(spark, folder, "events").schema
     for _ in range(2):  # the second run finds no new file
-        files.load_once(spark, folder, schema, target, checkpoint, "events.parquet")
+        files.load_once(spark, feeds.location(folder, "events"), schema, target, checkpoint, "*.parquet")
     return spark.read.parquet(target).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("loaded_rows"), F.count_distinct("event_id").alias("distinct_rows")
     )
@@ -217,7 +218,7 @@ def snk_validated_commit(spark, folder):
 
 @query("lay_sorted_copy", f"select o_orderkey, o_custkey, o_totalprice from orders where o_orderdate = timestamp '1998-05-28'")
 def lay_sorted_copy(spark, folder):
-    copy = sinks.sorted_copy(table(spark, folder, "orders"), scratch(spark, "orders-by-date"), ["o_orderdate", "o_custkey"], files=8)
+    copy = sinks.sorted_copy(table(spark, folder, "orders"), scratch(spark, "orders-by-date"), ["o_orderdate", "o_custkey"])
     day = F.lit(dt.datetime(1998, 5, 28)).cast("timestamp_ntz")
     return copy.where(F.col("o_orderdate") == day).select("o_orderkey", "o_custkey", "o_totalprice")
 
@@ -252,7 +253,7 @@ def inc_lookback_merge(spark, folder):
     columns = ("customer_id", "month", "total_spend", "transaction_count")
     txn, day = transactions(spark, folder), F.col("transaction_date")
     known = txn.where((day < F.lit(dt.date(2001, 4, 1))) | ((day < F.lit(dt.date(2001, 7, 1))) & (F.col("channel") != "1-URGENT")))
-    monthly_spending(known).select(*columns).repartition("month").write.partitionBy("month").parquet(path)
+    sinks.write_partitioned(monthly_spending(known).select(*columns), path, "month")
     last = spark.read.parquet(path).agg(F.max("month")).first()[0]
     since = months_before(last, 2)
     recent = monthly_spending(txn.where(day >= F.lit(since))).select(*columns)
@@ -267,7 +268,7 @@ def inc_upsert_partitions(spark, folder):
     path = scratch(spark, "orders-by-month")
     txn, day = transactions(spark, folder).withColumn("month", F.trunc("transaction_date", "month")), F.col("transaction_date")
     columns = ("transaction_id", "amount", "channel", "month")
-    txn.where(day < F.lit(dt.date(2001, 6, 15))).select(*columns).repartition("month").write.partitionBy("month").parquet(path)
+    sinks.write_partitioned(txn.where(day < F.lit(dt.date(2001, 6, 15))).select(*columns), path, "month")
     batch = txn.where(day >= F.lit(dt.date(2001, 5, 10))).select(
         "transaction_id", (F.col("amount") + 5).cast(MONEY).alias("amount"), F.lit("late").alias("channel"), "month", "ingestion_timestamp"
     )
@@ -277,11 +278,14 @@ def inc_upsert_partitions(spark, folder):
 
 # ---- streams ----
 
+# The given feeds are not in time order: no row may be late, whatever the number of files and batches.
+WHOLE_SPAN = "2600 days"
+
 
 @query("stm_append_stage", f"select event_type, {n('count(*)')} as n_rows, {d('sum(cast(value as decimal(18,2)))')} as total from events group by 1")
 def stm_append_stage(spark, folder):
     target, checkpoint = scratch(spark, "stage"), scratch(spark, "stage-checkpoint")
-    stream = feeds.file_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet")
+    stream = feeds.file_stream(spark, feeds.location(folder, "events"), table(spark, folder, "events").schema)
     feeds.append_landing(stream, target, checkpoint).awaitTermination()
     return spark.read.parquet(target).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("value").cast(MONEY)).alias("total")
@@ -304,8 +308,8 @@ def stm_fact_upsert(spark, folder):
 @query("stm_late_months", sql(f"select {month_of('transaction_date')} as month, {n('count(*)')} as txn_count, {d('sum(amount)')} as total_spend from txn group by 1", "txn"))
 def stm_late_months(spark, folder):
     target, checkpoint = scratch(spark, "months"), scratch(spark, "months-checkpoint")
-    stream = feeds.file_stream(spark, folder, table(spark, folder, "orders").schema, "orders.parquet")
-    totals = feeds.monthly_totals_stream(stream.withColumn("amount", F.col("o_totalprice").cast(MONEY)), "o_orderdate", "amount")
+    stream = feeds.file_stream(spark, feeds.location(folder, "orders"), table(spark, folder, "orders").schema)
+    totals = feeds.monthly_totals_stream(stream.withColumn("amount", F.col("o_totalprice").cast(MONEY)), "o_orderdate", "amount", WHOLE_SPAN)
     feeds.keep_updates(totals, target, checkpoint).awaitTermination()
     latest = latest_per_key(spark.read.parquet(target), ["month"], ["batch_id"])
     return latest.select(F.col("month").cast("date").alias("month"), "txn_count", "total_spend")
@@ -314,8 +318,8 @@ def stm_late_months(spark, folder):
 @query("stm_dedupe_keyed", "select distinct l_orderkey * 10 + l_linenumber as transaction_id from lineitem")
 def stm_dedupe_keyed(spark, folder):
     target, checkpoint = scratch(spark, "deduped"), scratch(spark, "deduped-checkpoint")
-    stream = feeds.file_stream(spark, folder, table(spark, folder, "lineitem").schema, "lineitem.parquet")
+    stream = feeds.file_stream(spark, feeds.location(folder, "lineitem"), table(spark, folder, "lineitem").schema)
     keyed = stream.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"), "l_shipdate")
-    first = feeds.first_delivery(keyed, ["transaction_id"], "l_shipdate", "62 days").select("transaction_id")
+    first = feeds.first_delivery(keyed, ["transaction_id"], "l_shipdate", WHOLE_SPAN).select("transaction_id")
     feeds.append_landing(first, target, checkpoint).awaitTermination()
     return spark.read.parquet(target)

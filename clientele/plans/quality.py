@@ -10,6 +10,7 @@ from clientele.operators import quality as Q
 from clientele.operators import suites as S
 from clientele.operators import telemetry as T
 from clientele.operators.dedupe import latest_per_key
+from clientele.operators.windows import range_bucket
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
@@ -140,7 +141,7 @@ def dq_ranges_exclusive(spark, folder):
     select * from r where not (transaction_id = previous_value + 1)""", "txn"))
 def dq_sequential(spark, folder):
     rows = transactions(spark, folder).select("customer_id", "transaction_id")
-    return Q.sequential_values(rows, "transaction_id", ["customer_id"], F.floor(F.col("transaction_id") / (1 << 16)), 1)
+    return Q.sequential_values(rows, "transaction_id", ["customer_id"], range_bucket(rows, "transaction_id"), 1)
 
 
 @query("dq_sequential_dates", sql(

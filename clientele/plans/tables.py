@@ -330,7 +330,7 @@ def win_sequence_key(spark, folder):
 def win_global_row_id(spark, folder):
     numbered = W.global_row_number(
         transactions(spark, folder).select("transaction_id", "customer_id", "transaction_date"),
-        "transaction_date", "customer_id", "transaction_id", "row_no", width=1 << 16,
+        "transaction_date", "customer_id", "transaction_id", "row_no",
     )
     return numbered.select(F.concat(F.lit("TXN"), F.lpad(F.col("row_no").cast("string"), 11, "0")).alias("row_id"), "transaction_id")
 
@@ -396,7 +396,7 @@ def win_ranges_exclusive(spark, folder):
     select * from r where not (event_id = previous_value + 1)""")
 def win_sequential(spark, folder):
     ids = table(spark, folder, "events").select("event_type", "event_id")
-    return sequential_values(ids, "event_id", ["event_type"], F.floor(F.col("event_id") / 4096), 1)
+    return sequential_values(ids, "event_id", ["event_type"], W.range_bucket(ids, "event_id"), 1)
 
 
 # ---- sort, limit, sets ----

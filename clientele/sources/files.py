@@ -79,13 +79,18 @@ def read_parquet_named(spark: SparkSession, path: str, columns: Mapping[str, tup
     )
 
 
-def load_once(spark: SparkSession, path: str, schema: T.StructType, target: str, checkpoint: str, pattern: str, fmt: str = "parquet") -> None:
+def load_once(
+    spark: SparkSession, path: str, schema: T.StructType, target: str, checkpoint: str, pattern: str,
+    fmt: str = "parquet", files_per_batch: int = 10_000,
+) -> None:
     """Append the files that were not loaded before.
 
     The checkpoint of a file stream remembers every processed file, so a second call over the same files reads
-    nothing, and a call that died half-way resumes its own batch.
+    nothing, and a call that died half-way resumes its own batch. A large backlog is taken in several batches.
     """
-    stream = spark.readStream.schema(schema).format(fmt).option("pathGlobFilter", pattern).load(path)
+    stream = spark.readStream.schema(schema).format(fmt).option("pathGlobFilter", pattern).option(
+        "maxFilesPerTrigger", files_per_batch
+    ).load(path)
     query = (
         stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
     )

@@ -61,6 +61,17 @@ def publish_validated(
     return found
 
 
+def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "error") -> None:
+    """Write one folder per value of ``partition``; overwriting replaces only the folders that get rows.
+
+    Rows are rebalanced by the partition value: small ones end up in one file, and one that holds a large part of the
+    table is split over many tasks.
+    """
+    df.hint("rebalance", F.col(partition)).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition
+    ).parquet(path)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
@@ -69,9 +80,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     spark = df.sparkSession
     staging = scratch(spark, "partitions")
     df.write.parquet(staging)
-    spark.read.parquet(staging).repartition(partition).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(partition).parquet(path)
+    write_partitioned(spark.read.parquet(staging), path, partition, mode="overwrite")
 
 
 def upsert_table(

@@ -13,6 +13,14 @@ from clientele.operators import cdc
 from clientele.operators.dedupe import latest_per_key
 
 
+def location(folder: str, name: str) -> str:
+    """Stream path of a parquet table that may be one file or a folder of files.
+
+    A stream refuses a plain path to a file; a pattern that matches exactly this name serves both cases.
+    """
+    return f"{folder}/{name}.parque[t]"
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:

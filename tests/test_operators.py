@@ -123,7 +123,7 @@ def test_global_row_number_is_a_permutation_in_order(spark):
     rnd = random.Random(5)
     data = [(D(2024, 1, 1) + dt.timedelta(days=rnd.randrange(5)), rnd.randrange(1000), i) for i in range(2000)]
     df = spark.createDataFrame(data, "d date, c long, t long").repartition(7)
-    got = {r["t"]: r["n"] for r in W.global_row_number(df, "d", "c", "t", "n", width=50).collect()}
+    got = {r["t"]: r["n"] for r in W.global_row_number(df, "d", "c", "t", "n", ranges=20).collect()}
     assert [got[t] for _, _, t in sorted(data)] == list(range(1, 2001))
 
 
