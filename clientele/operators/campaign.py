@@ -25,6 +25,27 @@ def audience(profile: DataFrame, any_of: Mapping[str, Iterable], at_least: Mappi
     return profile.where(reduce(lambda a, b: a & b, terms)) if terms else profile
 
 
+def search(profile: DataFrame, customer_id=None, name: str | None = None, email: str | None = None, limit: int = 20) -> DataFrame:
+    """One customer by id, or the first customers whose name or email contains a text in any case."""
+    if customer_id is not None:
+        return profile.where(F.col("customer_id") == F.lit(customer_id))
+    column, text = ("full_name", name) if name is not None else ("email", email)
+    return profile.where(F.contains(F.lower(column), F.lower(F.lit(text)))).orderBy("customer_id").limit(limit)
+
+
+def history(
+    fact: DataFrame, as_of: dt.date, days: int | None = None, category: str | None = None, status: str | None = None,
+    customer_id=None,
+) -> DataFrame:
+    """Transactions of the last ``days`` days, optionally of one category, status or customer."""
+    if days is not None:
+        fact = fact.where(F.col("transaction_date") >= F.lit(as_of - dt.timedelta(days=days)))
+    for column, value in (("category_name", category), ("status", status), ("customer_id", customer_id)):
+        if value is not None:
+            fact = fact.where(F.col(column) == F.lit(value))
+    return fact
+
+
 def _roi(targets: DataFrame, incentive: float, cost: float, rates: Column) -> DataFrame:
     """ROI figures for each rate of the array ``rates``; the audience is reduced to one row first."""
     n, retained = F.col("num_customers"), F.col("expected_retained_customers")

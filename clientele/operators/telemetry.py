@@ -18,6 +18,11 @@ from clientele.operators.suites import duplicates
 SNAPSHOT_METRICS = ("customer_count", "transaction_count", "total_transaction_amount", "avg_transaction_amount", "months_of_data")
 
 
+def append(records: DataFrame, path: str) -> None:
+    """Add records to an append-only table."""
+    records.write.mode("append").parquet(path)
+
+
 def snapshot(customers: DataFrame, transactions: DataFrame, kind: str, at) -> DataFrame:
     """One row of headline metrics. The customer side and the transaction side are one aggregate each."""
     side = customers.agg(

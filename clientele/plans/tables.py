@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clientele.functions import columns as K
 from clientele.functions import text as X
 from clientele.functions.dates import days_before, months_between_boundaries, on
-from clientele.operators import clean, reshape, setops, star
+from clientele.operators import campaign, clean, reshape, setops, star
 from clientele.operators import windows as W
 from clientele.operators.customer import monthly_spending
 from clientele.operators.dedupe import deduplicate, latest_per_key
@@ -93,17 +93,15 @@ def prj_secure_columns(spark, folder):
     "select customer_id, full_name, email, customer_segment, lifetime_value from profile where lower(full_name) like '%00012%' order by customer_id limit 20",
     "profile"))
 def flt_search(spark, folder):
-    found = inputs.profile(spark, folder).where(F.lower("full_name").contains("00012"))
-    return found.select("customer_id", "full_name", "email", "customer_segment", "lifetime_value").orderBy("customer_id").limit(20)
+    rows = inputs.profile(spark, folder).select("customer_id", "full_name", "email", "customer_segment", "lifetime_value")
+    return campaign.search(rows, name="00012")
 
 
 @query("flt_history_window", sql(
     f"""select transaction_id, customer_id, transaction_date, {d('amount')} as amount, category_name, channel, status from fact
     where transaction_date >= {AS_OF_SQL} - 90 and category_name = 'Travel' and status = 'approved'""", "fact"))
 def flt_history_window(spark, folder):
-    return fact(spark, folder).where(
-        (F.col("transaction_date") >= F.lit(days_before(AS_OF, 90))) & (F.col("category_name") == "Travel") & (F.col("status") == "approved")
-    ).select("transaction_id", "customer_id", "transaction_date", "amount", "category_name", "channel", "status")
+    return campaign.history(fact(spark, folder), AS_OF, days=90, category="Travel", status="approved").select("transaction_id", "customer_id", "transaction_date", "amount", "category_name", "channel", "status")
 
 
 @query("flt_email_regex", sql(

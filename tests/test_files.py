@@ -108,5 +108,34 @@ def test_sorted_copy_has_disjoint_files(spark, tmp_path):
     assert len(spans) > 1 and all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
 
 
+def test_build_writes_all_tables_consistently(spark, tmp_path):
+    from clientele.operators.telemetry import run_log
+    from clientele.plans.build import build
+
+    out = str(tmp_path / "warehouse")
+    made = build(spark, "/root/testdata/sf0.001", out)
+    facts, profile = made["fct_transactions"], made["customer_360_profile"]
+    assert facts.count() == facts.select("transaction_key").distinct().count() > 0
+    assert profile.count() == facts.select("customer_key").distinct().count()
+    total = facts.agg(F.sum("amount").cast("double")).first()[0]
+    assert profile.agg(F.sum("lifetime_value")).first()[0] == pytest.approx(total)
+    approved = facts.where("status = 'approved'").agg(F.sum("amount")).first()[0]
+    assert made["monthly_customer_spending"].agg(F.sum("total_spend")).first()[0] == approved
+    log = run_log(spark.read.parquet(f"{out}/run_log")).first()
+    assert log["status"] == "SUCCESS" and log["models_run"] == len(made)
+
+
+def test_search_and_history(spark):
+    from clientele.operators import campaign
+
+    who = spark.createDataFrame([(1, "Ann Lee", "a@x.com"), (2, "Bob", "LEE@y.org")], "customer_id long, full_name string, email string")
+    assert [r[0] for r in campaign.search(who, name="LEE").collect()] == [1]
+    assert [r[0] for r in campaign.search(who, email="lee").collect()] == [2]
+    assert campaign.search(who, customer_id=2).count() == 1 and campaign.search(who, name="' or 1=1").count() == 0
+    rows = spark.createDataFrame([(1, dt.date(2024, 1, 1), "Travel"), (1, dt.date(2024, 3, 1), "Gas")], "customer_id long, transaction_date date, category_name string")
+    assert campaign.history(rows, dt.date(2024, 3, 2), days=30).count() == 1
+    assert campaign.history(rows, dt.date(2024, 3, 2), category="Travel").count() == 1
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -23,6 +23,12 @@ def test_model_queries_give_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
+def test_verified_questions_are_registered():
+    from clientele.plans.verified import VERIFIED
+
+    assert set(VERIFIED.values()) <= set(QUERIES)
+
+
 def test_entry_gives_rows(spark):
     import __spark_entry__ as entry
 
