@@ -40,7 +40,7 @@ def build(
         return made[name]
 
     def by_month(df: DataFrame, path: str) -> DataFrame:
-        write_partitioned(df, path, "month", mode="overwrite")
+        write_partitioned(df, path, "month", mode="overwrite", sort_by=[c for c in ("transaction_date",) if c in df.columns])
         return spark.read.parquet(path)
 
     log("START")
