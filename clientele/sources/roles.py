@@ -126,9 +126,13 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Itemised feed with the latest delivery of every transaction_id."""
+    """Itemised feed with the latest delivery of every transaction_id.
+
+    The order follows from the transaction id. As a second grouping column it stays visible to the optimizer, which can
+    then filter lines by the joined orders before they are deduplicated.
+    """
     return latest_per_key(
-        raw_lines(spark, folder), ["transaction_id"], ["ingestion_timestamp", "amount", "part_id", "merchant_id"]
+        raw_lines(spark, folder), ["transaction_id", "order_id"], ["ingestion_timestamp", "amount", "part_id", "merchant_id"]
     )
 
 
