@@ -34,6 +34,11 @@ def on(as_of: dt.date) -> Column:
     return F.lit(as_of)
 
 
+def at_time(moment: dt.datetime) -> Column:
+    """A timestamp literal without time zone, the same in every session zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_before(as_of: dt.date, days: int) -> dt.date:
     return as_of - dt.timedelta(days=days)
 

@@ -8,21 +8,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.functions.dates import at_time
 from clientele.operators.dedupe import latest_per_key
 from clientele.operators.windows import neighbour
 
 OPEN_END = dt.datetime(9999, 12, 31)
 
 
-def _ntz(at):
-    return F.lit(at).cast("timestamp_ntz")
-
-
 def intervals(rows: DataFrame, key: str, start: str) -> DataFrame:
     """Add end_time (start of the next row of the key, else the open end) and current_flag."""
     near = neighbour(rows, [key], start, F.to_date(start), "_next")
     return near.withColumns({
-        "end_time": F.coalesce("_next", _ntz(OPEN_END)), "current_flag": F.col("_next").isNull().cast("int"),
+        "end_time": F.coalesce("_next", at_time(OPEN_END)), "current_flag": F.col("_next").isNull().cast("int"),
     }).drop("_next")
 
 
@@ -46,7 +43,7 @@ def classify(changes: DataFrame, history: DataFrame, attributes: Sequence[str],
 
     gone = changes.where((F.col("action") == "DELETE") & ~F.col("is_update")).select("id").distinct()
     deleted = current.join(gone, "id", "left_semi").select(
-        "id", *blank, "start_time", _ntz(as_of).alias("end_time"), F.lit(None).cast("int").alias("current_flag"), F.lit("D").alias("dml_type")
+        "id", *blank, "start_time", at_time(as_of).alias("end_time"), F.lit(None).cast("int").alias("current_flag"), F.lit("D").alias("dml_type")
     )
     return fresh.unionByName(updated).unionByName(deleted).distinct()
 

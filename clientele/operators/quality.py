@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.functions.dates import at_time
 from clientele.operators.setops import except_both, group_counts
 from clientele.operators.windows import neighbour
 
@@ -143,9 +144,10 @@ def sequential_values(df: DataFrame, column: str, keys: Sequence[str], bucket: C
 
 def recency(df: DataFrame, column: str, as_of, keys: Sequence[str] = (), **interval: int) -> DataFrame:
     """Groups whose latest value is older than ``as_of`` minus the interval (days=, hours=)."""
-    threshold = as_of - dt.timedelta(**interval)
-    return df.groupBy(*keys).agg(F.max(column).alias("most_recent")).where(F.col("most_recent") < F.lit(threshold)).withColumn(
-        "threshold", F.lit(threshold)
+    oldest = as_of - dt.timedelta(**interval)
+    threshold = at_time(oldest) if isinstance(oldest, dt.datetime) else F.lit(oldest)
+    return df.groupBy(*keys).agg(F.max(column).alias("most_recent")).where(F.col("most_recent") < threshold).withColumn(
+        "threshold", threshold
     )
 
 

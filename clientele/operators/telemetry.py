@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import mean, pct
-from clientele.functions.dates import months_between_boundaries
+from clientele.functions.dates import at_time, months_between_boundaries
 from clientele.operators.dedupe import latest_per_key
 from clientele.operators.reports import per_customer, segment_activity
 from clientele.operators.setops import beside
@@ -38,7 +38,7 @@ def snapshot(customers: DataFrame, transactions: DataFrame, kind: str, at) -> Da
         "months_of_data", F.coalesce(months_between_boundaries("min_transaction_date", "max_transaction_date"), F.lit(0))
     )
     return beside(side, rows).select(
-        F.lit(at).alias("snapshot_timestamp"), F.lit(kind).alias("snapshot_type"), "*"
+        at_time(at).alias("snapshot_timestamp"), F.lit(kind).alias("snapshot_type"), "*"
     )
 
 
@@ -68,7 +68,7 @@ def generation_record(transactions: DataFrame, process: str, at) -> DataFrame:
         F.sum("_sum").alias("total_transaction_volume"),
         (F.sum("_sum").cast("double") / F.sum("_n").cast("double")).alias("avg_transaction_amount"),
     ).select(
-        F.lit(process).alias("process_name"), F.lit(at).alias("execution_timestamp"), "*",
+        F.lit(process).alias("process_name"), at_time(at).alias("execution_timestamp"), "*",
         months_between_boundaries("min_date", "max_date").alias("months_of_data"),
     )
 
@@ -97,11 +97,11 @@ def quality_records(measures: DataFrame, at) -> DataFrame:
         )
         for name, category, m, found in QUALITY_CHECKS
     ])
-    return measures.select(F.lit(at).alias("check_timestamp"), F.inline(lines))
+    return measures.select(at_time(at).alias("check_timestamp"), F.inline(lines))
 
 
 def segment_record(customers: DataFrame, transactions: DataFrame, at) -> DataFrame:
-    return segment_activity(customers, transactions).select(F.lit(at).alias("snapshot_timestamp"), "*")
+    return segment_activity(customers, transactions).select(at_time(at).alias("snapshot_timestamp"), "*")
 
 
 def dashboard(records: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def check_status(checked: str = "records_checked", failed: str = "records_failed
 
 
 def recent_failures(metrics: DataFrame, at: dt.datetime, days: int = 7) -> DataFrame:
-    since = F.lit(at - dt.timedelta(days=days)).cast("timestamp_ntz")
+    since = at_time(at - dt.timedelta(days=days))
     return metrics.where(F.col("status").isin("WARNING", "FAIL") & (F.col("run_timestamp") >= since))
 
 

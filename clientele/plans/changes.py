@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from clientele.functions.dates import at_time
 from clientele.functions.columns import MONEY
 from clientele.operators import cdc, policy, scd, semantic, star
 from clientele.operators.customer import monthly_spending
@@ -112,7 +113,7 @@ EVENTS_END = dt.datetime.combine(EVENTS_AS_OF, dt.time())
 
 def _split(spark, folder):
     rows = changes(spark, folder)
-    cut = F.lit(CHANGES_FROM).cast("timestamp_ntz")
+    cut = at_time(CHANGES_FROM)
     old = rows.where((F.col("update_timestamp") < cut) & (F.col("action") == "INSERT")).select(
         "id", *ATTRIBUTES, F.col("update_timestamp").alias("start_time")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.functions.columns import MONEY
-from clientele.functions.dates import months_before
+from clientele.functions.dates import at_time, months_before
 from clientele.operators.customer import monthly_spending
 from clientele.operators.dedupe import latest_per_key
 from clientele.plans.catalog import query
@@ -219,7 +219,7 @@ def snk_validated_commit(spark, folder):
 @query("lay_sorted_copy", f"select o_orderkey, o_custkey, o_totalprice from orders where o_orderdate = timestamp '1998-05-28'")
 def lay_sorted_copy(spark, folder):
     copy = sinks.sorted_copy(table(spark, folder, "orders"), scratch(spark, "orders-by-date"), ["o_orderdate", "o_custkey"])
-    day = F.lit(dt.datetime(1998, 5, 28)).cast("timestamp_ntz")
+    day = at_time(dt.datetime(1998, 5, 28))
     return copy.where(F.col("o_orderdate") == day).select("o_orderkey", "o_custkey", "o_totalprice")
 
 

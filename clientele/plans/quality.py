@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from clientele.functions.dates import at_time
 from clientele.operators import quality as Q
 from clientele.operators import suites as S
 from clientele.operators import telemetry as T
@@ -95,7 +96,7 @@ def dq_relationships_where(spark, folder):
     select 'a_minus_b' as which_diff, * from (select * from a except select * from b) union all select 'b_minus_a', * from (select * from b except select * from a)""")
 def dq_equality(spark, folder):
     orders = table(spark, folder, "orders")
-    cut = F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz")
+    cut = at_time(dt.datetime(1999, 1, 1))
     return Q.equality(orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut), ["o_custkey", "o_orderstatus"])
 
 
@@ -216,7 +217,7 @@ CUST_MEASURES = """m as (select count(*) as rows, count(*) filter (customer_id i
     ]), "cust"))
 def dq_customer_suite(spark, folder):
     rows = customers(spark, folder).withColumns({
-        "source_file": F.lit("customer.parquet"), "ingestion_timestamp": F.lit(dt.datetime(2001, 8, 2)).cast("timestamp_ntz"),
+        "source_file": F.lit("customer.parquet"), "ingestion_timestamp": at_time(dt.datetime(2001, 8, 2)),
     })
     return S.customer_suite(rows, AS_OF, expected_rows=1500, declining="MACHINERY")
 
@@ -325,14 +326,10 @@ SNAP_SQL = f"""s as (select {{ts}} as snapshot_timestamp, '{{kind}}' as snapshot
     min(transaction_date) as min_transaction_date, max(transaction_date) as max_transaction_date, coalesce({months('min(transaction_date)', 'max(transaction_date)')}, 0) as months_of_data from txn {{where}})"""
 
 
-def _ntz(at: dt.datetime):
-    return F.lit(at).cast("timestamp_ntz")
-
-
 @query("ob_snapshot", sql("with " + SNAP_SQL.format(ts="timestamp '2001-08-02'", kind="AFTER", where="") + " select * from s", "cust", "txn"))
 def ob_snapshot(spark, folder):
     rows = T.snapshot(customers(spark, folder), transactions(spark, folder), "AFTER", AFTER_AT)
-    return rows.withColumn("snapshot_timestamp", F.col("snapshot_timestamp").cast("timestamp_ntz"))
+    return rows
 
 
 @query("ob_delta", sql(
@@ -352,7 +349,7 @@ def ob_delta(spark, folder):
     {months('min(transaction_date)', 'max(transaction_date)')} as months_of_data from txn""", "txn"))
 def ob_generation(spark, folder):
     record = T.generation_record(transactions(spark, folder), "transaction_generation", AFTER_AT)
-    return record.withColumn("execution_timestamp", F.col("execution_timestamp").cast("timestamp_ntz"))
+    return record
 
 
 QUALITY_SQL = f"{SUITE_INPUT}, {TXN_MEASURES.replace('450000', '100000')}, q as (" + " union all ".join(
@@ -365,7 +362,7 @@ QUALITY_SQL = f"{SUITE_INPUT}, {TXN_MEASURES.replace('450000', '100000')}, q as
 @query("ob_quality", sql(f"with {QUALITY_SQL} select timestamp '2001-08-02' as check_timestamp, * from q", "raw", "txn", "cust"))
 def ob_quality(spark, folder):
     records = T.quality_records(_suite_measures(spark, folder), AFTER_AT)
-    return records.withColumn("check_timestamp", F.col("check_timestamp").cast("timestamp_ntz"))
+    return records
 
 
 @query("ob_dashboard", sql(
@@ -384,7 +381,7 @@ def ob_dashboard(spark, folder):
 def ob_segment(spark, folder):
     approved = transactions(spark, folder).where(F.col("status") == "approved")
     record = T.segment_record(customers(spark, folder), approved, AFTER_AT)
-    return record.withColumn("snapshot_timestamp", F.col("snapshot_timestamp").cast("timestamp_ntz"))
+    return record
 
 
 @query("ob_layer_counts", " union all ".join(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions import columns as K
 from clientele.functions import text as X
-from clientele.functions.dates import days_before, months_between_boundaries, on
+from clientele.functions.dates import at_time, days_before, months_between_boundaries, on
 from clientele.operators import campaign, clean, reshape, setops, star
 from clientele.operators import windows as W
 from clientele.operators.customer import monthly_spending
@@ -120,7 +120,7 @@ def flt_email_regex(spark, folder):
 def flt_between(spark, folder):
     return table(spark, folder, "orders").where(
         F.col("o_totalprice").between(100000.0, 150000.0)
-        & F.col("o_orderdate").between(F.lit(dt.datetime(1997, 1, 1)).cast("timestamp_ntz"), F.lit(dt.datetime(1998, 12, 31)).cast("timestamp_ntz"))
+        & F.col("o_orderdate").between(at_time(dt.datetime(1997, 1, 1)), at_time(dt.datetime(1998, 12, 31)))
     ).select("o_orderkey", "o_totalprice")
 
 
@@ -352,7 +352,7 @@ INTERVALS_SQL = """select id, label, update_timestamp as start_time,
 def win_scd_intervals(spark, folder):
     rows = changes(spark, folder).where(F.col("action") == "INSERT").select("id", "label", "update_timestamp")
     near = W.neighbour(rows, ["id"], "update_timestamp", F.to_date("update_timestamp"), "_next")
-    open_end = F.lit(dt.datetime(9999, 12, 31)).cast("timestamp_ntz")
+    open_end = at_time(dt.datetime(9999, 12, 31))
     return near.select(
         "id", "label", F.col("update_timestamp").alias("start_time"), F.coalesce("_next", open_end).alias("end_time"),
         F.col("_next").isNull().cast("int").alias("current_flag"),

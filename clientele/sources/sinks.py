@@ -99,7 +99,7 @@ def upsert_table(
 def above_watermark(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows newer than everything in the target. The bound is read first, so it prunes the source scan."""
     bound = target.agg(F.max(column)).first()[0]
-    return source if bound is None else source.where(F.col(column) > F.lit(bound).cast(source.schema[column].dataType))
+    return source if bound is None else source.where(F.col(column) > F.lit(str(bound)).cast(source.schema[column].dataType))
 
 
 def sorted_copy(df: DataFrame, path: str, by: Sequence[str], files: int | None = None) -> DataFrame:
