@@ -5,12 +5,58 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe
+from clientele.llm import bpe, cross_polytope, decontaminate, factorization, licenses, packing, reputation, sharding
 from clientele.llm.common import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+
+
+def page_outcomes(spark, folder):
+    """A page counts as good if the label row of its number says so: of quality and not toxic."""
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    return table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), good.alias("good"))
+
+
+@query("op1_host_reputation", reputation.JUDGE_SQL)
+def host_reputation(spark, folder):
+    return reputation.judge(table(spark, folder, "pages"), page_outcomes(spark, folder))
+
+
+@query("op2_cross_polytope")
+def cross_polytope_search(spark, folder):
+    return cross_polytope.search(table(spark, folder, "embeddings"))
+
+
+@query("op3_factorization_machine")
+def factorization_machine(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = factorization.train(docs, table(spark, folder, "labels"))
+    scored = factorization.score(docs, model)
+    return scored.select("doc_id", factorization.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, end=50256, pad=50256)
+
+
+@query("op6_lookup_sharding")
+def lookup_sharding(spark, folder):
+    return sharding.place(table(spark, folder, "documents"), SHARDS)
 
 
 @query("op7_bpe_transducer")
 def bpe_transducer(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN).withColumnRenamed("key", "doc_id")
+
+
+@query("op8_prefix_containment", decontaminate.CONTAMINATION_SQL)
+def prefix_containment(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op10_license_scan")
+def license_scan(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
