@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, cross_polytope, decontaminate, factorization, licenses, packing, reputation, sharding
+from clientele.llm import bpe, cross_polytope, decontaminate, factorization, licenses, lines, order_minhash, packing, reputation, sharding
 from clientele.llm.common import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +36,11 @@ def factorization_machine(spark, folder):
     return scored.select("doc_id", factorization.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query("op4_order_minhash")
+def order_min_hash(spark, folder):
+    return order_minhash.classes(table(spark, folder, "documents"))
+
+
 @query("op5_best_fit_packing")
 def best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, end=50256, pad=50256)
@@ -56,6 +61,11 @@ def prefix_containment(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op9_segment_lines", lines.REPORT_SQL)
+def segment_lines(spark, folder):
+    return lines.report(table(spark, folder, "documents"))
+
+
 @query("op10_license_scan")
 def license_scan(spark, folder):
     found = licenses.scan(table(spark, folder, "documents"))
