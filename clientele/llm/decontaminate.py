@@ -65,7 +65,21 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, shingle: i
 
     A document word is hit if it lies in an occurrence of a window of an item. Null and empty texts have no words; null or
     empty items have no windows; a null item name is left out of the names; repeated rows are reported each; null keys stay.
+    Other columns are ignored.
     """
+    found = _found(docs, items, width, shingle, block_bytes, key, text, item, item_text)
+    return found.select(*(c for c in found.columns if c != "digest"))
+
+
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no word is hit."""
+    bad = _found(docs, items, key=key, text=text, **options).where("contaminated").select(F.col(key).alias("_op8_key"), F.col("digest").alias("_op8_digest"))
+    digest = F.xxhash64(F.lit(1), F.col(text))
+    return docs.join(bad, docs[key].eqNullSafe(F.col("_op8_key")) & (digest == F.col("_op8_digest")), "left_anti")
+
+
+def _found(docs: DataFrame, items: DataFrame, width: int = 10, shingle: int = 3, block_bytes: int = 16 << 20,
+           key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     found = checkpointed(windows(items, width, item, item_text))
     names = found.select("wid", "item").distinct()
     table = checkpointed(prefixes(found, shingle))
@@ -105,7 +119,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, shingle: i
     return (
         spans.join(named, F.col("key").eqNullSafe(F.col("k")) & F.col("digest").eqNullSafe(F.col("d")), "left")
         .select(
-            F.col("key").alias(key), F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
+            F.col("key").alias(key), "digest", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
             F.size(listed).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", listed).cast("binary"), 256).alias("items_sha256"),
             F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"),
         )

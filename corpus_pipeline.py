@@ -1,24 +1,68 @@
-"""The corpus pipeline: stages that filter, clean, deduplicate, decontaminate and encode documents."""
+"""The corpus pipeline: documents are filtered by quality, cleaned of repeated lines, deduplicated, decontaminated, encoded.
+
+Every stage works on all that its predecessor kept. ``run`` writes the result of each stage but the last to the shared
+folder and reads it again, so that a later stage, or an executor that replaces a lost one, doesn't repeat the earlier ones.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clientele.llm import bpe
+from clientele.llm import bpe, decontaminate, factorization, lines, order_minhash
+from clientele.llm.common import table
 from clientele.llm.queries import RANKS
-import public_tokenizers
+from clientele.session import scratch
+
+#: Documents that score below are rejected.
+QUALITY = 0.5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine takes for good ones; it learns from the labelled among the given documents."""
+    model = factorization.train(docs, table(spark, sf_dir, "labels"))
+    return factorization.score(docs, model, keep=tuple(docs.columns), above=QUALITY)
+
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand, but for one character, at an earlier place; ``n_chars`` follows."""
+    clean = lines.dedup(docs)
+    kind = dict(docs.dtypes)["n_chars"]
+    return clean.withColumn("n_chars", F.length("text").cast(kind))
 
-def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: the one of smallest id."""
+    return order_minhash.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, encoded and decoded again: count and digests."""
     return bpe.digests(docs, RANKS, public_tokenizers.PATTERN).withColumnRenamed("key", "doc_id")
 
 
-STAGES = [("byte-level BPE", encoded)]
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("byte-level BPE", encoding),
+]
+
+#: The classifier, the near copies and the tokens can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        place = scratch(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(place)
+        docs = spark.read.parquet(place)
+    return STAGES[-1][1](spark, docs, sf_dir)
