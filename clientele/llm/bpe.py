@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STATES, PAIRS, CHUNKS = 300_000, 400_000, 500_000  # bounds of the caches
+STATES, PAIRS, CHUNKS = 300_000, 400_000, 800_000  # bounds of the caches
 NEVER = 1 << 60
 
 
@@ -145,16 +145,19 @@ class Transducer:
         out: list[int] = []
         path = [self.root]
         window = 8 * self.longest
-        for at in range(0, len(piece), window):
-            path = list(accumulate(piece[at : at + window], getitem, initial=path[-1])) if at == 0 else path + list(
-                accumulate(piece[at : at + window], getitem, initial=path[-1]))[1:]
-            if at + window < len(piece):
+        if len(piece) > window:
+            for at in range(0, len(piece) - window, window):
+                path += list(accumulate(piece[at : at + window], getitem, initial=path[-1]))[1:]
                 path = self._emit(path, out)
+            piece = piece[at + window :]
+        path[-1:] = accumulate(piece, getitem, initial=path[-1])
         end, back = len(path) - 1, []
         while end > 0:
-            back.append(path[end].token)
-            end -= path[end].size
-        return out + back[::-1] if out else back[::-1]
+            state = path[end]
+            back.append(state.token)
+            end -= state.size
+        back.reverse()
+        return out + back if out else back
 
     def _emit(self, path: list[State], out: list[int]) -> list[State]:
         """Emits the tokens that all boundaries in reach of later tokens share; returns the path behind them."""

@@ -143,9 +143,9 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int = 16,
     nearest = _compare(index, looked, k, block)
     found = checkpointed(_best(nearest, asked, k))
     # The exact way for the rest: queries that found too few rows look at all of them.
-    few = asked.join(found.groupBy("query_id").count().where(F.col("count") >= k), "query_id", "left_anti")
-    if total > k and not few.isEmpty():
-        everything = lambda df: df.withColumn("table", F.lit(-1)).withColumn("bucket", F.lit(0).cast("long"))
+    few = asked.join(found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)), "query_id", "left_anti")
+    if total > 1 and not few.isEmpty():
+        everything = lambda df: df.select(*(F.col(c).alias(c) for c in df.columns)).withColumn("table", F.lit(-1)).withColumn("bucket", F.lit(0).cast("long"))
         exact = _compare(everything(rows.select("rep", "vec", "ids")), everything(few.select("rep", "vec").dropDuplicates(["rep"])), k, block)
         ids = few.select("query_id").distinct()
         found = found.join(ids, "query_id", "left_anti").unionByName(_best(exact, few, k))
