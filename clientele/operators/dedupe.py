@@ -26,15 +26,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tuple[str, str]]) -> DataFrame:
     """One row per ``partition_by`` group, the first under ``order_by`` = [(column, 'asc' | 'desc'), ...].
 
-    Groups are reduced map-side as in :func:`latest_per_key`. A mixed order is expressed by two nested picks: the
-    leading column is fixed first (min or max per key), the others among the rows that share it.
+    NULLs come last in either direction: a row with a NULL is picked only where no other is left. Groups are reduced
+    map-side as in :func:`latest_per_key`. A mixed order is expressed by two nested picks: the leading column is fixed
+    first (min or max per key), the others among the rows that share it.
     """
     directions = {d for _, d in order_by}
     pick = [c for c, _ in order_by]
     rest = [c for c in df.columns if c not in partition_by and c not in pick]
     if len(directions) == 1:
-        reduce = F.max if directions == {"desc"} else F.min
-        return df.groupBy(*partition_by).agg(reduce(F.struct(*pick, *rest)).alias("_row")).select(
+        # In the order of structs a NULL is the least value: last for max, and put behind by a flag for min.
+        behind = [f for c in pick for f in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+        best = F.max(F.struct(*pick, *rest)) if directions == {"desc"} else F.min(F.struct(*behind, *rest))
+        return df.groupBy(*partition_by).agg(best.alias("_row")).select(
             *[F.col(c) if c in partition_by else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
         )
     (lead, direction), *others = order_by

@@ -54,7 +54,14 @@ def five_numbers(df: DataFrame, keys: Sequence[str], value: str, width: float) -
         mean(value).alias("avg_value"),
     )
     rounded = quartiles.select(*keys, *[F.round(q, 2).alias(q) for q in ("q1", "median", "q3")])
-    return plain.join(rounded, list(keys)) if keys else beside(plain, rounded)
+    return _with(plain, rounded, keys) if keys else beside(plain, rounded)
+
+
+def _with(groups: DataFrame, more: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the columns of ``more`` to every group; NULL keys match each other, groups it lacks (all values NULL) get NULLs."""
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    added = [F.col(f"m.{c}") for c in more.columns if c not in keys]
+    return groups.alias("g").join(more.alias("m"), same, "left").select("g.*", *added)
 
 
 def monthly_totals(transactions: DataFrame) -> DataFrame:
@@ -70,7 +77,7 @@ def usage_statistics(log: DataFrame, keys: Sequence[str], elapsed: str, volume:
     times = exact_percentiles(log, keys, elapsed, {"median_elapsed": 0.5, "p90_elapsed": 0.9}, width)
     volumes = exact_percentiles(log, keys, volume, {"median_volume": 0.5}, volume_width)
     plain = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("count_queries"), mean(volume).alias("avg_volume"))
-    return plain.join(times, list(keys)).join(volumes, list(keys))
+    return _with(_with(plain, times, keys), volumes, keys)
 
 
 def size_bands(files: DataFrame, size: str, low: int, high: int) -> DataFrame:

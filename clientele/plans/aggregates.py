@@ -341,13 +341,12 @@ def agg_eda_date_span(spark, folder):
 
 
 @query("agg_with_without", sql(
-    f"""with g as (select case when exists (select 1 from txn where txn.customer_id = cust.customer_id and status = 'approved')
+    f"""with g as (select case when exists (select 1 from txn where txn.customer_id = cust.customer_id)
         then 'With Transactions' else 'No Transactions' end as customer_status from cust)
     select customer_status, {n('count(*)')} as customer_count, {pct('count(*)', 'sum(count(*)) over ()')} as percentage from g group by 1""",
     "cust", "txn"))
 def agg_with_without(spark, folder):
-    approved = transactions(spark, folder).where(F.col("status") == "approved")
-    return R.with_and_without(customers(spark, folder), approved)
+    return R.with_and_without(customers(spark, folder), transactions(spark, folder))
 
 
 @query("agg_share_partitioned", sql(

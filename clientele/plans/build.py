@@ -46,9 +46,11 @@ def build(
     log("START")
     dim = keep("dim_customer", star.initial_dimension(customers(spark, folder)))
     cats = keep("dim_merchant_category", star.dim_category(table(spark, folder, "part").select(category().alias("c")), "c"))
-    keep("dim_date", star.dim_date(spark, as_of))
     facts = star.fact_transactions(fact(spark, folder), dim, cats)
     fct = keep("fct_transactions", facts.withColumn("month", F.trunc("transaction_date", "month")), by_month)
+    # Every fact row finds its day: the calendar runs from the first to the last day of the fact.
+    span = fct.agg(F.min(F.to_date("transaction_date")).alias("first"), F.max(F.to_date("transaction_date")).alias("last"))
+    keep("dim_date", star.calendar_between(span.where("first is not null"), as_of))
 
     current = dim.where("is_current")
     named = fct.join(cats.select(F.col("category_key").alias("merchant_category_key"), "category_name"), "merchant_category_key")

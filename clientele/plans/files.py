@@ -135,7 +135,7 @@ def src_path_partition(spark, folder):
     """The feed rewritten once into year / quarter folders; the filter then reads one folder."""
     path = scratch(spark, "feed-by-quarter")
     fin = files.split_records(files.read_fixed_width(spark, _feed(spark, folder)))["FIN"]
-    fin.withColumns({"year": F.col("year").cast("int"), "quarter": F.col("quarter").cast("int")}).write.partitionBy("year", "quarter").parquet(path)
+    sinks.write_partitioned(fin.withColumns({"year": F.col("year").cast("int"), "quarter": F.col("quarter").cast("int")}), path, "year", more=["quarter"])
     one = spark.read.parquet(path).where((F.col("year") == 1997) & (F.col("quarter") == 2))
     return one.groupBy(F.col("year").cast("string").alias("year"), F.col("quarter").cast("string").alias("quarter")).agg(F.sum("revenue").alias("total_revenue"))
 
@@ -207,7 +207,7 @@ def snk_validated_commit(spark, folder):
         sinks.publish_validated(items, bad, "l_orderkey", ["l_orderkey"], expected_rows=items.count())
     except sinks.ValidationFailed:
         outcome = "rejected"
-    published = spark.read.parquet(good).agg(F.count(F.lit(1)).alias("n_rows")).select(
+    published = sinks.read_published(spark, good).agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit("orders").alias("load"), F.lit("published" if found["repeated_keys"] == 0 else "rejected").alias("outcome"), "n_rows"
     )
     return published.unionByName(spark.range(1).select(F.lit("lineitem").alias("load"), F.lit(outcome).alias("outcome"), F.lit(0).cast("bigint").alias("n_rows")))
@@ -257,7 +257,9 @@ def inc_lookback_merge(spark, folder):
     last = spark.read.parquet(path).agg(F.max("month")).first()[0]
     since = months_before(last, 2)
     recent = monthly_spending(txn.where(day >= F.lit(since))).select(*columns)
-    sinks.overwrite_partitions(recent, path, "month")
+    # Months of the window that get no row any more are emptied.
+    window = spark.read.parquet(path).where(F.col("month") >= F.lit(since)).select("month")
+    sinks.overwrite_partitions(recent, path, "month", touched=window)
     return spark.read.parquet(path).select(*columns)
 
 
@@ -294,11 +296,12 @@ def stm_append_stage(spark, folder):
 
 @query("stm_fact_upsert", sql(f"with {FACT_SQL} select * from applied", "txn"))
 def stm_fact_upsert(spark, folder):
-    """The change batch delivered as four files, one per micro-batch, stored as deltas and merged on read."""
+    """The change batch delivered as files in about four micro-batches, stored as deltas and merged on read."""
     arriving, deltas, checkpoint = scratch(spark, "changes"), scratch(spark, "deltas"), scratch(spark, "deltas-checkpoint")
     batch = fact_changes(spark, folder)
-    batch.repartition(4, "transaction_id").write.parquet(arriving)
-    stream = feeds.file_stream(spark, arriving, batch.schema, files_per_batch=1)
+    batch.write.parquet(arriving)
+    files_each = max(1, -(-len(spark.read.parquet(arriving).inputFiles()) // 4))
+    stream = feeds.file_stream(spark, arriving, batch.schema, files_per_batch=files_each)
     feeds.collect_changes(stream, deltas, checkpoint, ["transaction_id"], CHANGE_ORDER).awaitTermination()
     return feeds.current_state(
         order_target(spark, folder), spark.read.parquet(deltas), ["transaction_id"], CHANGE_ORDER, ["amount", "transaction_date", "status"], "action"

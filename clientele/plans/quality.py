@@ -176,9 +176,9 @@ def dq_scd_one_current(spark, folder):
 @query("dq_scd_no_gaps", sql(
     f"""with {VERSIONS_SQL}, x as (select *, lead(valid_from) over (partition by customer_id order by valid_from) as next_valid_from from w)
     select customer_id, valid_from, valid_to, next_valid_from, {days('valid_to', 'next_valid_from')} - 1 as gap_days from x
-    where next_valid_from is not null and valid_to != next_valid_from - 1 and next_valid_from >= date '1998-01-01'""", "txn"))
+    where next_valid_from is not null and valid_to != next_valid_from - 1""", "txn"))
 def dq_scd_no_gaps(spark, folder):
-    return Q.scd_gaps(_versions(spark, folder)).where(F.col("next_valid_from") >= F.lit(dt.date(1998, 1, 1)))
+    return Q.scd_gaps(_versions(spark, folder))
 
 
 @query("dq_segment_min_share", sql(
@@ -239,17 +239,16 @@ TXN_MEASURES = f"""m as (select count(*) as rows, count(*) - count(distinct tran
     (select count(*) from t where not exists (select 1 from known where t.customer_id = known.customer_id)) as orphan_r,
     {months('min(transaction_date)', 'max(transaction_date)')} as span, count(*) filter (transaction_date > date '2001-06-01') as future, count(*) filter (amount <= 0) as low,
     count(*) filter (amount > 450000) as high, max(amount) as top from t)"""
-# Lines carry repeated ids; customers with a negative balance count as unknown, dates after 2001-06-01 as future.
+# Lines carry repeated ids; dates after 2001-06-01 count as future.
 SUITE_INPUT = """t as (select raw.transaction_id, customer_id, transaction_date, raw.amount, raw.ingestion_timestamp from raw join txn on raw.order_id = txn.transaction_id),
-    known as (select customer_id from cust where credit_limit >= 0)"""
+    known as (select customer_id from cust)"""
 SUITE_AS_OF = dt.date(2001, 6, 1)
 
 
 def _suite_measures(spark, folder):
     orders = transactions(spark, folder).select(F.col("transaction_id").alias("order_id"), "customer_id", "transaction_date")
     rows = raw_lines(spark, folder).join(orders, "order_id")
-    known = customers(spark, folder).where("credit_limit >= 0")
-    return S.transaction_measures(rows, known, SUITE_AS_OF, high_amount=100000)
+    return S.transaction_measures(rows, customers(spark, folder), SUITE_AS_OF, high_amount=100000)
 
 
 @query("dq_transaction_suite", sql(
@@ -377,11 +376,9 @@ def ob_dashboard(spark, folder):
     f"""select timestamp '2001-08-02' as snapshot_timestamp, customer_segment, {n('count(distinct cust.customer_id)')} as total_customers, {n('count(distinct txn.customer_id)')} as customers_with_transactions,
     {n('count(transaction_id)')} as txn_count, {d('min(amount)')} as min_amount, {avg('amount')} as avg_amount, {d('max(amount)')} as max_amount, {d('sum(amount)')} as total_spend,
     {rnd('cast(count(transaction_id) as double) / count(distinct cust.customer_id)')} as avg_txns_per_customer, cast(sum(amount) as double) / cast(count(distinct cust.customer_id) as double) as spend_per_customer
-    from cust left join (select * from txn where status = 'approved') txn on cust.customer_id = txn.customer_id group by 2""", "cust", "txn"))
+    from cust left join txn on cust.customer_id = txn.customer_id group by 2""", "cust", "txn"))
 def ob_segment(spark, folder):
-    approved = transactions(spark, folder).where(F.col("status") == "approved")
-    record = T.segment_record(customers(spark, folder), approved, AFTER_AT)
-    return record
+    return T.segment_record(customers(spark, folder), transactions(spark, folder), AFTER_AT)
 
 
 @query("ob_layer_counts", " union all ".join(

@@ -189,29 +189,29 @@ def jn_profile(spark, folder):
 
 @query("jn_left_agg", sql(
     f"""select cust.customer_id, {n('count(transaction_id)')} as txn_count, {d('sum(amount)')} as total_spend, {avg('amount')} as avg_amount
-    from cust left join (select * from txn where channel = '1-URGENT') t on cust.customer_id = t.customer_id group by 1""", "cust", "txn"))
+    from cust left join txn t on cust.customer_id = t.customer_id group by 1""", "cust", "txn"))
 def jn_left_agg(spark, folder):
-    urgent = per_customer(transactions(spark, folder).where(F.col("channel") == "1-URGENT"))
-    return customers(spark, folder).select("customer_id").join(urgent, "customer_id", "left").groupBy("customer_id").agg(
+    totals = per_customer(transactions(spark, folder))
+    return customers(spark, folder).select("customer_id").join(totals, "customer_id", "left").groupBy("customer_id").agg(
         *merged("txn_count", "total_spend", "avg_amount")
     )
 
 
 @query("jn_anti_orphans", sql(
-    f"""select 'orders of customers with negative balance' as kind, {n('count(*)')} as issue_count from txn
-        where not exists (select 1 from cust where cust.customer_id = txn.customer_id and credit_limit >= 0)
-    union all select 'customers without urgent orders', {n('count(*)')} from cust
-        where not exists (select 1 from txn where txn.customer_id = cust.customer_id and channel = '1-URGENT')""", "txn", "cust"))
+    f"""select 'orders of unknown customers' as kind, {n('count(*)')} as issue_count from txn
+        where not exists (select 1 from cust where cust.customer_id = txn.customer_id)
+    union all select 'customers without orders', {n('count(*)')} from cust
+        where not exists (select 1 from txn where txn.customer_id = cust.customer_id)""", "txn", "cust"))
 def jn_anti_orphans(spark, folder):
     txn, who = transactions(spark, folder), customers(spark, folder)
     # Orders are counted per customer before the anti join, so that a busy customer is one row of it.
     counted = txn.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
-    orphans = counted.join(who.where("credit_limit >= 0"), "customer_id", "left_anti").agg(
+    orphans = counted.join(who, "customer_id", "left_anti").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("issue_count")
     )
-    idle = who.join(txn.where(F.col("channel") == "1-URGENT"), "customer_id", "left_anti").agg(F.count(F.lit(1)).alias("issue_count"))
-    return orphans.withColumn("kind", F.lit("orders of customers with negative balance")).unionByName(
-        idle.withColumn("kind", F.lit("customers without urgent orders"))
+    idle = who.join(counted, "customer_id", "left_anti").agg(F.count(F.lit(1)).alias("issue_count"))
+    return orphans.withColumn("kind", F.lit("orders of unknown customers")).unionByName(
+        idle.withColumn("kind", F.lit("customers without orders"))
     )
 
 

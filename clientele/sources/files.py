@@ -103,7 +103,7 @@ def quarantine(df: DataFrame, text: str, fields: Mapping[str, str]) -> DataFrame
     for name, kind in fields.items():
         miss = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
         bad = miss if bad is None else bad | miss
-    original = F.concat_ws(",", *fields)
+    original = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in fields])  # a NULL is an empty field, as in the file
     return df.withColumn(text, F.when(bad, original)).withColumns({n: F.col(n).try_cast(k) for n, k in fields.items()})
 
 

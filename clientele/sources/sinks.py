@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,15 +38,16 @@ def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
 def publish_validated(
     df: DataFrame, path: str, key: str, required: Sequence[str], expected_rows: int, tolerance: float = 0.25
 ) -> dict[str, int]:
-    """Write to a staging place, check the written rows, and only then write the final place.
+    """Write a new version below ``path``, check the written rows, and only then make it the current one.
 
-    The checks read the staged files, not the source again, so what was checked is what is published. A failed load
-    raises and leaves ``path`` as it was.
+    Rows are written once; the checks read the written files, so what was checked is what is published. Publishing
+    replaces one small pointer file by an atomic rename: a failed load, or a crash at any time, leaves the published
+    version as it was. The version before stays for a roll-back, older ones go. Read with :func:`read_published`.
     """
     spark = df.sparkSession
-    staging = scratch(spark, "staged-load")
-    df.write.parquet(staging)
-    staged = spark.read.parquet(staging)
+    version = f"version-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(f"{path}/{version}")
+    staged = spark.read.parquet(f"{path}/{version}")
     nulls = staged.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required])
     found = beside(duplicates(staged, key), nulls).first().asDict()
     low, high = expected_rows * (1 - tolerance), expected_rows * (1 + tolerance)
@@ -56,44 +58,109 @@ def publish_validated(
     if found["repeated_keys"]:
         problems.append(f"{found['repeated_keys']} repeated values of {key}")
     if problems:
+        _remove(spark, f"{path}/{version}")
         raise ValidationFailed("; ".join(problems))
-    staged.write.mode("overwrite").parquet(path)
+    before = [v for v in _versions(spark, path) if v != version][:1]
+    _point(spark, path, [version, *before])
+    for name in _folders(spark, path):
+        if name.startswith("version-") and name not in (version, *before):
+            _remove(spark, f"{path}/{name}")
     return found
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "error", sort_by: Sequence[str] = ()) -> None:
-    """Write one folder per value of ``partition``; overwriting replaces only the folders that get rows.
+def read_published(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
+    """The current version of a published table, or the one ``back`` versions before."""
+    return spark.read.parquet(f"{path}/{_versions(spark, path)[back]}")
+
+
+def _place(spark: SparkSession, path: str):
+    """The Hadoop file context and path, for whatever store ``path`` names."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p)
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()), p
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    _, p = _place(spark, path)
+    return [s.getPath().getName() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    _, p = _place(spark, path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names in the pointer file, the current one first; none before the first publish."""
+    _, p = _place(spark, f"{path}/CURRENT")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return []
+    return spark.read.text(f"{path}/CURRENT").first()[0].split()
+
+
+def _point(spark: SparkSession, path: str, versions: list[str]) -> None:
+    context, new = _place(spark, f"{path}/next-{uuid.uuid4().hex[:12]}")
+    out = new.getFileSystem(spark._jsc.hadoopConfiguration()).create(new)
+    out.write(bytearray(" ".join(versions).encode()))
+    out.close()
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(new, _place(spark, f"{path}/CURRENT")[1], options)
+
+
+def write_partitioned(
+    df: DataFrame, path: str, partition: str, mode: str = "error", sort_by: Sequence[str] = (), more: Sequence[str] = ()
+) -> None:
+    """Write one folder per value of ``partition`` (and of the columns ``more`` below it); overwriting replaces only the folders that get rows.
 
     Rows are rebalanced by the partition value: small ones end up in one file, and one that holds a large part of the
     table is split over many tasks. ``sort_by`` orders the rows inside the files, so scans can skip row groups.
     """
-    balanced = df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort_by)
-    balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    folders = [partition, *more]
+    balanced = df.hint("rebalance", *[F.col(c) for c in folders]).sortWithinPartitions(*folders, *sort_by)
+    balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace exactly the partitions that occur in ``df``.
+def overwrite_partitions(df: DataFrame, path: str, partition: str, touched: DataFrame | None = None) -> None:
+    """Replace the partitions that occur in ``df``, and empty those that occur only in ``touched``.
 
-    ``df`` may read from ``path`` itself: it is written to a staging place first.
+    ``df`` may read from ``path`` itself: it is written to a staging place first, which is removed at the end. An emptied
+    partition loses its folder; only partition values, one for each folder, come to the driver for that.
     """
     spark = df.sparkSession
     staging = scratch(spark, "partitions")
     df.write.parquet(staging)
-    write_partitioned(spark.read.parquet(staging), path, partition, mode="overwrite")
+    staged = spark.read.parquet(staging)
+    emptied = []
+    if touched is not None:
+        has = staged.select(F.col(partition).alias("_has")).distinct()
+        emptied = touched.select(F.col(partition).alias("_v")).distinct().join(has, F.col("_v").eqNullSafe(F.col("_has")), "left_anti").select(
+            F.col("_v").cast("string").alias("v")
+        ).collect()
+    write_partitioned(staged, path, partition, mode="overwrite")
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in emptied:
+        _remove(spark, f"{path}/{utils.getPartitionPathString(partition, row.v)}")
+    _remove(spark, staging)
 
 
 def upsert_table(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], partition: str
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], partition: str,
+    action: str | None = None,
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions the batch touches.
 
+    With ``action``, rows whose latest change is a DELETE go; a partition that loses all its rows loses its folder.
+
     The partition of a key must not change between versions of its row. The semi join on the partition column lets
     Spark prune the read of the table to the touched partitions.
     """
     target = spark.read.parquet(path)
     touched = batch.select(partition).distinct()
     affected = target.join(touched, partition, "left_semi")
-    overwrite_partitions(cdc.upsert(affected, batch, keys, order_by), path, partition)
+    overwrite_partitions(cdc.upsert(affected, batch, keys, order_by, action=action), path, partition, touched=touched)
 
 
 def above_watermark(source: DataFrame, target: DataFrame, column: str) -> DataFrame:

@@ -50,7 +50,39 @@ def test_rejected_load_leaves_the_published_table(spark, tmp_path):
     for bad in (good.union(good), spark.range(1).withColumn("v", F.lit("b")), good.withColumn("v", F.lit(None).cast("string"))):
         with pytest.raises(sinks.ValidationFailed):
             sinks.publish_validated(bad, path, "id", ["id", "v"], expected_rows=10)
-    assert spark.read.parquet(path).where("v = 'a'").count() == 10
+        assert sinks.read_published(spark, path).where("v = 'a'").count() == 10
+    assert len([f for f in (tmp_path / "t").iterdir() if f.is_dir()]) == 1
+
+
+def test_publish_survives_a_crash_and_rolls_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for v in "abc":
+        sinks.publish_validated(spark.range(10).withColumn("v", F.lit(v)), path, "id", ["id"], expected_rows=10)
+
+    def crash(*args):
+        raise OSError("the driver died")
+
+    monkeypatch.setattr(sinks, "_point", crash)
+    with pytest.raises(OSError):
+        sinks.publish_validated(spark.range(10).withColumn("v", F.lit("d")), path, "id", ["id"], expected_rows=10)
+    assert {r.v for r in sinks.read_published(spark, path).collect()} == {"c"}
+    assert {r.v for r in sinks.read_published(spark, path, back=1).collect()} == {"b"}
+
+
+def test_deletes_and_emptied_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 10, "a"), (2, 20, "a"), (3, 30, "b b")], "id long, v long, p string").write.partitionBy("p").parquet(path)
+    batch = spark.createDataFrame([(3, 30, "b b", 1, "DELETE"), (2, 20, "a", 1, "DELETE"), (4, 40, "c", 1, "INSERT")], "id long, v long, p string, at long, action string")
+    sinks.upsert_table(spark, path, batch, ["id"], ["at"], "p", action="action")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "p").collect()) == [(1, 10, "a"), (4, 40, "c")]
+    table = spark.read.parquet(path)
+    sinks.overwrite_partitions(table.where("id = 1 and v = 0"), path, "p", touched=table.where("p = 'c'"))
+    assert [tuple(r) for r in spark.read.parquet(path).select("id", "v", "p").collect()] == [(1, 10, "a")]
+
+
+def test_rejected_text_keeps_empty_fields(spark):
+    rows = spark.createDataFrame([(None, "n/a", "7"), ("1", "2", None)], "a string, b string, c string")
+    assert [r.bad for r in files.quarantine(rows, "bad", {"a": "int", "b": "int", "c": "int"}).collect()] == [",n/a,7", None]
 
 
 def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
@@ -117,6 +149,7 @@ def test_build_writes_all_tables_consistently(spark, tmp_path):
     facts, profile = made["fct_transactions"], made["customer_360_profile"]
     assert facts.count() == facts.select("transaction_key").distinct().count() > 0
     assert profile.count() == facts.select("customer_key").distinct().count()
+    assert facts.join(made["dim_date"], "date_key").count() == facts.count()
     total = facts.agg(F.sum("amount").cast("double")).first()[0]
     assert profile.agg(F.sum("lifetime_value")).first()[0] == pytest.approx(total)
     approved = facts.where("status = 'approved'").agg(F.sum("amount")).first()[0]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clientele.functions import columns as K
 from clientele.functions import text as X
 from clientele.functions.dates import months_before, months_between_boundaries
-from clientele.operators import campaign, cdc, churn, policy, quality, reshape, scd, semantic, setops
+from clientele.operators import campaign, cdc, churn, policy, quality, reports, reshape, scd, semantic, setops
 from clientele.operators import customer as C
 from clientele.operators import windows as W
 from clientele.operators.dedupe import deduplicate, latest_per_key
@@ -421,3 +421,21 @@ def test_gate_and_refresh_without_model(spark):
     assert churn.gate(churn.metrics(scored)).first()["validation_result"].startswith("PASS")
     with pytest.raises(ValueError):
         churn.refresh(None, scored, D(2024, 1, 1))
+
+
+def test_reports_keep_null_and_all_null_groups(spark):
+    rows = [("a", 1.0, 5.0), ("a", 3.0, 7.0), (None, 2.0, 6.0), ("z", None, None)]
+    df = spark.createDataFrame(rows, "k string, v double, w double")
+    five = {r["k"]: (r["median"], r["max_value"]) for r in reports.five_numbers(df, ["k"], "v", 1.0).collect()}
+    assert five == {"a": (2.0, 3.0), None: (2.0, 2.0), "z": (None, None)}
+    usage = {r["k"]: (r["count_queries"], r["median_elapsed"], r["median_volume"]) for r in reports.usage_statistics(df, ["k"], "v", "w", 1.0, 1.0).collect()}
+    assert usage == {"a": (2, 2.0, 6.0), None: (1, 2.0, 6.0), "z": (1, None, None)}
+
+
+def test_deduplicate_takes_nulls_last_in_every_direction(spark):
+    df = spark.createDataFrame([(1, None, 1), (1, 5, None), (1, 5, 2)], "k long, t long, s long")
+    for first in ("asc", "desc"):
+        for second in ("asc", "desc"):
+            assert [tuple(r) for r in deduplicate(df, ["k"], [("t", first), ("s", second)]).collect()] == [(1, 5, 2)]
+    only = spark.createDataFrame([(1, None, 1)], "k long, t long, s long")
+    assert [tuple(r) for r in deduplicate(only, ["k"], [("t", "asc"), ("s", "desc")]).collect()] == [(1, None, 1)]
