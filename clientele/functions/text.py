@@ -119,6 +119,8 @@ def readable(df: DataFrame) -> DataFrame:
         if "month" in name or "date" in name:
             if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
                 c = F.date_format(c, "MMM yyyy" if "month" in name else "yyyy-MM-dd")
+            elif isinstance(field.dataType, T.StringType):  # dates held as text; other text stays
+                c = F.coalesce(F.date_format(c.try_cast("timestamp"), "MMM yyyy" if "month" in name else "yyyy-MM-dd"), c)
         elif any(m in name for m in PERCENT_MARKS):
             if numeric:
                 c = F.when(c.isNull(), missing).otherwise(F.format_string("%.1f%%", c.cast("double")))

@@ -219,8 +219,11 @@ def score_summary(predictions: DataFrame) -> DataFrame:
 COMPLETENESS = ("age", "credit_limit", "avg_monthly_spend", "tenure_months", "travel_spend_pct", "spend_change_pct")
 
 
-def validate_training(data: DataFrame) -> DataFrame:
-    """Checks of the training table from one aggregate: size, balance, gaps, ranges, completeness, class sizes."""
+def validate_training(data: DataFrame, rows: tuple[int, int] = (40000, 1000), smaller: tuple[int, int] = (1000, 100)) -> DataFrame:
+    """Checks of the training table from one aggregate: size, balance, gaps, ranges, completeness, class sizes.
+
+    ``rows`` and ``smaller``: table and class sizes that pass, and that still are a warning.
+    """
     c = F.col
     row = data.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("churned"), F.lit(0)).alias("churned"),
@@ -233,7 +236,7 @@ def validate_training(data: DataFrame) -> DataFrame:
     rate = pct("churned", "rows")
     both = lambda n: (churned >= n) & (active >= n)
     return report(row, [
-        ("row_count", c("rows"), banded_status(c("rows") >= 40000, c("rows") >= 1000)),
+        ("row_count", c("rows"), banded_status(c("rows") >= rows[0], c("rows") >= rows[1])),
         ("churn_rate_pct", rate, passed(rate.between(8, 15), "WARNING")),
         ("rows_with_missing_features", c("gaps"), passed(c("gaps") == 0)),
         ("demographic_ranges", c("max_credit_limit"), passed(
@@ -244,7 +247,7 @@ def validate_training(data: DataFrame) -> DataFrame:
         *[(f"complete {f}", pct(f"filled_{f}", "rows"),
            F.when(c(f"filled_{f}") == c("rows"), "COMPLETE").when(pct(f"filled_{f}", "rows") >= 95, "MOSTLY COMPLETE").otherwise("INCOMPLETE"))
           for f in COMPLETENESS],
-        ("smaller_class", F.least(churned, active), banded_status(both(1000), both(100))),
+        ("smaller_class", F.least(churned, active), banded_status(both(smaller[0]), both(smaller[1]))),
     ])
 
 
@@ -274,12 +277,15 @@ class Retrained:
     predictions: DataFrame | None
 
 
-def retrain(profile: DataFrame, labelled: DataFrame, as_of: dt.date, min_rows: int = 1000, seed: int = 7) -> Retrained:
+def retrain(
+    profile: DataFrame, labelled: DataFrame, as_of: dt.date, rows: tuple[int, int] = (40000, 1000),
+    smaller: tuple[int, int] = (1000, 100), seed: int = 7,
+) -> Retrained:
     """Validate the training table, train, pass the gate, score. Stops with the reason when a step fails."""
     data = training_data(profile, labelled)
-    size = data.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("churned"), F.lit(0)).alias("c")).first()
-    if size["n"] < min_rows or size["c"] in (0, size["n"]):
-        return Retrained(None, f"FAIL: {size['n']} training rows with {size['c']} churned", None)
+    failed = [r["check_name"] for r in validate_training(data, rows, smaller).where("status = 'FAIL'").collect()]  # a row per check
+    if failed:
+        return Retrained(None, f"FAIL: training data: {', '.join(sorted(failed))}", None)
     model, held_out = train(data, seed)
     verdict = gate(metrics(held_out)).first()["validation_result"]
     if not verdict.startswith("PASS"):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import mean, pct, safe_divide
+from clientele.functions.text import format_bytes, format_millis
 from clientele.operators.setops import beside
 from clientele.operators.windows import exact_percentiles, share_of_total
 
@@ -80,6 +81,26 @@ def usage_statistics(log: DataFrame, keys: Sequence[str], elapsed: str, volume:
     return _with(_with(plain, times, keys), volumes, keys)
 
 
+def formatted_usage(log: DataFrame, keys: Sequence[str], elapsed: str, volume: str, width: float, volume_width: float) -> DataFrame:
+    """:func:`usage_statistics` by any number of keys, with times and sizes as text."""
+    stats = usage_statistics(log, keys, elapsed, volume, width, volume_width)
+    return stats.select(
+        *keys, "count_queries", *[format_millis(F.floor(c)).alias(c) for c in ("median_elapsed", "p90_elapsed")],
+        *[format_bytes(F.floor(c)).alias(c) for c in ("median_volume", "avg_volume")],
+    )
+
+
+def size_totals(files: DataFrame, keys: Sequence[str], size: str, over: int = 262_144_000) -> DataFrame:
+    """Files above ``over`` by table: number, mean and total size, as text and in whole bytes."""
+    s = F.col(size)
+    totals = files.where(s > over).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_files"), F.floor(mean(s)).cast("bigint").alias("avg_file_size_bytes"), F.sum(s).cast("bigint").alias("total_file_size_bytes")
+    )
+    return totals.withColumns({
+        "avg_file_size": format_bytes("avg_file_size_bytes"), "total_file_size": format_bytes("total_file_size_bytes"),
+    })
+
+
 def size_bands(files: DataFrame, size: str, low: int, high: int) -> DataFrame:
     """Mean and count of sizes up to ``low``, between both bounds (both included), and above ``high``."""
     s = F.col(size)

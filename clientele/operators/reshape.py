@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.functions.columns import slugify
+from clientele.functions.dates import at_time
 
 COMPARE = {
     "=": lambda c, v: c == v, "!=": lambda c, v: c != v, ">": lambda c, v: c > v, ">=": lambda c, v: c >= v,
@@ -74,10 +75,22 @@ def series(spark: SparkSession, n: int, name: str = "generated_number") -> DataF
     return spark.range(1, n + 1).select(F.col("id").alias(name))
 
 
+SECONDS = {"minute": 60, "hour": 3600}
+
+
 def date_spine(spark: SparkSession, part: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Dates from ``start`` in steps of ``part`` (day, week, month, year); ``end`` itself is not produced."""
-    step = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH", "year": "INTERVAL 1 YEAR"}[part]
+    """Dates from ``start`` in steps of ``part``; ``end`` itself is not produced.
+
+    Parts: minute and hour give timestamps; day, week, month, quarter and year give dates. Steps are made in the tasks.
+    """
     name = f"date_{part}"
+    if part in SECONDS:
+        first = dt.datetime.combine(start, dt.time())
+        count = max(0, (end - start).days * 86400 // SECONDS[part])
+        return spark.range(count).select((at_time(first) + F.make_dt_interval(secs=F.col("id") * SECONDS[part])).alias(name))
+    step = {
+        "day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH", "year": "INTERVAL 1 YEAR",
+    }[part]
     if end <= start:
         return spark.createDataFrame([], f"{name} date")
     one = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end), F.expr(step))).alias(name))

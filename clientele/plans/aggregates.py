@@ -474,6 +474,34 @@ def agg_usage_percentiles(spark, folder):
     return stats.withColumns({c: F.round(c, 4) for c in ("median_elapsed", "p90_elapsed", "median_volume")})
 
 
+def _bytes(b: str) -> str:
+    return f"case when {b} > 1048576 then ({b} // 1048576)::varchar || 'MB' when {b} > 1024 then ({b} // 1024)::varchar || 'KB' else {b}::varchar end"
+
+
+def _millis(ms: str) -> str:
+    s = f"({ms} // 1000)"
+    return (f"case when {s} >= 3600 then ({s} // 3600) || 'h ' || ({s} % 3600 // 60) || 'm ' || ({s} % 60) || 's' when {s} >= 60 then ({s} // 60) || 'm ' || ({s} % 60) || 's' "
+            f"when {s} > 0 then {s} || 's' else {ms} || 'ms' end")
+
+
+@query("agg_usage_report", f"""with g as (select event_type, cast(date_trunc('month', ts) as date) as month, count(*)::bigint as count_queries, floor(quantile_cont(floor(value * 1000), 0.5))::bigint as m, floor(quantile_cont(floor(value * 1000), 0.9))::bigint as p,
+        floor(quantile_cont(cast(length(props) * 100 as double), 0.5))::bigint as v, floor(avg(length(props) * 100))::bigint as a from events group by 1, 2)
+    select event_type, month, count_queries, {_millis('m')} as median_elapsed, {_millis('p')} as p90_elapsed, {_bytes('v')} as median_volume, {_bytes('a')} as avg_volume from g""")
+def agg_usage_report(spark, folder):
+    """Usage by two keys with times and sizes as text."""
+    log = table(spark, folder, "events").select(
+        "event_type", F.trunc("ts", "month").alias("month"), F.floor(F.col("value") * 1000).alias("elapsed"), (F.length("props") * 100).alias("volume")
+    )
+    return R.formatted_usage(log, ["event_type", "month"], "elapsed", "volume", 256.0, 512.0)
+
+
+@query("agg_size_totals", f"""with g as (select lang, source, count(*)::bigint as n_files, floor(avg(n_chars))::bigint as avg_file_size_bytes, sum(n_chars)::bigint as total_file_size_bytes from documents where n_chars > 1000 group by 1, 2)
+    select *, {_bytes('avg_file_size_bytes')} as avg_file_size, {_bytes('total_file_size_bytes')} as total_file_size from g""")
+def agg_size_totals(spark, folder):
+    """The large texts of each language and source, as a file report by table."""
+    return R.size_totals(table(spark, folder, "documents"), ["lang", "source"], "n_chars", over=1000)
+
+
 @query("agg_size_buckets", sql(
     f"""select {avg('case when n_chars <= 1000 then n_chars end')} as avg_small, {n('count(case when n_chars <= 1000 then 1 end)')} as count_small,
     {avg('case when n_chars between 1000 and 5000 then n_chars end')} as avg_middle, {n('count(case when n_chars between 1000 and 5000 then 1 end)')} as count_middle,

@@ -136,7 +136,7 @@ def ml_score(spark, folder):
 def ml_retrain(spark, folder):
     """Labels, validation, training, gate and scoring in one job; the verdict and the number of scored customers."""
     who = checkpointed(inputs.profile(spark, folder, median=True))
-    result = churn.retrain(who, _labels(spark, folder), AS_OF, min_rows=100)
+    result = churn.retrain(who, _labels(spark, folder), AS_OF, rows=(1000, 50), smaller=(100, 5))
     if result.predictions is None:
         return who.limit(1).select(F.lit(result.verdict).alias("verdict"), F.lit(0).cast("bigint").alias("scored"))
     return result.predictions.agg(F.count(F.lit(1)).alias("scored")).select(F.lit(result.verdict).alias("verdict"), "scored")

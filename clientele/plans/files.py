@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +90,27 @@ def src_fail_fast(spark, folder):
     return files.quarantine(text, "rejected", {"event_id": "bigint", "value": "double", "user_id": "bigint"})
 
 
+@query("src_abort_on_error", f"""select 'clean' as load, 'loaded' as outcome, {n('count(*)')} as n_rows from events union all
+    select 'broken', case when count(*) filter (event_type = 'error') > 0 then 'aborted' else 'loaded' end, {n("case when count(*) filter (event_type = 'error') > 0 then 0 else count(*) end")} from events""")
+def src_abort_on_error(spark, folder):
+    """Abort-on-error load: one value that does not fit ends the load, and nothing of it is kept."""
+    events, schema = table(spark, folder, "events"), "event_id bigint, value double"
+    value = F.col("value").cast("string")
+    out = None
+    for name, shown in (("clean", value), ("broken", F.when(F.col("event_type") == "error", "n/a").otherwise(value))):
+        source, target = scratch(spark, f"{name}-csv"), scratch(spark, f"{name}-loaded")
+        events.select(F.col("event_id").cast("string"), shown.alias("value")).write.option("header", True).csv(source)
+        try:
+            spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(source).write.parquet(target)
+            loaded = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n_rows"))
+            outcome = "loaded"
+        except (PySparkException, Py4JJavaError):
+            loaded, outcome = events.where(F.lit(False)).agg(F.count(F.lit(1)).alias("n_rows")), "aborted"
+        row = loaded.select(F.lit(name).alias("load"), F.lit(outcome).alias("outcome"), "n_rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _padded(*cells: tuple[str, int]):
     return F.concat(*[F.rpad(F.coalesce(c if not isinstance(c, str) else F.col(c), F.lit("")), size, " ") for c, size in cells])
 

@@ -498,6 +498,19 @@ def shp_date_spine(spark, folder):
     return reshape.spine_of(span, "INTERVAL 1 DAY", "date_day")
 
 
+@query("shp_date_spine_parts", " union all ".join(
+    f"""select '{part}' as part, s as moment from (select unnest(range((select min(cast(o_orderdate as date)) from orders)::timestamp, (select max(cast(o_orderdate as date)) from orders)::timestamp, interval {step})) as s)"""
+    for part, step in (("hour", "1 hour"), ("week", "7 day"), ("month", "1 month"), ("quarter", "3 month"), ("year", "1 year"))))
+def shp_date_spine_parts(spark, folder):
+    """Spines of several parts over the days of the orders; the two bounds are read first."""
+    first, last = transactions(spark, folder).agg(F.min("transaction_date"), F.max("transaction_date")).first()
+    out = None
+    for part in ("hour", "week", "month", "quarter", "year"):
+        own = reshape.date_spine(spark, part, first, last).select(F.lit(part).alias("part"), F.col(f"date_{part}").cast("timestamp_ntz").alias("moment"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @query("shp_dim_date", sql(f"""with days as (select unnest(range((select min(transaction_date) from txn), (select max(transaction_date) from txn) + 1, interval 1 day))::date as d)
     select d as date_day, {n("strftime(d, '%Y%m%d')")} as date_key, {n('year(d)')} as year, {n('quarter(d)')} as quarter, 'Q' || quarter(d) || ' ' || year(d) as quarter_name,
     {n('month(d)')} as month, strftime(d, '%b') as month_name, strftime(d, '%b %Y') as month_year, strftime(d, '%Y-%m') as year_month, {n('weekofyear(d)')} as week_of_year,

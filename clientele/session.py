@@ -8,12 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "clientele", master: str | None = None, **confs: str) -> SparkSession:
+def shuffle_parts(input_bytes: int, target_bytes: int = 128 << 20, least: int = 200) -> int:
+    """Shuffle partitions to start from, so that one holds about ``target_bytes`` even if all of the input is shuffled."""
+    return max(least, -(-input_bytes // target_bytes))
+
+
+def build_session(app: str = "clientele", master: str | None = None, input_bytes: int | None = None, **confs: str) -> SparkSession:
     """A session with the settings the jobs are written for.
 
-    Shuffle partition counts are left to adaptive execution, which coalesces small partitions and splits skewed join
-    partitions at run time.
+    Adaptive execution coalesces small partitions and splits skewed join partitions at run time, but never makes more
+    than it starts from. ``input_bytes``, the size of the tables read, sets that number; without it Spark's default holds.
     """
+    if input_bytes is not None:
+        confs = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts(input_bytes)), **confs}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
