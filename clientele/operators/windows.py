@@ -108,9 +108,9 @@ def global_row_number(df: DataFrame, day: str, middle: str, tie: str, name: str,
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], width: float
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], width: float, count: str | None = None
 ) -> DataFrame:
-    """Exact interpolated percentiles per group, for groups of any size.
+    """Exact interpolated percentiles per group, for groups of any size. ``count``: how often a row counts (default once).
 
     1. (key, value) -> count, combined map-side: a hot group is spread over its values.
     2. (key, range) -> count; a running count over the ranges of a key finds the range that holds each wanted rank.
@@ -119,7 +119,9 @@ def exact_percentiles(
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
-    counted = present.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = present.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(
+        (F.sum(count) if count else F.count(F.lit(1))).alias("_n")
+    )
     counted = counted.withColumn("_range", F.floor(F.col("_v") / width))
     ranges = counted.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
@@ -165,24 +167,6 @@ def exact_percentiles(
     return located.groupBy(*keys).agg(*aggregates)
 
 
-def sized_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], width: float, sizes: DataFrame,
-    size: str, limit: int = 1_000_000,
-) -> DataFrame:
-    """Exact percentiles that pay for :func:`exact_percentiles` only where a group is large.
-
-    ``sizes`` has one row per group with its row count. Groups up to ``limit`` rows use the built-in percentile, whose
-    buffer they bound; larger ones take the range-wise way. There are at most rows / ``limit`` large groups, and
-    whether their keys are shipped to all tasks is decided by their measured size.
-    """
-    hot = sizes.where(F.col(size) > limit).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    quantiles = [F.percentile(F.col(value).cast("double"), F.lit(float(p))).alias(label) for label, p in probs.items()]
-    small = df.join(hot, same, "left_anti").groupBy(*keys).agg(*quantiles)
-    large = exact_percentiles(df.join(hot, same, "left_semi"), keys, value, probs, width)
-    return small.unionByName(large)
-
-
 def month_over_month(df: DataFrame, month: str, value: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
     """Previous month's value and the change in percent, over an already aggregated monthly table."""
     w = Window.partitionBy(*keys).orderBy(month)

@@ -99,16 +99,28 @@ def test_exact_percentiles_match_brute_force(spark, width):
             assert got[k][name] == pytest.approx(interpolated(values, p))
 
 
-def test_sized_percentiles_use_both_ways(spark):
-    data, df = skewed(spark)
-    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    got = rows(W.sized_percentiles(df, ["k"], "v", {"m": 0.5}, 64.0, sizes, "n", limit=500), "k", "m")
-    want = sorted((k, statistics.median([v for kk, _, v in data if kk == k])) for k in {k for k, _, _ in data})
-    assert [k for k, _ in got] == [k for k, _ in want]
-    assert [m for _, m in got] == pytest.approx([m for _, m in want])
-
+def test_percentiles_of_counted_rows(spark):
+    df = spark.createDataFrame([("a", float(i % 7), i % 3 + 1) for i in range(60)], "k string, v double, n long")
+    plain = df.select("k", "v", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+    for width in (1.0, 100.0):
+        assert W.exact_percentiles(df, ["k"], "v", {"m": 0.4}, width, "n").collect() == W.exact_percentiles(plain, ["k"], "v", {"m": 0.4}, width).collect()
+
+
+def test_summary_with_median_reads_the_fact_once(spark):
+    """A customer with most of the rows, a NULL amount and a single row: the same numbers as the plain aggregate."""
+    r = random.Random(8)
+    days = [D(2024, 1, 1) + dt.timedelta(days=r.randrange(300)) for _ in range(600)]
+    data = [(1 if i % 3 else i % 20, d, Decimal(r.randrange(1, 90000)) / 100, r.choice(["Travel", "Gas", "Other"])) for i, d in enumerate(days)]
+    data += [(1, D(2024, 5, 5), None, "Gas"), (99, D(2024, 5, 5), Decimal("3.50"), "Gas")]
+    fact = spark.createDataFrame(data, "customer_id long, transaction_date date, amount decimal(18,2), category_name string")
+    got = {x["customer_id"]: x.asDict() for x in C.customer_summary(fact, D(2024, 10, 1)).collect()}
+    want = {x["customer_id"]: x.asDict() for x in C.customer_summary(fact, D(2024, 10, 1), median=False).collect()}
+    for k, w in want.items():
+        amounts = [float(a) for c, _, a, _ in data if c == k and a is not None]
+        assert got[k].pop("median_transaction_value") == pytest.approx(statistics.median(amounts), abs=1e-4)
+        w.pop("median_transaction_value")
+        assert got[k] == w
 
-@pytest.mark.parametrize("ascending", [True, False])
 def test_global_rank_matches_brute_force(spark, ascending):
     data, df = skewed(spark)
     values = sorted((v for _, _, v in data), reverse=not ascending)
