@@ -82,7 +82,13 @@ def breakeven_rate(targets: DataFrame, incentive: float, cost: float) -> DataFra
 
 
 def campaign_lists(segments: DataFrame, contacts: DataFrame) -> DataFrame:
-    """The three contact lists. Each list is cut to its length first and joined to the contacts afterwards."""
+    """The three contact lists. Each list is cut to its length first and joined to the contacts afterwards.
+
+    Members of the three segments are checkpointed, so that the job behind them runs once and not for each list.
+    """
+    segments = checkpointed(segments.where(F.col("customer_segment").isin(C.TRAVELERS, C.DECLINING, C.GROWING)).select(
+        "customer_id", "customer_segment", "lifetime_value", "avg_monthly_spend", "spend_change_pct"
+    ))
     value, change, monthly = F.col("lifetime_value"), F.col("spend_change_pct"), F.col("avg_monthly_spend")
     lists = [
         ("premium", C.TRAVELERS, monthly >= 7500, value.desc(), 5000),

@@ -98,8 +98,9 @@ def ml_churn_by_segment(spark, folder):
     select case when f1_score < 0.5 then 'FAIL: F1 score too low' when precision < 0.6 then 'FAIL: Precision too low' when recall < 0.4 then 'FAIL: Recall too low' else 'PASS: Model performance acceptable' end as validation_result, * from m""", "txn", "profile", "pred"))
 def ml_gate(spark, folder):
     """Gate applied to the idle-time scores, which SQL can recompute."""
-    scores = inputs.scores_from(inputs.segments(spark, folder)).select("customer_id", F.col("predicted_churn").cast("int").alias("prediction"))
-    truth = _training(spark, folder, median=False).select("customer_id", F.col("churned").alias("label"))
+    who = checkpointed(inputs.profile(spark, folder))
+    scores = who.where("predicted_churn is not null").select("customer_id", F.col("predicted_churn").cast("int").alias("prediction"))
+    truth = churn.training_data(who, _labels(spark, folder)).select("customer_id", F.col("churned").alias("label"))
     return churn.gate(churn.metrics(truth.join(scores, "customer_id")))
 
 
@@ -127,9 +128,9 @@ def ml_train(spark, folder):
 
 @query("ml_score")
 def ml_score(spark, folder):
-    data = _prepared(spark, folder)
-    model, _ = churn.train(data)
-    return churn.score(model, churn.features(inputs.profile(spark, folder, median=True)), AS_OF)
+    who = checkpointed(inputs.profile(spark, folder, median=True))
+    model, _ = churn.train(churn.training_data(who, _labels(spark, folder)))
+    return churn.score(model, churn.features(who), AS_OF)
 
 
 @query("ml_retrain")

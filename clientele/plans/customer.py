@@ -64,8 +64,8 @@ def ca_segments_default(spark, folder):
 
 @query("ca_ltv", sql(f"select {', '.join(C.LTV_COLUMNS)} from seg", "seg"))
 def ca_ltv(spark, folder):
-    summary = inputs.summary(spark, folder)
-    return C.ltv_metric(summary, C.assign_segments(summary, SCALED))
+    # Segment and metrics come from the same customer-level rows, so no join is needed here.
+    return inputs.segments(spark, folder).select(*C.LTV_COLUMNS)
 
 
 @query("ca_atv", sql(

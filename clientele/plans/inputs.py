@@ -35,12 +35,16 @@ def scored_segments(spark: SparkSession, folder: str, median: bool = False) -> t
     return segs, scores_from(segs)
 
 
-def profile(spark: SparkSession, folder: str, median: bool = False) -> DataFrame:
-    segs = segments(spark, folder, median)
+def with_scores(segs: DataFrame) -> DataFrame:
+    """Segments with the scores of :func:`scores_from` beside them; customers that are not scored have NULLs."""
     idle = days_between("last_transaction_date", on(AS_OF)).cast("double") / 4.0
     scored = F.col("total_transactions") >= 5
-    with_scores = segs.withColumns({
+    return segs.withColumns({
         "churn_risk_score": F.when(scored, F.least(idle, F.lit(100.0))),
         "predicted_churn": F.when(scored, idle >= 50.0),
     })
-    return C.profile_row(customers(spark, folder).drop("customer_segment", "decline_type").join(with_scores, "customer_id"), AS_OF)
+
+
+def profile(spark: SparkSession, folder: str, median: bool = False) -> DataFrame:
+    who = customers(spark, folder).drop("customer_segment", "decline_type")
+    return C.profile_row(who.join(with_scores(segments(spark, folder, median)), "customer_id"), AS_OF)

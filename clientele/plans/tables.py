@@ -179,11 +179,9 @@ def jn_star(spark, folder):
     "select cust.customer_id, state, seg.customer_segment, lifetime_value, avg_transaction_value, churn_risk_score from cust join seg using (customer_id) left join pred using (customer_id)",
     "cust", "seg", "pred"))
 def jn_profile(spark, folder):
-    segs, scores = inputs.scored_segments(spark, folder)
-    return (
-        customers(spark, folder).select("customer_id", "state")
-        .join(segs.select("customer_id", "customer_segment", "lifetime_value", "avg_transaction_value"), "customer_id")
-        .join(scores.select("customer_id", "churn_risk_score"), "customer_id", "left")
+    scored = inputs.with_scores(inputs.segments(spark, folder))
+    return customers(spark, folder).select("customer_id", "state").join(
+        scored.select("customer_id", "customer_segment", "lifetime_value", "avg_transaction_value", "churn_risk_score"), "customer_id"
     )
 
 
