@@ -303,10 +303,6 @@ def inc_upsert_partitions(spark, folder):
 
 # ---- streams ----
 
-# The given feeds are not in time order: no row may be late, whatever the number of files and batches.
-WHOLE_SPAN = "2600 days"
-
-
 @query("stm_append_stage", f"select event_type, {n('count(*)')} as n_rows, {d('sum(cast(value as decimal(18,2)))')} as total from events group by 1")
 def stm_append_stage(spark, folder):
     target, checkpoint = scratch(spark, "stage"), scratch(spark, "stage-checkpoint")
@@ -333,19 +329,24 @@ def stm_fact_upsert(spark, folder):
 
 @query("stm_late_months", sql(f"select {month_of('transaction_date')} as month, {n('count(*)')} as txn_count, {d('sum(amount)')} as total_spend from txn group by 1", "txn"))
 def stm_late_months(spark, folder):
+    """The feed is not in time order: totals are kept per batch and added up, so no row is too late and no state grows."""
     target, checkpoint = scratch(spark, "months"), scratch(spark, "months-checkpoint")
     stream = feeds.file_stream(spark, feeds.location(folder, "orders"), table(spark, folder, "orders").schema)
-    totals = feeds.monthly_totals_stream(stream.withColumn("amount", F.col("o_totalprice").cast(MONEY)), "o_orderdate", "amount", WHOLE_SPAN)
-    feeds.keep_updates(totals, target, checkpoint).awaitTermination()
-    latest = latest_per_key(spark.read.parquet(target), ["month"], ["batch_id"])
-    return latest.select(F.col("month").cast("date").alias("month"), "txn_count", "total_spend")
+
+    def totals(batch):
+        return batch.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(
+            F.count(F.lit(1)).alias("txn_count"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("total_spend")
+        )
+
+    feeds.keep_partials(stream, target, checkpoint, totals).awaitTermination()
+    return spark.read.parquet(target).groupBy("month").agg(F.sum("txn_count").alias("txn_count"), F.sum("total_spend").alias("total_spend"))
 
 
 @query("stm_dedupe_keyed", "select distinct l_orderkey * 10 + l_linenumber as transaction_id from lineitem")
 def stm_dedupe_keyed(spark, folder):
-    target, checkpoint = scratch(spark, "deduped"), scratch(spark, "deduped-checkpoint")
+    """Deltas of one row per key and batch, merged on read: re-deliveries may come at any time without a growing state."""
+    deltas, checkpoint = scratch(spark, "deduped"), scratch(spark, "deduped-checkpoint")
     stream = feeds.file_stream(spark, feeds.location(folder, "lineitem"), table(spark, folder, "lineitem").schema)
     keyed = stream.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"), "l_shipdate")
-    first = feeds.first_delivery(keyed, ["transaction_id"], "l_shipdate", WHOLE_SPAN).select("transaction_id")
-    feeds.append_landing(first, target, checkpoint).awaitTermination()
-    return spark.read.parquet(target)
+    feeds.collect_changes(keyed, deltas, checkpoint, ["transaction_id"], ["l_shipdate"]).awaitTermination()
+    return latest_per_key(spark.read.parquet(deltas), ["transaction_id"], ["l_shipdate", "batch_id"]).select("transaction_id")

@@ -172,3 +172,29 @@ def test_search_and_history(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_months_stay_open_for_late_rows_and_close_after(spark, tmp_path):
+    import os
+    import time
+
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = "at timestamp, amount long"
+    # The watermark that a batch makes closes months from the batch after the next one on.
+    for i, rows in enumerate(([(dt.datetime(2024, 6, 15), 1)], [(dt.datetime(2024, 4, 20), 2)], [(dt.datetime(2024, 4, 2), 8), (dt.datetime(2024, 1, 5), 4)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        for f in (tmp_path / "in").glob("*.parquet"):  # arrival order
+            os.utime(f, (time.time() - 100 + 50 * i,) * 2) if f.stat().st_mtime > time.time() - 20 else None
+    stream = feeds.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+    feeds.keep_updates(feeds.monthly_totals_stream(stream, "at", "amount"), target, check).awaitTermination()
+    got = {r["month"].month: r["total_spend"] for r in spark.read.parquet(target).orderBy("batch_id").collect()}  # the latest batch counts
+    assert got == {6: 1, 4: 10}
+
+
+def test_first_delivery_drops_repeats_within_the_bound(spark, tmp_path):
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    rows = [(i % 5, dt.datetime(2024, 6, 1 + i % 3)) for i in range(20)]
+    spark.createDataFrame(rows, "id long, at timestamp").repartition(4).write.parquet(source)
+    stream = feeds.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=2)
+    feeds.append_landing(feeds.first_delivery(stream, ["id"], "at", "10 days").select("id"), target, check).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(5))
