@@ -72,16 +72,20 @@ def global_rank(df: DataFrame, value: str, name: str, ascending: bool = True, bu
     return df.join(ranks, F.col(value) == F.col("_v"), "left").drop("_v")
 
 
-def range_bucket(df: DataFrame, column: str, ranges: int = 256) -> Column:
-    """Number of the equal-width range of a numeric column; its least and greatest value are read first."""
-    low, high = df.agg(F.min(column), F.max(column)).first()
+def range_bucket(df: DataFrame, column: str, ranges: int | None = None, rows_per_range: int = 100_000) -> Column:
+    """Number of the equal-width range of a numeric column.
+
+    Least and greatest value and the row count are read first. The number of ranges follows from the rows unless given.
+    """
+    low, high, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
     if low is None:
         return F.lit(0)
+    ranges = ranges or max(256, rows // rows_per_range + 1)
     width = max(1, (high - low) // ranges + 1)
     return F.floor((F.col(column) - F.lit(low)) / F.lit(width))
 
 
-def global_row_number(df: DataFrame, day: str, middle: str, tie: str, name: str, ranges: int = 256) -> DataFrame:
+def global_row_number(df: DataFrame, day: str, middle: str, tie: str, name: str, ranges: int | None = None) -> DataFrame:
     """ROW_NUMBER() over (day, middle, tie) for the whole table.
 
     Counts per (day, range of the numeric column ``middle``) give the offset of each cell; only the rows of one cell
