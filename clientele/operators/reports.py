@@ -46,13 +46,20 @@ def group_profile(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
     return share_of_total(counts, "customer_count", "percentage")
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
-    """min, quartiles, max and mean per group; quartiles are exact for groups of any size."""
-    quartiles = exact_percentiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, width)
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str, width: float, count: str | None = None) -> DataFrame:
+    """min, quartiles, max and mean per group; quartiles are exact for groups of any size.
+
+    ``count``: how often a row counts, for rows that were counted before a join.
+    """
+    quartiles = exact_percentiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, width, count)
+    average = mean(value)
+    if count:
+        filled = F.sum(F.when(F.col(value).isNotNull(), F.col(count)))
+        average = F.sum(F.col(value) * F.col(count)).cast("double") / filled.cast("double")
     plain = df.groupBy(*keys).agg(
         F.min(value).cast("double").alias("min_value"),
         F.max(value).cast("double").alias("max_value"),
-        mean(value).alias("avg_value"),
+        average.alias("avg_value"),
     )
     rounded = quartiles.select(*keys, *[F.round(q, 2).alias(q) for q in ("q1", "median", "q3")])
     return _with(plain, rounded, keys) if keys else beside(plain, rounded)
