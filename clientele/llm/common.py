@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientele.session import scratch
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -29,6 +31,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder. Unlike a checkpoint, what is read back knows nothing of the plan
+    that made it, so plans and driver memory don't grow in loops."""
+    place = scratch(df.sparkSession, "stored")
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A word: a run of ASCII digits, ASCII lower-case letters and any non-ASCII characters of the lowered text.

@@ -5,11 +5,13 @@ Lines are the parts of a text between line feeds; those of ``least`` characters
 place, or if a line within ``edits`` character edits has an earlier first place.
 
 Two lines within ``edits`` edits share one of ``edits + 1`` segments of the shorter one, shifted by a bounded number of
-characters. Every first line puts its segments into an index by (length, segment number, content) and probes the index of
-lines up to ``edits`` shorter with the substrings that can match. Pairs that share a key are verified by the banded edit
-distance with a threshold.
+characters. Without that segment the rests are within ``edits`` edits again, so they share a segment too: a key joins
+``levels`` such segments, and lines that merely begin or end alike don't meet. Every first line puts its keys into an index
+by (length, segment numbers, contents) and probes the index of lines up to ``edits`` shorter with the substrings that can
+match. Pairs that share a key are verified by the banded edit distance with a threshold.
 
-Texts are shuffled once, by document; index and probes hold only a key and a place.
+Segments are hashed where the text is read; the tables of first lines, index and probes hold keys and places only. Texts
+are shuffled once, when the lines that stay are put into their documents.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.session import scratch
+from clientele.llm.common import stored
 
 PLACE = ("key", "digest", "pos")
+BROADCAST = 16 << 20  # bytes of candidate places
 
 
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -31,28 +34,43 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return start, size + F.when(F.lit(i) >= short, 1).otherwise(0)
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    size = F.length(line)
-    keys = []
-    for i in range(edits + 1):
-        start, n = _segment(size, i, edits + 1)
-        keys.append(F.xxhash64(size, F.lit(i), F.substring(line, start, n)))
-    return F.array(*keys)
+def _rest(line: Column, at: Column, n: Column) -> Column:
+    return F.concat(F.substring(line, F.lit(1), at - 1), F.substring(line, at + n, F.length(line)))
 
 
-def probe_keys(line: Column, edits: int, least: int) -> Column:
+def index_keys(line: Column, edits: int, levels: int) -> Column:
+    """Keys of a line: each segment, joined at the next level with each segment of the rest of the line, and so on."""
+
+    def keys(part: Column, size: Column, before: Column, levels: int) -> list[Column]:
+        out = []
+        for i in range(edits + 1):
+            start, n = _segment(size, i, edits + 1)
+            head = F.xxhash64(before, F.lit(i), F.substring(part, start, n))
+            out += keys(_rest(part, start, n), size - n, head, levels - 1) if levels > 1 else [head]
+        return out
+
+    return F.array(*keys(line, F.length(line), F.length(line), levels))
+
+
+def probe_keys(line: Column, edits: int, least: int, levels: int) -> Column:
     """Keys of all substrings by which a line of the same length or up to ``edits`` shorter can be met."""
-    size, keys = F.length(line), []
-    for shorter in range(edits + 1):
-        own = size - shorter
+
+    def keys(part: Column, size: Column, before: Column, shorter: int, levels: int, fits: Column) -> list[Column]:
+        out = []
         for i in range(edits + 1):
-            start, n = _segment(own, i, edits + 1)
+            start, n = _segment(size - shorter, i, edits + 1)
             rest = edits - i  # edits that are left behind this segment if all before it are used up
             for shift in range(max(-i, shorter - rest), min(i, shorter + rest) + 1):
                 at = start + shift
-                fits = (own >= least) & (at >= 1) & (at + n - 1 <= size)
-                keys.append(F.when(fits, F.xxhash64(own, F.lit(i), F.substring(line, at, n))))
-    return F.array(*keys)
+                ok = fits & (at >= 1) & (at + n - 1 <= size)
+                head = F.xxhash64(before, F.lit(i), F.substring(part, at, n))
+                out += keys(_rest(part, at, n), size - n, head, shorter, levels - 1, ok) if levels > 1 else [F.when(ok, head)]
+        return out
+
+    size, out = F.length(line), []
+    for shorter in range(edits + 1):
+        out += keys(line, size, size - shorter, shorter, levels, size - shorter >= least)
+    return F.array(*out)
 
 
 def _lines(text: Column) -> Column:
@@ -69,34 +87,31 @@ def _at(rows: DataFrame, places: DataFrame, places_column: str) -> DataFrame:
     return rows.join(p, F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))).drop("k", "d")
 
 
-def kept_places(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
+def kept_places(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "doc_id", text: str = "text", levels: int = 2) -> DataFrame:
     """``key``, ``digest`` and the numbers ``kept`` (from 0) of the lines that stay, of those that take part."""
-    spark = docs.sparkSession
     texts = _texts(docs, key, text)
     lines = texts.select("key", "digest", F.posexplode_outer(_lines(F.col("text"))).alias("pos", "line")).where(F.length("line") >= least)
-    # Equal lines by a 128-bit hash: their first place.
+    # Equal lines by a 128-bit hash: their first place, with the keys of its segments. A repeated line is reduced map-side.
+    first = F.struct(*PLACE, index_keys(F.col("line"), edits, levels).alias("index"), probe_keys(F.col("line"), edits, least, levels).alias("probes"))
     firsts = (
-        lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.length("line")).alias("h2"), F.struct(*PLACE).alias("place"))
-        .groupBy("h1", "h2").agg(F.min("place").alias("place")).select("place.*")
+        lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", F.length("line")).alias("h2"), first.alias("first"))
+        .groupBy("h1", "h2").agg(F.min("first").alias("first")).select("first.*")
     )
-    folder = scratch(spark, "first-lines")
-    firsts.groupBy("key", "digest").agg(F.sort_array(F.collect_set("pos")).alias("places")).write.parquet(folder)
-    firsts = spark.read.parquet(folder)
-
-    def chosen(places: DataFrame, column: str) -> DataFrame:
-        joined = _at(texts, places, column).select("key", "digest", _lines(F.col("text")).alias("all"), F.explode_outer(column).alias("pos"))
-        return joined.select(*PLACE, F.get("all", "pos").alias("line"))
-
-    own = chosen(firsts, "places")
-    index = own.select(*PLACE, F.explode_outer(index_keys(F.col("line"), edits)).alias("seg")).where("seg is not null")
-    probes = own.select(*PLACE, F.explode_outer(probe_keys(F.col("line"), edits, least)).alias("seg")).where("seg is not null")
-    a, b = (d.select("seg", F.struct(*PLACE).alias(n)) for d, n in ((index, "a"), (probes, "b")))
-    pairs = a.join(b, "seg").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    folder = scratch(spark, "line-pairs")
-    pairs.write.parquet(folder)
-    pairs = spark.read.parquet(folder)
+    firsts = stored(firsts)
+
+    def side(keys: str, name: str) -> DataFrame:
+        return firsts.select(F.struct(*PLACE).alias(name), F.explode_outer(keys).alias("seg")).where("seg is not null")
+
+    pairs = side("index", "a").join(side("probes", "b"), "seg").where("a != b")
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     met = pairs.select(F.explode(F.array("a", "b")).alias("p")).select("p.*").groupBy("key", "digest").agg(F.collect_set("pos").alias("places"))
-    met_lines = chosen(met, "places").select(F.struct(*PLACE).alias("place"), "line").distinct()
+    size = met.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("places")), F.lit(0)).alias("lines")).first()
+    # Few candidates, by measured size, go to the texts; many meet them in a shuffle by document.
+    met = F.broadcast(met) if 64 * size["n"] + 4 * size["lines"] <= BROADCAST else met
+    met_lines = (
+        _at(texts, met, "places").select("key", "digest", _lines(F.col("text")).alias("all"), F.explode_outer("places").alias("pos"))
+        .select(F.struct(*PLACE).alias("place"), F.get("all", "pos").alias("line")).distinct()
+    )
     first = met_lines.select(F.col("place").alias("pa"), F.col("line").alias("line_a"))
     second = met_lines.select(F.col("place").alias("pb"), F.col("line").alias("line_b"))
     close = F.levenshtein("line_a", "line_b", edits)
@@ -104,6 +119,7 @@ def kept_places(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "do
         pairs.join(first, F.col("a").eqNullSafe(F.col("pa"))).join(second, F.col("b").eqNullSafe(F.col("pb")))
         .where((close >= 0) & (close <= edits)).select("b.*").groupBy("key", "digest").agg(F.collect_set("pos").alias("late"))
     )
+    firsts = firsts.groupBy("key", "digest").agg(F.sort_array(F.collect_set("pos")).alias("places"))
     late = late.select(F.col("key").alias("k"), F.col("digest").alias("d"), "late")
     kept = (
         firsts.join(late, F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d")), "left")
@@ -114,9 +130,9 @@ def kept_places(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "do
     return kept.select("key", "digest", marks.cast("binary").alias("marks"))
 
 
-def _cleaned(docs: DataFrame, edits: int, least: int, key: str, text: str, mark: str) -> DataFrame:
+def _cleaned(docs: DataFrame, edits: int, least: int, key: str, text: str, levels: int, mark: str) -> DataFrame:
     """``docs`` with the array ``mark`` of the lines that stay."""
-    kept = kept_places(docs, edits, least, key, text)
+    kept = kept_places(docs, edits, least, key, text, levels)
     kept = kept.select(F.col("key").alias("_op9_key"), F.col("digest").alias("_op9_digest"), F.col("marks").alias("_op9_marks"))
     digest = F.xxhash64(F.lit(1), F.col(text))
     joined = docs.join(kept, docs[key].eqNullSafe(F.col("_op9_key")) & (digest == F.col("_op9_digest")), "left")
@@ -125,24 +141,24 @@ def _cleaned(docs: DataFrame, edits: int, least: int, key: str, text: str, mark:
     return joined.withColumn(mark, F.filter(_lines(F.col(text)), lambda line, i: (F.length(line) < least) | stays(i)))
 
 
-def dedup(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "doc_id", text: str = "text", levels: int = 2) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``; all rows and columns stay.
 
     Null texts stay null; a text without lines left becomes empty; shorter lines are never touched. Null keys come before
     all others in the order of places. Rows that repeat key and text are the same place: they keep the same lines.
     """
     names = docs.columns
-    clean = _cleaned(docs, edits, least, key, text, "_op9_lines")
+    clean = _cleaned(docs, edits, least, key, text, levels, "_op9_lines")
     return clean.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join("_op9_lines", "\n"))).select(*names)
 
 
-def report(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
+def report(docs: DataFrame, edits: int = 1, least: int = 20, key: str = "doc_id", text: str = "text", levels: int = 2) -> DataFrame:
     """One row for each row of ``docs``: ``key``, ``n_lines``, ``n_kept`` and ``kept_sha256`` of the text that is left.
 
     A null text has no lines and counts as empty.
     """
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    clean = _cleaned(own, edits, least, "key", "text", "left")
+    clean = _cleaned(own, edits, least, "key", "text", levels, "left")
     lines = lambda c: F.when(F.col("text").isNull(), 0).otherwise(c).cast("long")
     return clean.select(
         F.col("key").alias(key), lines(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1).alias("n_lines"),

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.bpe import _arrow
-from clientele.llm.common import words_of
-from clientele.session import checkpointed, scratch
+from clientele.llm.common import stored, words_of
+from clientele.session import scratch
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -75,15 +75,21 @@ def sketch(grams: np.ndarray, sketches: int, several: int) -> list[int]:
     number[order] = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
     labelled = mix(grams + number * _MIX[1])
     take = min(several, n)
-    out = []
-    for s in range(sketches):
-        h = mix(labelled ^ np.uint64((s + 1) * 0x2545F4914F6CDD1D % (1 << 64)))
-        where = np.sort(np.argpartition(h, take - 1)[:take]) if take < n else np.arange(n)
-        key = np.full(1, s, np.uint64)
-        for p in where:
-            key = mix(key ^ grams[p])
-        out.append(int(key[0].astype(np.int64)))
-    return out
+    seeds = (np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))[:, None]
+    if n <= 1 << 14:
+        where = _smallest(mix(labelled[None, :] ^ seeds), take)
+    else:  # long texts one sketch at a time
+        where = np.concatenate([_smallest(mix(labelled[None, :] ^ seeds[s : s + 1]), take) for s in range(sketches)])
+    key = np.arange(sketches, dtype=np.uint64)
+    for i in range(take):
+        key = mix(key ^ grams[where[:, i]])
+    return key.astype(np.int64).tolist()
+
+
+def _smallest(h: np.ndarray, take: int) -> np.ndarray:
+    """Places of the ``take`` smallest numbers of each row, in the order of the text."""
+    where = np.argpartition(h, take - 1, axis=1)[:, :take] if take < h.shape[1] else np.tile(np.arange(take), (len(h), 1))
+    return np.sort(where, axis=1)
 
 
 def aligned(a: list[int], b: list[int], band: int) -> int:
@@ -169,9 +175,9 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, least: float, small: int
 
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``root`` (the smallest id) of everything linked; labels travel along links and jump over their own labels."""
-    edges = checkpointed(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     roots = edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "id")
-    roots = checkpointed(roots)
+    roots = stored(roots)
     while True:
         near = edges.join(roots.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         jump = roots.select(F.col("id").alias("j"), F.col("root").alias("jumped"))
@@ -179,7 +185,7 @@ def components(links: DataFrame) -> DataFrame:
             roots.join(near, F.col("id") == F.col("a")).join(jump, F.least("root", "near") == F.col("j"))
             .select("id", F.least("root", "near", "jumped").alias("root"), (F.least("root", "near", "jumped") < F.col("root")).alias("moved"))
         )
-        moved = checkpointed(moved)
+        moved = stored(moved)
         if moved.where("moved").isEmpty():
             return moved.select("id", "root")
         roots = moved.select("id", "root")
@@ -204,7 +210,7 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
     reps = spark.read.parquet(place)
     entries = reps.where("n > 0").select("id", "n", F.explode("keys").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
-    entries = checkpointed(entries.join(shared, "bucket"))
+    entries = stored(entries.join(shared, "bucket"))
     links = tried = None
     roots = None
     rounds = 0
@@ -223,8 +229,8 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
             pairs = pairs.groupBy("a").agg(F.min("b").alias("b"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        new = checkpointed(verified(pairs, own.where("id is not null"), k, least))
+        pairs = stored(pairs)
+        new = stored(verified(pairs, own.where("id is not null"), k, least))
         any_new = not new.isEmpty()
         links = new if links is None else links.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -243,7 +249,7 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
 
 def keep_first(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """All columns of the rows of ``docs`` that stand for their class; of rows that share this id, one. Null ids stay."""
-    found = checkpointed(classes(docs, key=key, **options))
+    found = stored(classes(docs, key=key, **options))
     counted = found.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("class_id").alias("class_id"), F.count("*").alias("n"))
     counted = counted.select(F.col(key).alias("_op4_id"), (F.col("class_id") != F.col(key)).alias("_op4_copy"), F.col("n").alias("_op4_n"))
     gone = counted.where("_op4_copy or _op4_n > 1").select("_op4_id")

@@ -95,6 +95,16 @@ def test_classes_equal_brute_force(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted({find(i) for i in range(len(docs))})
 
 
+def test_many_pairs_are_verified_as_few(spark):
+    texts = [" ".join(f"w{(i * 7 + j) % 50}" for j in range(60)) for i in range(4)]
+    texts += [t.replace("w3 ", "x ", 1) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    pairs = spark.createDataFrame([(a, b) for a in range(8) for b in range(a)], "a long, b long")
+    want = {(a, b) for a in range(8) for b in range(a) if order_minhash.similarity(*(order_minhash.kmers(words_of(texts[i]), 5) for i in (a, b)), 0.8) >= 0.8}
+    for small in (0, 1000):
+        assert {(r.a, r.b) for r in order_minhash.verified(pairs, docs, 5, 0.8, small).collect()} == want and want
+
+
 def test_near_duplicates_odd_rows(spark):
     got = [(x.doc_id, x.class_id) for x in order_minhash.classes(odd(spark, "digest")).collect()]
     assert Counter(got) == Counter([(None, None), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 5), (6, 6)])
@@ -115,8 +125,9 @@ def edits(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("most", [1, 2, 3])
-def test_lines_equal_brute_force(spark, most):
+@pytest.mark.parametrize("most, levels, broadcast", [(1, 2, 16 << 20), (1, 3, 16 << 20), (2, 2, 16 << 20), (3, 1, 0)])
+def test_lines_equal_brute_force(spark, monkeypatch, most, levels, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST", broadcast)
     r = random.Random(most)
     bases = ["".join(r.choice("abcdeé ") for _ in range(r.randint(8, 24))) for _ in range(25)]
     docs = []
@@ -141,7 +152,7 @@ def test_lines_equal_brute_force(spark, most):
             seen.append(line)
         want[i] = "\n".join(keep)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {x.doc_id: x.text for x in lines.dedup(df, edits=most, least=8).collect()}
+    got = {x.doc_id: x.text for x in lines.dedup(df, edits=most, least=8, levels=levels).collect()}
     assert got == want
 
 
