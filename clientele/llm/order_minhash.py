@@ -149,7 +149,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, least: float, small: int
     """Of the pairs (``a``, ``b``) those whose texts are similar. ``docs``: ``id``, ``text``.
 
     The texts of all documents are shuffled once and serve both sides. Few pairs (at most ``small``, counted) are broadcast
-    instead, so that only their texts are shuffled.
+    instead, so that only their texts are shuffled; the first round, whose pairs grow with the documents, doesn't use that.
     """
     if pairs.count() <= small:
         left = docs.join(F.broadcast(pairs), F.col("id") == F.col("a")).select("a", "b", F.col("text").alias("text_a"))
@@ -215,11 +215,13 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
     roots = None
     rounds = 0
     while True:
-        now = entries
+        now = entries.withColumn("root", F.col("id"))
         if roots is not None:
-            now = now.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        else:
-            now = now.withColumn("root", F.col("id"))
+            now = entries.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+            # A bucket whose documents are all linked stays so: only the others go on.
+            mixed = now.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("bucket")
+            now = stored(now.join(mixed, "bucket"))
+            entries = now.select("id", "n", "bucket")
         order = F.struct((F.col("id") if rounds == 0 else F.xxhash64("id", F.lit(rounds))).alias("turn"), "id", "n", "root")
         hubs = now.groupBy("bucket").agg(F.min(order).alias("hub")).select("bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.root").alias("hub_root"))
         pairs = now.join(hubs, "bucket").where(
@@ -230,7 +232,7 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs)
-        new = stored(verified(pairs, own.where("id is not null"), k, least))
+        new = stored(verified(pairs, own.where("id is not null"), k, least, 20_000 if rounds else 0))
         any_new = not new.isEmpty()
         links = new if links is None else links.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
