@@ -5,8 +5,10 @@ Each of ``sketches`` hash functions takes the ``several`` smallest labelled k-me
 stand in the text: two documents agree in a sketch only if they share these k-mers and their order, which follows the edit
 similarity better than plain MinHash.
 
-Documents that agree in a sketch are candidates. In every bucket all documents are paired with one hub only; documents that
-stay apart from their hub get other hubs in later rounds, until a round links nothing new. Candidates are verified by
+Documents that agree in a sketch are candidates. In the first rounds all documents of a bucket are paired with one hub
+only, which links most copies at a linear price. Then every pair that shares a bucket and is not linked yet is compared, in
+blocks of bounded size: a product of incidence matrices gives the number of common k-mers of all pairs of two blocks, and only
+pairs with enough of them are aligned. No pair of a bucket is left out, whatever else is in it. Candidates are verified by
 aligning their k-mer sequences inside the band that the threshold allows: with M aligned k-mers,
 similarity = M / (n_a + n_b - M).
 
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
-from math import floor
+from math import floor, log
 
 import numpy as np
 import pyarrow as pa
@@ -63,17 +65,23 @@ def kmers(words: list[bytes], k: int) -> np.ndarray:
     return out
 
 
-def sketch(grams: np.ndarray, sketches: int, several: int) -> list[int]:
-    """One number for each sketch; none for a text without words."""
+def labels(grams: np.ndarray) -> np.ndarray:
+    """The k-mers told apart by their occurrence number."""
     n = len(grams)
-    if not n:
-        return []
     order = np.argsort(grams, kind="stable")
     sorted_ = grams[order]
     first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
     number = np.empty(n, np.uint64)
     number[order] = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    labelled = mix(grams + number * _MIX[1])
+    return mix(grams + number * _MIX[1])
+
+
+def sketch(grams: np.ndarray, sketches: int, several: int) -> list[int]:
+    """One number for each sketch; none for a text without words."""
+    n = len(grams)
+    if not n:
+        return []
+    labelled = labels(grams)
     take = min(several, n)
     seeds = (np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))[:, None]
     if n <= 1 << 14:
@@ -173,6 +181,125 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, least: float, small: int
     return both.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
+def wanted(unit: dict, least: float) -> np.ndarray:
+    """Pairs of rows (left, right) of a unit that are to be compared: of different roots, of lengths that can be similar, and
+    met in no earlier sketch, so that a pair is compared once however many buckets it shares."""
+    left, right = np.flatnonzero(unit["side"] != 2), np.flatnonzero(unit["side"] != 1)
+    n, (_, root), keys = unit["n"], np.unique(unit["root"], return_inverse=True), unit["keys"]
+    ok = root[left][:, None] != root[right][None]
+    ok &= np.minimum(n[left][:, None], n[right][None]) >= least * np.maximum(n[left][:, None], n[right][None])
+    ok &= (unit["side"][left][:, None] != 0) | (left[:, None] < right[None])
+    i, j = np.nonzero(ok)
+    i, j = left[i], right[j]
+    same = keys[i] == keys[j]
+    mine = keys[i, same.argmax(1)] == unit["bucket"][i] if len(i) else np.zeros(0, bool)
+    return np.stack([i[mine], j[mine]], 1)
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray], width: int = 1 << 14) -> np.ndarray:
+    """Number of equal labelled k-mers of each of ``left`` and each of ``right``, from ``width`` k-mers at a time."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float64)
+
+    def places(rows):
+        at = [np.searchsorted(both, r) for r in rows]
+        at = [a[(a < len(both)) & (both[np.minimum(a, len(both) - 1)] == r)] for a, r in zip(at, rows)] if len(both) else at
+        return np.repeat(np.arange(len(rows)), [len(a) for a in at]), np.concatenate(at)
+
+    if len(both):
+        (li, lc), (ri, rc) = places(left), places(right)
+        for start in range(0, len(both), width):
+            size = min(width, len(both) - start)
+            x, y = np.zeros((len(left), size), np.float32), np.zeros((len(right), size), np.float32)
+            for m, rows, cols in ((x, li, lc), (y, ri, rc)):
+                now = (cols >= start) & (cols < start + size)
+                m[rows[now], cols[now] - start] = 1
+            out += x @ y.T
+    return out
+
+
+def _units(batches):
+    """Rows of one unit after the other, from batches sorted by unit, as arrays by column."""
+    rest = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = now if rest is None else pa.concat_tables([rest, now])
+        unit = now.column("unit").to_numpy()
+        ends = np.flatnonzero(unit[1:] != unit[:-1]) + 1
+        at = [0, *ends.tolist()]
+        for a, b in zip(at, at[1:]):
+            yield _columns(now.slice(a, b - a))
+        rest = now.slice(at[-1])
+    if rest is not None and len(rest):
+        yield _columns(rest)
+
+
+def _columns(t: pa.Table) -> dict:
+    out = {c: t.column(c).to_numpy() for c in ("unit", "side", "bucket", "n", "id", "root")}
+    keys = t.column("keys").combine_chunks()
+    return out | {"keys": keys.flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1), "table": t}
+
+
+def compared(entries: DataFrame, docs: DataFrame, k: int, least: float, block: int = 128) -> DataFrame:
+    """Of all pairs of different roots in a bucket those whose texts are similar. ``entries``: ``id``, ``n``, ``bucket``,
+    ``root``, ``keys``; ``docs``: ``id``, ``text``.
+
+    The rows of a bucket are cut into classes of length, so that similar texts are in the same or in neighbouring classes,
+    and classes into parts of about ``block`` rows. Two parts are a unit. Texts go only to units with pairs to compare.
+    """
+    wide = max(1e-6, -log(max(least, 1e-9)) * 1.001)
+    entries = entries.withColumn("size", F.floor(F.log("n") / wide).cast("int"))
+    cells = entries.groupBy("bucket", "size").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    cells = cells.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("size", "parts"))).alias("cells"))
+    rows = entries.join(cells, "bucket")
+    parts = lambda d: F.coalesce(F.try_element_at("cells", F.col("size") + d), F.lit(0))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), parts(0)).cast("int"))
+
+    def unit(low, high, i, j, side):
+        return F.struct(F.xxhash64("bucket", low, high, i, j).alias("unit"), side.cast("int").alias("side"))
+
+    def each(n, make):
+        return F.transform(F.filter(F.sequence(F.lit(0), n), lambda j: j < n), make)
+
+    p, c = F.col("part"), F.col("size")
+    units = F.concat(
+        each(parts(0), lambda j: unit(c, c, F.least(p, j), F.greatest(p, j), F.when(p == j, 0).when(p < j, 1).otherwise(2))),
+        each(parts(1), lambda j: unit(c, c + 1, p, j, F.lit(1))),
+        each(parts(-1), lambda j: unit(c - 1, c, j, p, F.lit(2))),
+    )
+    rows = rows.select(F.explode(units).alias("u"), "bucket", "id", "root", "n", "keys").select("u.unit", "u.side", "bucket", "id", "root", "n", "keys")
+
+    def look(batches):
+        for u in _units(batches):
+            used = np.unique(wanted(u, least))
+            if len(used):
+                yield from u["table"].take(pa.array(used)).combine_chunks().to_batches()
+
+    def compare(batches):
+        for u in _units(batches):
+            pairs = wanted(u, least)
+            if not len(pairs):
+                continue
+            grams = [kmers(words_of(t), k) for t in u["table"].column("text").to_pylist()]
+            marks = [labels(g) for g in grams]
+            left, right = np.unique(pairs[:, 0]), np.unique(pairs[:, 1])
+            equal = common([marks[i] for i in left], [marks[j] for j in right])
+            m = equal[np.searchsorted(left, pairs[:, 0]), np.searchsorted(right, pairs[:, 1])]
+            # No alignment is longer than the number of common k-mers.
+            enough = m >= least * (u["n"][pairs[:, 0]] + u["n"][pairs[:, 1]] - m) - 1e-6
+            found = [(i, j) for i, j in pairs[enough].tolist() if similarity(grams[i], grams[j], least) >= least]
+            if found:
+                ids = u["table"].column("id")
+                a, b = (ids.take(pa.array([f[s] for f in found])).combine_chunks() for s in (0, 1))
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    rows = rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(look, rows.schema)
+    rows = stored(rows).join(docs, "id")
+    kind = rows.schema["id"].dataType.simpleString()
+    found = rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, f"a {kind}, b {kind}")
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``root`` (the smallest id) of everything linked; labels travel along links and jump over their own labels."""
     edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -211,6 +338,7 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
     entries = reps.where("n > 0").select("id", "n", F.explode("keys").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     entries = stored(entries.join(shared, "bucket"))
+    texts = own.where("id is not null")
     links = tried = None
     roots = None
     rounds = 0
@@ -222,6 +350,8 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
             mixed = now.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("bucket")
             now = stored(now.join(mixed, "bucket"))
             entries = now.select("id", "n", "bucket")
+        if rounds == 3 or rounds == 2 and not any_new:
+            break
         order = F.struct((F.col("id") if rounds == 0 else F.xxhash64("id", F.lit(rounds))).alias("turn"), "id", "n", "root")
         hubs = now.groupBy("bucket").agg(F.min(order).alias("hub")).select("bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.root").alias("hub_root"))
         pairs = now.join(hubs, "bucket").where(
@@ -232,15 +362,19 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs)
-        new = stored(verified(pairs, own.where("id is not null"), k, least, 20_000 if rounds else 0))
+        new = stored(verified(pairs, texts, k, least, 20_000 if rounds else 0))
         any_new = not new.isEmpty()
         links = new if links is None else links.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
         if any_new:
             roots = components(links)
         rounds += 1
-        if not any_new and rounds > 2:
-            break
+    # The second round has compared the documents of a bucket of two; in all others every pair of different roots is compared.
+    many = now.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 2").select("bucket")
+    left = now.join(many, "bucket").join(reps.select("id", "keys"), "id")
+    new = stored(compared(stored(left), texts, k, least))
+    if not new.isEmpty():
+        roots = components(links.unionByName(new))
     result = rows.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest", "left")
     if roots is not None:
         result = result.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))

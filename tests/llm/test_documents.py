@@ -95,6 +95,57 @@ def test_classes_equal_brute_force(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted({find(i) for i in range(len(docs))})
 
 
+def test_copies_among_many_texts_with_a_common_passage(spark):
+    r = random.Random(8)
+    passage = [f"p{i}" for i in range(170)]
+    docs = []
+    for i in range(300):
+        words = passage + [f"d{i}w{j}" for j in range(30)]
+        docs.append(words)
+        if i % 5 == 0:  # a copy that is changed outside of the passage
+            copy = list(words)
+            for _ in range(3):
+                copy[r.randrange(170, 200)] = f"n{r.random()}"
+            docs.append(copy)
+    r.shuffle(docs)
+    grams = [order_minhash.kmers([w.encode() for w in d], 5) for d in docs]
+    sketches = [set(order_minhash.sketch(g, 16, 3)) for g in grams]
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if sketches[i] & sketches[j] and order_minhash.similarity(grams[i], grams[j], 0.8) >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    want = {i: find(i) for i in range(len(docs))}
+    assert 30 < len(docs) - len(set(want.values())) < 70
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    assert {x.doc_id: x.class_id for x in order_minhash.classes(df).collect()} == want
+    assert sorted(x.doc_id for x in order_minhash.keep_first(df).collect()) == sorted(set(want.values()))
+    # Blocks of every size compare the same pairs, by ids of any kind.
+    rows = [(str(i), len(g), k, str(i), order_minhash.sketch(g, 16, 3)) for i, g in enumerate(grams) for k in order_minhash.sketch(g, 16, 3)]
+    entries = spark.createDataFrame(rows, "id string, n int, bucket long, root string, keys array<long>")
+    texts = df.select(F.col("doc_id").cast("string").alias("id"), "text")
+    pairs = {
+        (max(str(i), str(j)), min(str(i), str(j))) for i in range(len(docs)) for j in range(i)
+        if sketches[i] & sketches[j] and order_minhash.similarity(grams[i], grams[j], 0.8) >= 0.8
+    }
+    for block in (1000, 50):
+        assert {(x.a, x.b) for x in order_minhash.compared(entries, texts, 5, 0.8, block).collect()} == pairs
+
+
+def test_common_counts_and_unit_pairs():
+    r = np.random.default_rng(3)
+    left, right = ([np.unique(r.integers(0, 90, n)).astype(np.uint64) for n in sizes] for sizes in ((5, 60, 200), (1, 0, 70, 300)))
+    for width in (7, 1 << 14):
+        assert order_minhash.common(left, right, width).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in right] for x in left]
+
+
 def test_many_pairs_are_verified_as_few(spark):
     texts = [" ".join(f"w{(i * 7 + j) % 50}" for j in range(60)) for i in range(4)]
     texts += [t.replace("w3 ", "x ", 1) for t in texts]
