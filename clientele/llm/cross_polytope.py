@@ -12,9 +12,7 @@ with all rows, in blocks.
 
 from __future__ import annotations
 
-import heapq
 import math
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -63,17 +61,19 @@ class Hashes:
         best = [np.argsort(-s, axis=1, kind="stable")[:, :probes] for s in near]
         if self.functions == 1:
             return best[0]
-        out = np.empty((len(x), probes), np.int64)
-        for i in range(len(x)):
-            loss = [(s[i, b[i, 0]] - s[i, b[i]]) ** 2 for s, b in zip(near, best)]
-            choices = heapq.nsmallest(
-                probes, product(range(best[0].shape[1]), repeat=self.functions), key=lambda c: sum(v[j] for v, j in zip(loss, c))
-            ) if probes > 1 else [(0,) * self.functions]
-            for j, choice in enumerate(choices):
-                number = 0
-                for b, c in zip(best, choice):
-                    number = number * 2 * self.size + int(b[i, c])
-                out[i, j] = number
+        out = np.empty((len(x), min(probes, (2 * self.size) ** self.functions)), np.int64)
+        for at in range(0, len(x), 64):
+            number, loss = np.zeros((len(x[at : at + 64]), 1), np.int64), 0.0
+            # The best sums over some hashes come from the best sums over all but the last of them.
+            for s, b in zip(near, best):
+                s, b = s[at : at + 64], b[at : at + 64]
+                own = np.take_along_axis(s, b, 1)
+                loss = (loss + np.zeros(number.shape))[:, :, None] + ((own[:, :1] - own) ** 2)[:, None]
+                number = number[:, :, None] * 2 * self.size + b[:, None]
+                loss, number = loss.reshape(len(s), -1), number.reshape(len(s), -1)
+                first = np.argsort(loss, axis=1, kind="stable")[:, :probes]
+                loss, number = np.take_along_axis(loss, first, 1), np.take_along_axis(number, first, 1)
+            out[at : at + 64] = number
         return out
 
 
@@ -94,10 +94,19 @@ def functions_for(rows: int, width: int, bucket: int) -> int:
     return max(1, math.floor(math.log(max(1.0, rows / bucket), axes) + 0.5))
 
 
-def search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int = 16, probes: int = 4, bucket: int = 4000,
+def probes_for(functions: int, width: int, probes: int) -> int:
+    """Buckets to look into with joined hashes, for the recall of ``probes`` with one: half as large a part of all for each."""
+    axes = 2 * (1 << max(1, (width - 1).bit_length()))
+    return probes if functions == 1 else probes * (axes // 2) ** (functions - 1)
+
+
+def search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int = 16, probes: int = 4, bucket: int | None = None,
            block: int = 4096, seed: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row whose id is divisible by ``every``.
 
+    A table has one hash at every number of rows, so that the recall doesn't fall with it; large buckets are cut into blocks.
+    A size ``bucket`` asks for joined hashes where buckets would be larger; then the ``probes`` grow with the hashes.
+
     Score: Euclidean distance in double precision; ties go to the smaller id. All rows are indexed. Vectors that are null,
     zero or hold null or non-finite components take no part; a repeated id counts once per different vector, a query's own id
     never. Vectors of another width than the most common one (ties: the smaller) take no part either. Empty tables give none.
@@ -108,7 +117,8 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int = 16,
         return own.select(F.col("id").cast("long").alias("query_id"), F.lit(0).alias("rank"), F.col("id").cast("long").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     width, total = shape["width"], shape["count"]
     own = own.where(F.size("vec") == width)
-    hashes = Hashes(width, tables, functions_for(total, width, bucket), seed)
+    functions = 1 if bucket is None else functions_for(total, width, bucket)
+    hashes, probes = Hashes(width, tables, functions, seed), probes_for(functions, width, probes)
 
     # Only the k + 1 smallest ids of equal vectors can be among anyone's k nearest; Spark cuts them before the shuffle.
     rows = own.withColumn("n", F.row_number().over(W.partitionBy("vec").orderBy("id"))).where(F.col("n") <= k + 1)

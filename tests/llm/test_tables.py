@@ -35,6 +35,38 @@ def test_recall_and_exact_scores(spark):
     assert hits / (10 * len(want)) >= 0.9
 
 
+def test_recall_is_the_same_with_joined_hashes(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]
+    assert cross_polytope.functions_for(len(rows), len(rows[0][1]), 1) == 2
+    want = {(q, v) for q, own in brute(rows, 100, 10).items() for _, v, _ in own}
+    got = {(r.query_id, r.vec_id) for r in cross_polytope.search(df, bucket=1).collect()}
+    assert len(got & want) / len(want) >= 0.9
+
+
+def test_probes_of_joined_hashes_are_the_best_sums():
+    x = np.random.default_rng(4).normal(size=(70, 3))
+    h = cross_polytope.Hashes(3, 1, 2, 5)
+    turned = [h.turned(x, 0, f) for f in range(2)]
+    for n in (1, 5, 30, 100):
+        got = h.probes(x, 0, n)
+        assert got.shape == (70, min(n, 64)) and (got[:, 0] == h.buckets(x)[:, 0]).all()
+        for i in range(70):
+            loss = {a * 8 + b: sum((s[i].max() - s[i, j]) ** 2 for s, j in zip(turned, (a, b))) for a in range(8) for b in range(8)}
+            assert len(set(got[i].tolist())) == len(got[i])
+            assert [loss[j] for j in got[i].tolist()] == pytest.approx(sorted(loss.values())[:n])
+
+
+def test_one_hash_at_every_size(spark, monkeypatch):
+    made = []
+    own = cross_polytope.Hashes
+    monkeypatch.setattr(cross_polytope, "Hashes", lambda *a: made.append(a) or own(*a))
+    monkeypatch.setattr(cross_polytope, "functions_for", lambda *a: 2)
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(4)], "vec_id long, embedding array<double>")
+    cross_polytope.search(df)
+    assert [a[2] for a in made] == [1]
+
+
 def test_joined_hashes_reach_all_by_the_exact_way(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(60)]
