@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, cross_polytope, decontaminate, factorization, licenses, lines, order_minhash, packing, reputation, sharding
+from clientele.llm import bpe, cross_polytope, decontaminate, factorization, infill, licenses, lines, order_minhash, packing, reputation, sharding
 from clientele.llm.common import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,3 +70,22 @@ def segment_lines(spark, folder):
 def license_scan(spark, folder):
     found = licenses.scan(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+INFILL_SQL = """with t as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+    drawn as (select doc_id, text, length(text) as n, ('0x' || substr(h, 1, 8))::ubigint as h1, ('0x' || substr(h, 9, 8))::ubigint as h2,
+        ('0x' || substr(h, 17, 8))::ubigint as h3, ('0x' || substr(h, 25, 8))::ubigint as h4 from t),
+    placed as (select *, cast(least(h1 % (n + 1), h2 % (n + 1)) as bigint) as a, cast(greatest(h1 % (n + 1), h2 % (n + 1)) as bigint) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn),
+    cut as (select *, substring(text, 1, a) as p, substring(text, a + 1, b - a) as m, substring(text, b + 1) as s from placed)
+    select doc_id, n, form, case when form != 'plain' then a end as prefix_chars, case when form != 'plain' then b - a end as middle_chars,
+        sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(text) as restored_sha256 from cut"""
+
+
+@query("op12_boundary_infill", INFILL_SQL)
+def boundary_infill(spark, folder):
+    made = infill.fill_in_middle(table(spark, folder, "documents"))
+    return made.select(
+        F.col("key").alias("doc_id"), "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
