@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+#: A blank between characters that are neither white space nor the sign that subword pieces have for a blank: byte-level
+#: patterns and blank-led pieces start a token here.
+BLANK = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+
+
+def slices(text: str, size: int) -> Iterator[str]:
+    """The text in parts of at least ``size`` characters, each but the first beginning with the blank it was cut at. A text
+    without such a blank stays in one part."""
+    at = 0
+    while len(text) - at > size:
+        cut = BLANK.search(text, at + size)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A word: a run of ASCII digits, ASCII lower-case letters and any non-ASCII characters of the lowered text.

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, cross_polytope, decontaminate, factorization, infill, licenses, lines, order_minhash, packing, reputation, sharding
+from clientele.llm import bpe, cross_polytope, decontaminate, factorization, infill, licenses, lines, order_minhash, packing, reputation, sharding, token_counts
 from clientele.llm.common import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
@@ -89,3 +90,9 @@ def boundary_infill(spark, folder):
         F.col("key").alias("doc_id"), "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
         F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query("op11_two_tier_counts")
+def two_tier_counts(spark, folder):
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), COUNTED, public_tokenizers.PATTERN)
+    return counted.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
