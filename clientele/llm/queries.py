@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, cross_polytope, decontaminate, factorization, infill, licenses, lines, order_minhash, packing, reputation, sharding, token_counts
+from clientele.llm import alignment, bpe, cross_polytope, decontaminate, factorization, infill, licenses, lines, order_minhash, packing, reputation, sharding, token_counts
 from clientele.llm.common import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -96,3 +96,9 @@ def boundary_infill(spark, folder):
 def two_tier_counts(spark, folder):
     counted = token_counts.count_tokens(table(spark, folder, "documents"), COUNTED, public_tokenizers.PATTERN)
     return counted.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query("op13_fragment_alignment")
+def fragment_alignment(spark, folder):
+    found = alignment.align(table(spark, folder, "documents"), COUNTED, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("key", "doc_id")

@@ -21,7 +21,7 @@ def test_same_rows_as_sql(spark, con, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} <= {n[: n.index("_") + 1] for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {n[: n.index("_") + 1] for n in names if n.startswith("op")}
     assert "pipeline" in names
 
 
