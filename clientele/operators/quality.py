@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.dates import at_time
+from clientele.operators.ordered import neighbour
 from clientele.operators.setops import except_both, group_counts
-from clientele.operators.windows import neighbour
 
 
 def _expr(e) -> Column:
@@ -115,29 +115,27 @@ def fewer_rows_than(a: DataFrame, b: DataFrame, keys: Sequence[str] = ()) -> Dat
 
 
 def mutually_exclusive_ranges(
-    df: DataFrame, lower: str, upper: str, keys: Sequence[str], bucket: Column, gaps: str = "allowed",
-    zero_length: bool = False,
+    df: DataFrame, lower: str, upper: str, keys: Sequence[str], gaps: str = "allowed", zero_length: bool = False,
 ) -> DataFrame:
     """Ranges that end before they start, or overlap the next range, or break the gap rule.
 
-    The last range of a group has no successor. ``bucket`` is a coarse, non-decreasing function of ``lower`` (see
-    :func:`neighbour`); bounds that are NULL fail.
+    The last range of a group has no successor. Bounds that are NULL fail.
     """
     rules = {
         "allowed": lambda u, nxt: u <= nxt, "not_allowed": lambda u, nxt: u == nxt, "required": lambda u, nxt: u < nxt,
     }
     if gaps not in rules:
         raise ValueError(f"gaps must be one of {sorted(rules)}, got {gaps!r}")
-    ordered = neighbour(df, keys, lower, bucket, "next_lower_bound")
+    ordered = neighbour(df, keys, lower, "next_lower_bound")
     low, high, nxt = F.col(lower), F.col(upper), F.col("next_lower_bound")
     proper = F.coalesce(low <= high if zero_length else low < high, F.lit(False))
     apart = F.coalesce(F.when(nxt.isNull(), True).otherwise(rules[gaps](high, nxt)), F.lit(False))
     return ordered.where(~(proper & apart))
 
 
-def sequential_values(df: DataFrame, column: str, keys: Sequence[str], bucket: Column, step) -> DataFrame:
+def sequential_values(df: DataFrame, column: str, keys: Sequence[str], step) -> DataFrame:
     """Rows whose value is not the previous value of the group plus ``step`` (a number or an interval column)."""
-    ordered = neighbour(df, keys, column, bucket, "previous_value", ahead=False)
+    ordered = neighbour(df, keys, column, "previous_value", ahead=False)
     following = F.col("previous_value") + (step if isinstance(step, Column) else F.lit(step))
     return ordered.where(F.col("previous_value").isNotNull() & (F.col(column) != following))
 
@@ -158,14 +156,13 @@ def scd_one_current(dim: DataFrame, key: str = "customer_id") -> DataFrame:
     ).where(F.col("current_count") != 1)
 
 
-def scd_gaps(dim: DataFrame, key: str = "customer_id", bucket: Column | None = None) -> DataFrame:
+def scd_gaps(dim: DataFrame, key: str = "customer_id") -> DataFrame:
     """Versions whose end is not the day before the next version starts.
 
     The next start is found over all versions and closed versions are tested afterwards, so the step into the current
     version is tested too.
     """
-    bucket = bucket if bucket is not None else F.trunc("valid_from", "year")
-    ordered = neighbour(dim.select(key, "valid_from", "valid_to"), [key], "valid_from", bucket, "next_valid_from")
+    ordered = neighbour(dim.select(key, "valid_from", "valid_to"), [key], "valid_from", "next_valid_from")
     closed = F.col("next_valid_from").isNotNull() & (F.col("valid_to") != F.date_sub("next_valid_from", 1))
     return ordered.where(closed).withColumn("gap_days", F.datediff("next_valid_from", "valid_to") - 1)
 

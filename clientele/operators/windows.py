@@ -14,28 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def neighbour(
-    df: DataFrame, keys: Sequence[str], order: str, bucket: Column, name: str, ahead: bool = True
-) -> DataFrame:
-    """Add the next (or previous) value of ``order`` within ``keys``.
-
-    ``bucket`` must be non-decreasing in ``order`` (for example the day of a timestamp), and ``order`` not NULL: only
-    the edge row of a bucket then has no neighbour inside it.
-    """
-    step = F.lead if ahead else F.lag
-    inner = Window.partitionBy(*keys, "_bucket").orderBy(order)
-    local = df.withColumn("_bucket", bucket).withColumn("_near", step(order).over(inner))
-    edge = F.min(order) if ahead else F.max(order)
-    edges = df.withColumn("_bucket", bucket).groupBy(*keys, "_bucket").agg(edge.alias("_edge_value"))
-    carried = edges.withColumn("_far", step("_edge_value").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop(
-        "_edge_value"
-    )
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_bucket"]]
-    return local.alias("l").join(carried.alias("c"), on, "left").select(
-        *[F.col(f"l.`{c}`") for c in df.columns], F.coalesce("l._near", "c._far").alias(name)
-    )
-
-
 def _bucket_of(value: Column, bounds: Sequence[float]) -> Column:
     """Number of bounds that are <= value."""
     if not bounds:

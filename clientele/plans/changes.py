@@ -149,7 +149,7 @@ def cdc_classify(spark, folder):
 @query("cdc_merge_history", sql(f"with {CDC_SQL} select * replace ({d('amount')} as amount, {n('current_flag')} as current_flag) from merged", "chg"))
 def cdc_merge_history(spark, folder):
     history, batch = _split(spark, folder)
-    return cdc.merge_history(history, cdc.classify(batch, history, ATTRIBUTES, EVENTS_END), ATTRIBUTES)
+    return cdc.apply_changes(batch, history, ATTRIBUTES, EVENTS_END)
 
 
 def fact_changes(spark, folder):

@@ -11,7 +11,6 @@ from clientele.operators import quality as Q
 from clientele.operators import suites as S
 from clientele.operators import telemetry as T
 from clientele.operators.dedupe import latest_per_key
-from clientele.operators.windows import range_bucket
 from clientele.plans import inputs
 from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
@@ -133,7 +132,7 @@ def dq_fewer_rows(spark, folder):
     select * from r where not (valid_from < valid_to and coalesce(valid_to + 1 = next_lower_bound, next_lower_bound is null))""", "txn"))
 def dq_ranges_exclusive(spark, folder):
     ranges = _versions(spark, folder).where(F.col("valid_to").isNotNull()).withColumn("upper", F.date_add("valid_to", 1))
-    bad = Q.mutually_exclusive_ranges(ranges, "valid_from", "upper", ["customer_id"], F.trunc("valid_from", "year"), gaps="not_allowed")
+    bad = Q.mutually_exclusive_ranges(ranges, "valid_from", "upper", ["customer_id"], gaps="not_allowed")
     return bad.drop("upper")
 
 
@@ -142,7 +141,7 @@ def dq_ranges_exclusive(spark, folder):
     select * from r where not (transaction_id = previous_value + 1)""", "txn"))
 def dq_sequential(spark, folder):
     rows = transactions(spark, folder).select("customer_id", "transaction_id")
-    return Q.sequential_values(rows, "transaction_id", ["customer_id"], range_bucket(rows, "transaction_id"), 1)
+    return Q.sequential_values(rows, "transaction_id", ["customer_id"], 1)
 
 
 @query("dq_sequential_dates", sql(
@@ -150,7 +149,7 @@ def dq_sequential(spark, folder):
     select * from r where not (month = cast(previous_value + interval 1 month as date))""", "txn"))
 def dq_sequential_dates(spark, folder):
     rows = transactions(spark, folder).select("customer_id", F.trunc("transaction_date", "month").alias("month")).distinct()
-    return Q.sequential_values(rows, "month", ["customer_id"], F.trunc("month", "year"), F.expr("interval 1 month"))
+    return Q.sequential_values(rows, "month", ["customer_id"], F.expr("interval 1 month"))
 
 
 @query("dq_recency", sql(

@@ -14,6 +14,7 @@ from clientele.operators import campaign, clean, reshape, setops, star
 from clientele.operators import windows as W
 from clientele.operators.customer import monthly_spending
 from clientele.operators.dedupe import deduplicate, latest_per_key
+from clientele.operators.ordered import as_of_merge, neighbour
 from clientele.operators.quality import mutually_exclusive_ranges, scd_gaps, sequential_values
 from clientele.operators.reports import monthly_totals, per_customer, merged
 from clientele.plans import inputs
@@ -227,6 +228,21 @@ def jn_asof_scd(spark, folder):
     return joined.select("transaction_id", "customer_id", "transaction_date", "amount", "card_type", "valid_from")
 
 
+@query("jn_asof_dense", sql(
+    f"""with rate as (select channel, transaction_date as valid_from, {d('max(amount)')} as top_amount, {n('count(*)')} as day_orders from txn group by 1, 2),
+        shipped as (select line.transaction_id, txn.channel, cast(line.ingestion_timestamp as date) as ship_date from line join txn on line.order_id = txn.transaction_id)
+    select transaction_id, s.channel, ship_date, valid_from, top_amount, day_orders from shipped s asof join rate r on s.channel = r.channel and s.ship_date >= r.valid_from""", "line", "txn"))
+def jn_asof_dense(spark, folder):
+    """Shipped lines with their channel's figures of the last order day up to shipping: few keys, each with very many versions."""
+    txn = transactions(spark, folder)
+    daily = txn.groupBy("channel", F.col("transaction_date").alias("valid_from")).agg(
+        F.max("amount").cast("double").alias("top_amount"), F.count(F.lit(1)).alias("day_orders")
+    )
+    orders = txn.select(F.col("transaction_id").alias("order_id"), "channel")
+    shipped = lines(spark, folder).join(orders, "order_id").select("transaction_id", "channel", F.col("ingestion_timestamp").cast("date").alias("ship_date"))
+    return as_of_merge(shipped, daily, "channel", "ship_date")
+
+
 @query("jn_before_after", sql(
     f"""with u as (select customer_id, min(transaction_date) as upgrade_date from txn where channel = '1-URGENT' group by 1)
     select txn.customer_id, case when transaction_date < upgrade_date then 'Before Upgrade' else 'After Upgrade' end as upgrade_period,
@@ -349,7 +365,7 @@ INTERVALS_SQL = """select id, label, update_timestamp as start_time,
 @query("win_scd_intervals", sql(INTERVALS_SQL, "chg"))
 def win_scd_intervals(spark, folder):
     rows = changes(spark, folder).where(F.col("action") == "INSERT").select("id", "label", "update_timestamp")
-    near = W.neighbour(rows, ["id"], "update_timestamp", F.to_date("update_timestamp"), "_next")
+    near = neighbour(rows, ["id"], "update_timestamp", "_next")
     open_end = at_time(dt.datetime(9999, 12, 31))
     return near.select(
         "id", "label", F.col("update_timestamp").alias("start_time"), F.coalesce("_next", open_end).alias("end_time"),
@@ -365,7 +381,7 @@ VERSIONS_SQL = f"""v as (select customer_id, {month_of('transaction_date')} as v
 def _versions(spark, folder):
     """Customer versions by active month; versions that start in June end ten days too early."""
     starts = transactions(spark, folder).select("customer_id", F.trunc("transaction_date", "month").alias("valid_from")).distinct()
-    near = W.neighbour(starts, ["customer_id"], "valid_from", F.trunc("valid_from", "year"), "_next")
+    near = neighbour(starts, ["customer_id"], "valid_from", "_next")
     short = F.when(F.month("valid_from") == 6, 11).otherwise(1)
     return near.select("customer_id", "valid_from", F.date_sub("_next", short).alias("valid_to"))
 
@@ -375,7 +391,7 @@ def _versions(spark, folder):
     select customer_id, valid_from, valid_to, next_valid_from, {days('valid_to', 'next_valid_from')} - 1 as gap_days from x
     where next_valid_from is not null and valid_to != next_valid_from - 1""", "txn"))
 def win_scd_gaps(spark, folder):
-    return scd_gaps(_versions(spark, folder), "customer_id", bucket=F.trunc("valid_from", "year"))
+    return scd_gaps(_versions(spark, folder), "customer_id")
 
 
 @query("win_ranges_exclusive", """with r as (select user_id, ts as lower_bound, ts + interval 4 hour as upper_bound, lead(ts) over (partition by user_id order by ts) as next_lower_bound from events)
@@ -385,14 +401,14 @@ def win_ranges_exclusive(spark, folder):
     sessions = table(spark, folder, "events").select(
         "user_id", F.col("ts").alias("lower_bound"), (F.col("ts") + F.expr("interval 4 hours")).alias("upper_bound")
     )
-    return mutually_exclusive_ranges(sessions, "lower_bound", "upper_bound", ["user_id"], F.to_date("lower_bound"), gaps="required")
+    return mutually_exclusive_ranges(sessions, "lower_bound", "upper_bound", ["user_id"], gaps="required")
 
 
 @query("win_sequential", """with r as (select event_type, event_id, lag(event_id) over (partition by event_type order by event_id) as previous_value from events)
     select * from r where not (event_id = previous_value + 1)""")
 def win_sequential(spark, folder):
     ids = table(spark, folder, "events").select("event_type", "event_id")
-    return sequential_values(ids, "event_id", ["event_type"], W.range_bucket(ids, "event_id"), 1)
+    return sequential_values(ids, "event_id", ["event_type"], 1)
 
 
 # ---- sort, limit, sets ----

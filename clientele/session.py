@@ -58,6 +58,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` as a table written to the shared folder: evaluated once, and what is read back doesn't depend on the plan."""
+    place = scratch(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def checkpointed(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession

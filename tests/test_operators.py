@@ -141,18 +141,6 @@ def test_global_row_number_is_a_permutation_in_order(spark):
     assert [got[t] for _, _, t in sorted(data)] == list(range(1, 2001))
 
 
-@pytest.mark.parametrize("ahead", [True, False])
-def test_neighbour_crosses_buckets(spark, ahead):
-    rnd = random.Random(9)
-    data = [(rnd.choice([0, 0, 0, 1, 2, None]), t) for t in rnd.sample(range(10_000), 800)]
-    df = spark.createDataFrame(data, "k long, t long")
-    got = {(r["k"], r["t"]): r["x"] for r in W.neighbour(df, ["k"], "t", F.floor(F.col("t") / 900), "x", ahead).collect()}
-    for k in {k for k, _ in data}:
-        order = sorted((t for kk, t in data if kk == k), reverse=not ahead)
-        for here, there in zip(order, [*order[1:], None]):
-            assert got[(k, here)] == there
-
-
 # ---- dedupe ----
 
 
@@ -364,13 +352,12 @@ def test_except_both_is_distinct(spark):
 
 def test_ranges_gap_rules(spark):
     df = spark.createDataFrame([(1, 0, 5), (1, 5, 9), (1, 12, 15), (2, 3, 3)], "k long, lo long, hi long")
-    bucket = F.floor(F.col("lo") / 4)
-    bad = lambda **kw: rows(quality.mutually_exclusive_ranges(df, "lo", "hi", ["k"], bucket, **kw), "k", "lo")
+    bad = lambda **kw: rows(quality.mutually_exclusive_ranges(df, "lo", "hi", ["k"], **kw), "k", "lo")
     assert bad() == [(2, 3)]
     assert bad(gaps="not_allowed", zero_length=True) == [(1, 5)]
     assert bad(gaps="required", zero_length=True) == [(1, 0)]
     with pytest.raises(ValueError):
-        quality.mutually_exclusive_ranges(df, "lo", "hi", ["k"], bucket, gaps="some")
+        quality.mutually_exclusive_ranges(df, "lo", "hi", ["k"], gaps="some")
 
 
 def test_null_rules_of_checks(spark):
