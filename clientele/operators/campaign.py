@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.columns import money_mean
 from clientele.operators import customer as C
-from clientele.operators.windows import global_rank
+from clientele.operators.windows import global_ranks
 from clientele.session import checkpointed
 
 # Fixed value: share of the lifetime value that counts as one year's value of a retained customer.
@@ -104,17 +104,11 @@ def campaign_lists(segments: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def decline_ranks(segments: DataFrame) -> DataFrame:
-    """Declining customers ranked by value and by severity of the decline.
-
-    The ranked rows are checkpointed: finding the value ranges and ranking read them several times, and should not
-    repeat the job that produced the segments.
-    """
-    declining = checkpointed(segments.where(F.col("customer_segment") == C.DECLINING).select(
+    """Declining customers ranked by value and by severity of the decline, both ranks from one stored table."""
+    declining = segments.where(F.col("customer_segment") == C.DECLINING).select(
         "customer_id", "lifetime_value", "spend_last_90_days", "spend_prior_90_days", "spend_change_pct"
-    ))
-    return global_rank(
-        global_rank(declining, "lifetime_value", "ltv_rank", ascending=False), "spend_change_pct", "decline_rank"
     )
+    return global_ranks(declining, {"ltv_rank": ("lifetime_value", False), "decline_rank": ("spend_change_pct", True)})
 
 
 def segment_pairs(fact: DataFrame, rules: C.SegmentRules, before: dt.date, now: dt.date) -> DataFrame:

@@ -16,7 +16,7 @@ from clientele.functions.columns import mean, money_mean, pct, stable_mean
 from clientele.functions.dates import days_between, months_before, on
 from clientele.operators import customer as C
 from clientele.operators.suites import banded_status, passed, report
-from clientele.operators.windows import exact_percentiles
+from clientele.operators.selection import percentiles
 
 # Encodings of the banded features.
 CONSISTENCY_CODE = {"Consistent": 0, "Moderate": 1, "Variable": 2}
@@ -210,7 +210,7 @@ def score_summary(predictions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("customer_count"), money_mean("churn_risk_score").alias("avg_risk_score"),
         F.min("churn_risk_score").alias("min_score"), F.max("churn_risk_score").alias("max_score"),
     )
-    medians = exact_percentiles(rows, ["risk_category"], "churn_risk_score", {"median_score": 0.5}, width=0.25)
+    medians = percentiles(rows, ["risk_category"], {"churn_risk_score": {"median_score": 0.5}})
     # Every customer counts once in a band and once in 'All', so the total is half the sum.
     whole = F.sum("customer_count").over(Window.partitionBy()) / 2
     return spread.withColumn("pct_of_total", pct("customer_count", whole)).join(medians, "risk_category")

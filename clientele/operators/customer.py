@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from clientele.functions.columns import banded, mean
 from clientele.functions.dates import days_before, days_between, months_between_boundaries, on
-from clientele.operators.windows import exact_percentiles
-from clientele.session import scratch
+from clientele.operators.ordered import ROWS, heavy_keys, is_same
+from clientele.operators.selection import percentiles
 
 # Categories that count as travel and as necessities.
 TRAVEL = ("Travel", "Airlines", "Hotels")
@@ -53,16 +53,17 @@ def spend_change(last: Column, prior: Column) -> Column:
     return F.when(prior > 0, (last - prior) / prior * 100).otherwise(0.0)
 
 
-def customer_summary(fact: DataFrame, as_of: dt.date | str, key: str = "customer_id", median: bool = True) -> DataFrame:
+def customer_summary(
+    fact: DataFrame, as_of: dt.date | str, key: str = "customer_id", median: bool = True, most: int = ROWS, feed: DataFrame | None = None
+) -> DataFrame:
     """All per-customer aggregates in one pass over the fact: lifetime, value spread, 90-day windows, category shares.
 
     ``as_of`` is a date, or the name of a date column of the fact: then one row per customer and date is made (see
     :func:`at_dates`).
 
-    Every aggregate has a map-side part, so a customer with a third of all rows costs one partial row per task. The
-    exact median cannot be merged that way: with ``median``, the fact is read once into counts per customer and amount,
-    written to the shared folder, from which both the sums and the median are taken; :func:`exact_percentiles` bounds
-    every task for any group size. Jobs that do not read the median leave it out and stay one lazy aggregate.
+    One lazy aggregate with a map-side part. The exact median belongs to it, too, unless a customer has more than ``most``
+    rows, which is counted first (``feed``: see :func:`heavy_keys`): then the sums merge map-side without the median, and
+    :func:`percentiles` selects the medians. Jobs that do not read the median leave it out.
     """
     if isinstance(as_of, str):
         keys, today = [key, as_of], F.col(as_of)
@@ -77,21 +78,25 @@ def customer_summary(fact: DataFrame, as_of: dt.date | str, key: str = "customer
         "_travel": F.col("category_name").isin(*TRAVEL),
         "_necessities": F.col("category_name").isin(*NECESSITIES),
     }
-    if median:
-        base = _from_counts(fact, keys, parts)
-    else:
-        base = fact.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.sum(amount).cast("double").alias("lifetime_value"),
-            F.min(day).alias("first_transaction_date"),
-            F.max(day).alias("last_transaction_date"),
-            mean(amount).alias("avg_transaction_value"),
-            F.round(F.stddev_samp(amount.cast("double")), 4).alias("transaction_value_stddev"),
-            F.min(amount).cast("double").alias("min_transaction_value"),
-            F.max(amount).cast("double").alias("max_transaction_value"),
-            *[F.sum(F.when(hit, amount).otherwise(0)).cast("double").alias(name) for name, hit in parts.items()],
-            F.lit(None).cast("double").alias("median_transaction_value"),
-        )
+    inline = median and not heavy_keys(fact, keys, most, feed)
+    middle = F.round(F.percentile(amount.cast("double"), F.lit(0.5)), 4) if inline else F.lit(None).cast("double")
+    base = fact.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_transactions"),
+        F.sum(amount).cast("double").alias("lifetime_value"),
+        F.min(day).alias("first_transaction_date"),
+        F.max(day).alias("last_transaction_date"),
+        mean(amount).alias("avg_transaction_value"),
+        F.round(F.stddev_samp(amount.cast("double")), 4).alias("transaction_value_stddev"),
+        F.min(amount).cast("double").alias("min_transaction_value"),
+        F.max(amount).cast("double").alias("max_transaction_value"),
+        *[F.sum(F.when(hit, amount).otherwise(0)).cast("double").alias(name) for name, hit in parts.items()],
+        middle.alias("median_transaction_value"),
+    )
+    if median and not inline:
+        medians = percentiles(fact, keys, {"amount": {"_median": 0.5}}, most=most)
+        base = base.alias("l").join(medians.alias("r"), is_same(keys, "l", "r"), "left").select(
+            "l.*", F.round("_median", 4).alias("_median")
+        ).withColumn("median_transaction_value", F.col("_median"))
     age, ltv = days_between("first_transaction_date", "last_transaction_date"), F.col("lifetime_value")
     return base.select(
         *keys,
@@ -118,37 +123,6 @@ def customer_summary(fact: DataFrame, as_of: dt.date | str, key: str = "customer
     )
 
 
-def _from_counts(fact: DataFrame, keys: Sequence[str], parts: dict[str, Column]) -> DataFrame:
-    """The aggregates of :func:`customer_summary` with the median, from one pass over the fact."""
-    spark, amount, n = fact.sparkSession, F.col("amount"), F.col("n")
-    folder = scratch(spark, "customer-amounts")
-    fact.groupBy(*keys, "amount").agg(
-        F.count(F.lit(1)).alias("n"), F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last"),
-        *[F.count_if(hit).alias(name) for name, hit in parts.items()],
-    ).write.parquet(folder)
-    counts = spark.read.parquet(folder)
-    filled, value = F.sum(F.when(amount.isNotNull(), n)), amount.cast("double")
-    total = F.sum(amount * n)
-    # The spread from exact sums of the amounts and of their squares.
-    squares = F.sum((amount * amount * n).cast("decimal(38,4)")).cast("double")
-    spread = F.sqrt(F.greatest(squares - total.cast("double") * total.cast("double") / filled, F.lit(0.0)) / F.nullif(filled - 1, F.lit(0)))
-    base = counts.groupBy(*keys).agg(
-        F.sum("n").alias("total_transactions"),
-        total.cast("double").alias("lifetime_value"),
-        F.min("first").alias("first_transaction_date"),
-        F.max("last").alias("last_transaction_date"),
-        (total.cast("double") / filled.cast("double")).alias("avg_transaction_value"),
-        F.round(spread, 4).alias("transaction_value_stddev"),
-        F.min(value).alias("min_transaction_value"),
-        F.max(value).alias("max_transaction_value"),
-        *[F.coalesce(F.sum(amount * F.col(name)), F.lit(0)).cast("double").alias(name) for name in parts],
-    )
-    halves = exact_percentiles(counts, keys, "amount", {"median_transaction_value": 0.5}, 1024.0, "n")
-    halves = halves.select(*[F.col(k).alias(f"_{k}") for k in keys], F.round("median_transaction_value", 4).alias("median_transaction_value"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return base.join(halves, same, "left").drop(*[f"_{k}" for k in keys])
-
-
 def at_dates(fact: DataFrame, dates: Sequence[dt.date], name: str = "as_of") -> DataFrame:
     """The fact as it was known before each of the ``dates``: one scan serves all reference dates."""
     return fact.select("*", F.explode(F.array(*[F.lit(d) for d in dates])).alias(name)).where(

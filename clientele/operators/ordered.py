@@ -21,10 +21,15 @@ ROWS = 4_000_000
 PIECE = "_piece"
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], most: int, weight: str | None = None) -> list[Row]:
-    """Keys with more than ``most`` rows (or more than that in the sum of ``weight``) and their ``_n``. There are at most rows / most of them; counted map-side."""
-    size = F.sum(weight) if weight else F.count(F.lit(1))
-    return df.groupBy(*keys).agg(size.alias("_n")).where(F.col("_n") > most).collect()
+def heavy_keys(df: DataFrame, keys: Sequence[str], most: int, feed: DataFrame | None = None) -> list[Row]:
+    """Keys with more than ``most`` rows and their ``_n``. There are at most rows / most of them; counted map-side.
+
+    ``feed``: a table that is cheap to count and has at least as many rows as ``df``, such as the scan ``df`` comes from. If it
+    has no more than ``most``, no key can have.
+    """
+    if feed is not None and feed.count() <= most:
+        return []
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).collect()
 
 
 def is_same(keys: Sequence[str], left: str, right: str) -> Column | bool:

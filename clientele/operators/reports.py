@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from clientele.functions.columns import mean, pct, safe_divide
 from clientele.functions.text import format_bytes, format_millis
+from clientele.operators.selection import percentiles
 from clientele.operators.setops import beside
-from clientele.operators.windows import exact_percentiles, share_of_total
+from clientele.operators.windows import share_of_total
 
 
 def per_customer(transactions: DataFrame, *keys: str) -> DataFrame:
@@ -46,12 +47,12 @@ def group_profile(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
     return share_of_total(counts, "customer_count", "percentage")
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str, width: float, count: str | None = None) -> DataFrame:
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str, count: str | None = None) -> DataFrame:
     """min, quartiles, max and mean per group; quartiles are exact for groups of any size.
 
     ``count``: how often a row counts, for rows that were counted before a join.
     """
-    quartiles = exact_percentiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, width, count)
+    quartiles = percentiles(df, keys, {value: {"q1": 0.25, "median": 0.5, "q3": 0.75}}, count)
     average = mean(value)
     if count:
         filled = F.sum(F.when(F.col(value).isNotNull(), F.col(count)))
@@ -80,17 +81,16 @@ def monthly_totals(transactions: DataFrame) -> DataFrame:
     )
 
 
-def usage_statistics(log: DataFrame, keys: Sequence[str], elapsed: str, volume: str, width: float, volume_width: float):
+def usage_statistics(log: DataFrame, keys: Sequence[str], elapsed: str, volume: str) -> DataFrame:
     """Query-log report: count, median and 90th percentile of the elapsed time, median and mean of the volume."""
-    times = exact_percentiles(log, keys, elapsed, {"median_elapsed": 0.5, "p90_elapsed": 0.9}, width)
-    volumes = exact_percentiles(log, keys, volume, {"median_volume": 0.5}, volume_width)
+    found = percentiles(log, keys, {elapsed: {"median_elapsed": 0.5, "p90_elapsed": 0.9}, volume: {"median_volume": 0.5}})
     plain = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("count_queries"), mean(volume).alias("avg_volume"))
-    return _with(_with(plain, times, keys), volumes, keys)
+    return _with(plain, found, keys) if keys else beside(plain, found)
 
 
-def formatted_usage(log: DataFrame, keys: Sequence[str], elapsed: str, volume: str, width: float, volume_width: float) -> DataFrame:
+def formatted_usage(log: DataFrame, keys: Sequence[str], elapsed: str, volume: str) -> DataFrame:
     """:func:`usage_statistics` by any number of keys, with times and sizes as text."""
-    stats = usage_statistics(log, keys, elapsed, volume, width, volume_width)
+    stats = usage_statistics(log, keys, elapsed, volume)
     return stats.select(
         *keys, "count_queries", *[format_millis(F.floor(c)).alias(c) for c in ("median_elapsed", "p90_elapsed")],
         *[format_bytes(F.floor(c)).alias(c) for c in ("median_volume", "avg_volume")],

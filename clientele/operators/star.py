@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from clientele.functions.columns import surrogate_key
 from clientele.functions.dates import date_attributes, months_before
 from clientele.operators.clean import category_attributes
+from clientele.operators.joins import dimension_join
+from clientele.operators.ordered import ROWS
 
 FOREVER = dt.date(9999, 12, 31)
 
@@ -46,26 +49,31 @@ def initial_dimension(customers: DataFrame) -> DataFrame:
     )
 
 
-def fact_transactions(transactions: DataFrame, dim_customer: DataFrame, dim_cat: DataFrame) -> DataFrame:
-    """Resolve the keys of the current customer version and of the category; rows without both keys are dropped."""
-    current = dim_customer.where("is_current").select("customer_id", "customer_key")
-    cats = dim_cat.select("category_name", F.col("category_key").alias("merchant_category_key"))
-    return (
-        transactions.join(current, "customer_id", "left").join(cats, "category_name", "left")
-        .where(F.col("customer_key").isNotNull() & F.col("merchant_category_key").isNotNull())
-        .select(
-            surrogate_key("transaction_id").alias("transaction_key"),
-            "transaction_id",
-            "customer_key",
-            F.date_format("transaction_date", "yyyyMMdd").cast("int").alias("date_key"),
-            "merchant_category_key",
-            "transaction_date",
-            "merchant_id",
-            "channel",
-            "status",
-            "amount",
-            "ingestion_timestamp",
-        )
+def fact_transactions(
+    transactions: DataFrame, dim_customer: DataFrame, dim_cat: DataFrame, carry: Sequence[str] = (), most: int = ROWS, feed: DataFrame | None = None
+) -> DataFrame:
+    """Resolve the keys of the current customer version and of the category; rows without both keys are dropped.
+
+    ``carry``: columns of either dimension to keep beside the keys, so that a star query reads each dimension once. Customers
+    with very many transactions are joined apart (see :func:`dimension_join`, also for ``most`` and ``feed``).
+    """
+    wanted = [c for c in carry if c in dim_customer.columns]
+    current = dim_customer.where("is_current").select("customer_id", "customer_key", *wanted)
+    cats = dim_cat.select("category_name", F.col("category_key").alias("merchant_category_key"), *[c for c in carry if c not in wanted])
+    joined = dimension_join(transactions, current, "customer_id", "inner", most, feed)
+    return joined.join(cats, "category_name").select(
+        surrogate_key("transaction_id").alias("transaction_key"),
+        "transaction_id",
+        "customer_key",
+        F.date_format("transaction_date", "yyyyMMdd").cast("int").alias("date_key"),
+        "merchant_category_key",
+        "transaction_date",
+        "merchant_id",
+        "channel",
+        "status",
+        "amount",
+        "ingestion_timestamp",
+        *carry,
     )
 
 
@@ -73,7 +81,8 @@ def join_as_of(facts: DataFrame, versions: DataFrame, key: str, day: str) -> Dat
     """The version that was valid on the fact's date: equal key, date inside [valid_from, valid_to].
 
     An equi-join with a range residual, so Spark shuffles both sides on the key (or ships the versions when they are
-    measured small) and splits a skewed key's facts at run time.
+    measured small) and splits a skewed key's facts at run time. Every fact meets all versions of its key: for keys with
+    many versions take :func:`clientele.operators.ordered.as_of_merge`.
     """
     valid = F.col(f"f.{day}").between(F.col("v.valid_from"), F.coalesce("v.valid_to", F.lit(FOREVER)))
     return facts.alias("f").join(versions.alias("v"), (F.col(f"f.{key}") == F.col(f"v.{key}")) & valid).select(

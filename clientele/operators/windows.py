@@ -1,37 +1,60 @@
-"""Ordered operations that stay whole and bounded when one key or value owns a large part of the rows.
+"""Numbers and shares over the order of a whole table, whole and bounded when one value owns a large part of the rows.
 
-A window over a key puts all its rows in one task. The operators here first cut the order into buckets (days, value
-ranges), work inside the buckets, and carry one summary row per bucket across the bucket boundaries. The only windows
-that span a whole key run over those summaries.
+A window over a table puts all its rows in one task. The operators here first cut the order into ranges, work inside the
+ranges, and carry one summary row per range across their borders. The only windows that span a whole table run over those
+summaries. Orders within keys are in :mod:`clientele.operators.ordered`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clientele.operators.ordered import ROWS
+from clientele.session import written
 
-def _bucket_of(value: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds that are <= value."""
+
+def _bucket_of(value: Column, bounds: Sequence[float], first: int = 0) -> Column:
+    """Number of sorted bounds that are <= value, by halving."""
     if not bounds:
-        return F.lit(0)
-    return reduce(lambda total, b: total + F.when(value >= F.lit(b), 1).otherwise(0), bounds, F.lit(0))
+        return F.lit(first)
+    middle = len(bounds) // 2
+    below, above = _bucket_of(value, bounds[:middle], first), _bucket_of(value, bounds[middle + 1 :], first + middle + 1)
+    return F.when(value < F.lit(bounds[middle]), below).otherwise(above)
 
 
-def global_rank(df: DataFrame, value: str, name: str, ascending: bool = True, buckets: int = 32) -> DataFrame:
-    """RANK() over the whole table without a single-task window.
+def global_ranks(df: DataFrame, orders: Mapping[str, tuple[str, bool]], most: int = ROWS) -> DataFrame:
+    """Add RANK() over the whole table for several orders at once: ``orders`` = {name: (column, ascending)}.
 
-    Equal values are first collapsed to (value, count), which also removes hot values. The distinct values are cut into
-    ranges at approximate quantiles; the bounds only steer the split and are plain literals in the plan, so a retried
-    task sees the same ranges. Counts before a value are the sum of the lower ranges plus the running count inside its
-    range.
+    ``df`` is written once. Up to ``most`` rows the ranks are plain windows of one task. Beyond that, one pass finds
+    quantiles of all columns with mergeable sketches, as many as the rows ask for. Equal values are collapsed to
+    (value, count), which also removes hot values; the distinct values are cut into ranges at the quantiles, and counts before
+    a value are the sum of the lower ranges plus the running count inside its range. The quantiles only steer the split and
+    are literals of the plan, so a retried task sees the same ranges. NULL values have no rank.
     """
+    df = written(df, "ranked")
+    rows = df.count()
+    if rows <= most:
+        for name, (column, ascending) in orders.items():
+            order = F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
+            df = df.withColumn(name, F.when(F.col(column).isNotNull(), F.rank().over(Window.orderBy(order))))
+        return df
+    ranges = -(-rows // most)
+    columns = sorted({c for c, _ in orders.values()})
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    splits = doubles.approxQuantile(columns, [i / ranges for i in range(1, ranges)], max(1 / (4 * ranges), 1e-5))
+    bounds = {c: sorted(set(found)) for c, found in zip(columns, splits)}
+    for name, (column, ascending) in orders.items():
+        ranks = _ranks(df, column, name, ascending, bounds[column])
+        df = df.join(ranks, F.col(column) == F.col("_v"), "left").drop("_v")
+    return df
+
+
+def _ranks(df: DataFrame, value: str, name: str, ascending: bool, bounds: Sequence[float]) -> DataFrame:
+    """Rank of every distinct value ``_v``."""
     values = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    probes = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(values.select(F.col("_v").cast("double").alias("_v")).approxQuantile("_v", probes, 0.01)))
     ranged = values.withColumn("_range", _bucket_of(F.col("_v").cast("double"), bounds))
     order = F.col("_v") if ascending else F.col("_v").desc()
     outer = F.col("_range") if ascending else F.col("_range").desc()
@@ -42,12 +65,11 @@ def global_rank(df: DataFrame, value: str, name: str, ascending: bool = True, bu
         ).select("_range", "_before")
     )
     inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
+    return (
         ranged.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .join(before_range, "_range")
         .select("_v", (F.col("_before") + F.col("_inside") + 1).alias(name))
     )
-    return df.join(ranks, F.col(value) == F.col("_v"), "left").drop("_v")
 
 
 def range_bucket(df: DataFrame, column: str, ranges: int | None = None, rows_per_range: int = 100_000) -> Column:
@@ -89,66 +111,6 @@ def global_row_number(df: DataFrame, day: str, middle: str, tie: str, name: str,
     )
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], width: float, count: str | None = None
-) -> DataFrame:
-    """Exact interpolated percentiles per group, for groups of any size. ``count``: how often a row counts (default once).
-
-    1. (key, value) -> count, combined map-side: a hot group is spread over its values.
-    2. (key, range) -> count; a running count over the ranges of a key finds the range that holds each wanted rank.
-       A key has at most (max - min) / ``width`` ranges.
-    3. Only the values of the found ranges are ordered, one range per window.
-    """
-    keys = list(keys)
-    present = df.where(F.col(value).isNotNull())
-    counted = present.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(
-        (F.sum(count) if count else F.count(F.lit(1))).alias("_n")
-    )
-    counted = counted.withColumn("_range", F.floor(F.col("_v") / width))
-    ranges = counted.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
-    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    ranges = ranges.withColumn("_total", F.sum("_in").over(by_key)).withColumn(
-        "_upto", F.sum("_in").over(by_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    wanted = F.array(*[
-        F.struct(F.lit(label).alias("label"), ((F.col("_total") - 1) * F.lit(float(p))).alias("pos"))
-        for label, p in probs.items()
-    ])
-    # Ranks are 0-based; a range holds ranks [_upto - _in, _upto).
-    first, last = F.col("_upto") - F.col("_in"), F.col("_upto")
-    hits = F.filter(
-        wanted,
-        lambda w: ((F.floor(w["pos"]) >= first) & (F.floor(w["pos"]) < last))
-        | ((F.ceil(w["pos"]) >= first) & (F.ceil(w["pos"]) < last)),
-    )
-    picked = ranges.withColumn("_wanted", hits).where(F.size("_wanted") > 0).select(
-        *keys, "_range", (F.col("_upto") - F.col("_in")).alias("_offset"), "_wanted"
-    )
-    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}")) for k in [*keys, "_range"]]
-    inside = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    located = (
-        counted.alias("c").join(picked.alias("p"), on)
-        .select(*[F.col(f"c.{k}") for k in keys], "c._range", "_v", "_n", "_offset", "_wanted")
-        .withColumn("_end", F.col("_offset") + F.sum("_n").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-        .withColumn("_w", F.explode("_wanted"))
-    )
-
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("_start")) & (rank < F.col("_end"))
-
-    low, high = F.floor("_w.pos"), F.ceil("_w.pos")
-    located = located.where(holds(low) | holds(high))
-    aggregates = []
-    for label in probs:
-        mine = F.col("_w.label") == label
-        below = F.max(F.when(mine & holds(low), F.col("_v")))
-        above = F.max(F.when(mine & holds(high), F.col("_v")))
-        share = F.max(F.when(mine, F.col("_w.pos") - low))
-        aggregates.append((below + (above - below) * share).alias(label))
-    return located.groupBy(*keys).agg(*aggregates)
-
-
 def month_over_month(df: DataFrame, month: str, value: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
     """Previous month's value and the change in percent, over an already aggregated monthly table."""
     w = Window.partitionBy(*keys).orderBy(month)

@@ -381,7 +381,7 @@ def agg_quartiles(spark, folder):
     who = customers(spark, folder).select("customer_id", "customer_segment")
     # Amounts are counted per customer before the join, so that a busy customer is no hot key of it.
     counts = transactions(spark, folder).groupBy("customer_id", "amount").agg(F.count(F.lit(1)).alias("n"))
-    return R.five_numbers(counts.join(who, "customer_id"), ["customer_segment"], "amount", 4096.0, "n")
+    return R.five_numbers(counts.join(who, "customer_id"), ["customer_segment"], "amount", "n")
 
 
 @query("agg_distinct", sql(
@@ -472,7 +472,7 @@ def agg_distribution(spark, folder):
     {avg('length(props)')} as avg_volume from events group by 1"""))
 def agg_usage_percentiles(spark, folder):
     log = table(spark, folder, "events").withColumn("volume", F.length("props"))
-    stats = R.usage_statistics(log, ["event_type"], "value", "volume", 1.0, 4.0)
+    stats = R.usage_statistics(log, ["event_type"], "value", "volume")
     return stats.withColumns({c: F.round(c, 4) for c in ("median_elapsed", "p90_elapsed", "median_volume")})
 
 
@@ -494,7 +494,7 @@ def agg_usage_report(spark, folder):
     log = table(spark, folder, "events").select(
         "event_type", F.trunc("ts", "month").alias("month"), F.floor(F.col("value") * 1000).alias("elapsed"), (F.length("props") * 100).alias("volume")
     )
-    return R.formatted_usage(log, ["event_type", "month"], "elapsed", "volume", 256.0, 512.0)
+    return R.formatted_usage(log, ["event_type", "month"], "elapsed", "volume")
 
 
 @query("agg_size_totals", f"""with g as (select lang, source, count(*)::bigint as n_files, floor(avg(n_chars))::bigint as avg_file_size_bytes, sum(n_chars)::bigint as total_file_size_bytes from documents where n_chars > 1000 group by 1, 2)

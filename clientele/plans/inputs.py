@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from clientele.functions.dates import days_between, on
 from clientele.operators import customer as C
 from clientele.plans.oracle import SCALED
-from clientele.sources.roles import AS_OF, customers, fact
+from clientele.sources.roles import AS_OF, customers, fact, table
 
 
 def summary(spark: SparkSession, folder: str, median: bool = False) -> DataFrame:
-    return C.customer_summary(fact(spark, folder), AS_OF, median=median)
+    return C.customer_summary(fact(spark, folder), AS_OF, median=median, feed=table(spark, folder, "lineitem"))
 
 
 def segments(spark: SparkSession, folder: str, median: bool = False) -> DataFrame:

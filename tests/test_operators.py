@@ -1,6 +1,7 @@
 """Golden rows, edges and invariants of the operators on small hand-made tables."""
 
 import datetime as dt
+import math
 import random
 import statistics
 from decimal import Decimal
@@ -15,6 +16,7 @@ from clientele.operators import campaign, cdc, churn, policy, quality, reports,
 from clientele.operators import customer as C
 from clientele.operators import windows as W
 from clientele.operators.dedupe import deduplicate, latest_per_key
+from clientele.operators.selection import percentiles
 
 D = dt.date
 
@@ -86,24 +88,51 @@ def interpolated(values, p):
     return values[low] + (values[high] - values[low]) * (at - low)
 
 
-@pytest.mark.parametrize("width", [0.5, 64.0, 1e6])
-def test_exact_percentiles_match_brute_force(spark, width):
+def test_exact_percentiles_match_brute_force(spark):
     data, df = skewed(spark)
-    got = {r["k"]: r for r in W.exact_percentiles(df, ["k"], "v", {"a": 0.25, "b": 0.5, "c": 0.9}, width).collect()}
     groups = {}
     for k, _, v in data:
         groups.setdefault(k, []).append(v)
-    assert set(got) == set(groups)
-    for k, values in groups.items():
-        for name, p in (("a", 0.25), ("b", 0.5), ("c", 0.9)):
-            assert got[k][name] == pytest.approx(interpolated(values, p))
+    for most in (300, 10**9):
+        got = {r["k"]: r for r in percentiles(df, ["k"], {"v": {"a": 0.25, "b": 0.5, "c": 0.9}}, most=most).collect()}
+        assert set(got) == set(groups)
+        for k, values in groups.items():
+            for name, p in (("a", 0.25), ("b", 0.5), ("c", 0.9)):
+                assert got[k][name] == pytest.approx(interpolated(values, p))
 
 
 def test_percentiles_of_counted_rows(spark):
     df = spark.createDataFrame([("a", float(i % 7), i % 3 + 1) for i in range(60)], "k string, v double, n long")
     plain = df.select("k", "v", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
-    for width in (1.0, 100.0):
-        assert W.exact_percentiles(df, ["k"], "v", {"m": 0.4}, width, "n").collect() == W.exact_percentiles(plain, ["k"], "v", {"m": 0.4}, width).collect()
+    want = percentiles(plain, ["k"], {"v": {"m": 0.4}}).collect()
+    for most in (20, 10**9):
+        assert percentiles(df, ["k"], {"v": {"m": 0.4}}, "n", most).collect() == want
+
+
+def spread(kind):
+    r = random.Random(kind)
+    return {
+        "one cent range": [7 + r.randrange(100) / 10_000 for _ in range(3000)],
+        "one value": [5.25] * 2500,
+        "two values": [0.0] * 1500 + [1.0] * 1500,
+        "over 1e12": [1e12 * r.random() ** 8 * 1e4 + r.randrange(5) for _ in range(3000)],
+        "many sizes": [r.choice([-1, 1]) * 10 ** r.uniform(-300, 300) for _ in range(3000)],
+        "cluster and far values": [-1e15, 1e18] + [1e-3 * r.random() for _ in range(3000)],
+        "next doubles": [math.nextafter(1e16, math.inf, steps=r.randrange(3000)) for _ in range(3000)],
+    }[kind]
+
+
+@pytest.mark.parametrize("kind", ["one cent range", "one value", "two values", "over 1e12", "many sizes", "cluster and far values", "next doubles"])
+def test_selection_sizes_itself(spark, kind):
+    values = spread(kind)
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", None), (None, 3.0)], "k string, v double").repartition(4)
+    shares = {"lo": 0.0, "q": 0.25, "m": 0.5, "p": 0.9, "hi": 1.0}
+    got = {r["k"]: r.asDict() for r in percentiles(df, ["k"], {"v": shares}, most=100).collect()}
+    for name, p in shares.items():
+        assert got["a"][name] == pytest.approx(interpolated(values, p), rel=1e-12)
+        assert got["b"][name] is None and got[None][name] == 3.0
+    whole = percentiles(df.where("k = 'a'"), [], {"v": shares}, most=100).first()
+    assert all(whole[n] == got["a"][n] for n in shares)
 
 
 def test_summary_with_median_reads_the_fact_once(spark):
@@ -113,7 +142,12 @@ def test_summary_with_median_reads_the_fact_once(spark):
     data = [(1 if i % 3 else i % 20, d, Decimal(r.randrange(1, 90000)) / 100, r.choice(["Travel", "Gas", "Other"])) for i, d in enumerate(days)]
     data += [(1, D(2024, 5, 5), None, "Gas"), (99, D(2024, 5, 5), Decimal("3.50"), "Gas")]
     fact = spark.createDataFrame(data, "customer_id long, transaction_date date, amount decimal(18,2), category_name string")
-    got = {x["customer_id"]: x.asDict() for x in C.customer_summary(fact, D(2024, 10, 1)).collect()}
+    for most in (100, 10**9):
+        same_as_plain(fact, data, most)
+
+
+def same_as_plain(fact, data, most):
+    got = {x["customer_id"]: x.asDict() for x in C.customer_summary(fact, D(2024, 10, 1), most=most).collect()}
     want = {x["customer_id"]: x.asDict() for x in C.customer_summary(fact, D(2024, 10, 1), median=False).collect()}
     for k, w in want.items():
         amounts = [float(a) for c, _, a, _ in data if c == k and a is not None]
@@ -129,8 +163,18 @@ def test_global_rank_matches_brute_force(spark, ascending):
     want = {}
     for at, v in enumerate(values, 1):
         want.setdefault(v, at)
-    got = W.global_rank(df, "v", "r", ascending).collect()
-    assert len(got) == len(data) and all(r["r"] == want[r["v"]] for r in got)
+    for most in (100, 10**9):
+        got = W.global_ranks(df, {"r": ("v", ascending), "other": ("i", not ascending)}, most).collect()
+        assert len(got) == len(data) and all(r["r"] == want[r["v"]] for r in got)
+        assert sorted(r["other"] for r in got) == list(range(1, len(data) + 1))
+
+
+def test_rows_without_a_value_have_no_rank(spark):
+    df = spark.createDataFrame([(i, float(i % 5) if i % 7 else None) for i in range(80)], "i long, v double")
+    for most in (10, 10**9):
+        got = {r["i"]: r["r"] for r in W.global_ranks(df, {"r": ("v", False)}, most).collect()}
+        values = sorted((float(i % 5) for i in range(80) if i % 7), reverse=True)
+        assert got == {i: values.index(float(i % 5)) + 1 if i % 7 else None for i in range(80)}
 
 
 def test_global_row_number_is_a_permutation_in_order(spark):
@@ -427,9 +471,9 @@ def test_gate_and_refresh_without_model(spark):
 def test_reports_keep_null_and_all_null_groups(spark):
     rows = [("a", 1.0, 5.0), ("a", 3.0, 7.0), (None, 2.0, 6.0), ("z", None, None)]
     df = spark.createDataFrame(rows, "k string, v double, w double")
-    five = {r["k"]: (r["median"], r["max_value"]) for r in reports.five_numbers(df, ["k"], "v", 1.0).collect()}
+    five = {r["k"]: (r["median"], r["max_value"]) for r in reports.five_numbers(df, ["k"], "v").collect()}
     assert five == {"a": (2.0, 3.0), None: (2.0, 2.0), "z": (None, None)}
-    usage = {r["k"]: (r["count_queries"], r["median_elapsed"], r["median_volume"]) for r in reports.usage_statistics(df, ["k"], "v", "w", 1.0, 1.0).collect()}
+    usage = {r["k"]: (r["count_queries"], r["median_elapsed"], r["median_volume"]) for r in reports.usage_statistics(df, ["k"], "v", "w").collect()}
     assert usage == {"a": (2, 2.0, 6.0), None: (1, 2.0, 6.0), "z": (1, None, None)}
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.operators import cdc
 from clientele.operators import ordered as O
+from clientele.operators.joins import dimension_join
 from clientele.operators.star import join_as_of
 
 BIG = 10**9
@@ -149,3 +150,49 @@ def test_one_fold_reads_each_side_once(spark):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[-1]
         assert plan.count("FileScan") == 2 and plan.count("Exchange") <= 3, plan
+
+
+# ---- joins with heavy keys ----
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("most", [50, BIG])
+def test_dimension_join_with_a_heavy_key(spark, how, most):
+    r = random.Random(6)
+    facts = [(i, 0 if i % 3 == 0 else r.choice([1, 2, 3, 4, None, 99])) for i in range(900)]
+    f = spark.createDataFrame(facts, "i long, k long").repartition(6)
+    d = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "k long, name string")
+    want = Counter(map(tuple, f.join(d, "k", how).select("i", "k", "name").collect()))
+    assert Counter(map(tuple, dimension_join(f, d, "k", how, most).select("i", "k", "name").collect())) == want
+    with pytest.raises(ValueError):
+        dimension_join(f, d, "k", "full")
+
+
+def test_no_task_of_the_join_holds_the_heavy_key(spark):
+    """The shuffled rows of a join: with a third of the facts of one key, the largest task has no more than a few times the mean."""
+    f = spark.range(90_000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("k"))
+    d = spark.range(-1, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        largest = {}
+        for most in (5000, BIG):
+            sizes = [x["count"] for x in dimension_join(f, d, "k", most=most).groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 90_000
+            largest[most] = max(sizes) / (sum(sizes) / len(sizes))
+        assert largest[5000] < 3 and largest[5000] < largest[BIG]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_star_reads_each_dimension_once(spark):
+    from clientele.plans import QUERIES
+
+    plan = QUERIES["jn_star"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert all(plan.count(column) for column in ("c_mktsegment",))
+    leaves = [line for line in plan.splitlines() if "Relation [" in line]
+    reads = Counter(t for line in leaves for t in ("c_custkey", "n_nationkey", "r_regionkey", "l_orderkey") if f"{t}#" in line)
+    assert all(n == 1 for n in reads.values()), plan
