@@ -7,8 +7,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +18,9 @@ from clientele.plans.catalog import query
 from clientele.plans.changes import CHANGE_ORDER, FACT_SQL, fact_changes, order_target
 from clientele.plans.customer import AUDIENCE_SQL
 from clientele.plans.oracle import avg, d, month_of, n, rnd, sql
-from clientele.session import scratch
+from clientele.session import fresh_table, scratch
 from clientele.sources import files, sinks
-from clientele.sources.roles import table, transactions
+from clientele.sources.roles import customers, raw_lines, table, transactions
 from clientele.streaming import feeds
 
 # ---- sources ----
@@ -80,33 +78,50 @@ def src_load_once(spark, folder):
 
 @query("src_fail_fast", """select event_id, case when event_type = 'error' then null else value end as value, user_id, case when event_type = 'error' then event_id || ',n/a,' || user_id end as rejected from events""")
 def src_fail_fast(spark, folder):
-    """Continue-on-error load: rows with a value that does not fit are kept aside with their text."""
+    """Continue-on-error load: lines with a value that does not fit are kept aside as they stand in the file."""
     path = scratch(spark, "events-csv")
     table(spark, folder, "events").select(
         F.col("event_id").cast("string"), F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string")).alias("value"),
         F.col("user_id").cast("string"),
     ).write.option("header", True).csv(path)
-    text = spark.read.schema("event_id string, value string, user_id string").option("header", True).csv(path)
-    return files.quarantine(text, "rejected", {"event_id": "bigint", "value": "double", "user_id": "bigint"})
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("user_id", T.LongType())])
+    return files.read_csv_quarantine(spark, path, schema)
+
+
+@query("src_quarantine_lines", f"""with o as (select *, o_orderkey % 10 as k from orders)
+    select o_orderkey as order_id, case when k = 1 then null else o_custkey end as customer_id, case when k <= 2 then null else o_orderpriority end as priority,
+    case when k = 1 then o_orderkey || '' when k = 2 then o_orderkey || ',' || o_custkey || ',"' || o_orderpriority when k = 3 then o_orderkey || ',' || o_custkey || ',' || o_orderpriority || ',surplus' end as rejected
+    from o where k != 2 union all select o_orderkey, o_custkey, o_orderpriority, o_orderkey || ',' || o_custkey || ',"' || o_orderpriority from o where k = 2""")
+def src_quarantine_lines(spark, folder):
+    """Lines with too few fields, with too many, or with a quote that stays open keep their text; all others are loaded."""
+    path = scratch(spark, "orders-lines")
+    kind = F.col("o_orderkey") % 10
+    plain = F.concat_ws(",", "o_orderkey", "o_custkey")
+    line = (
+        F.when(kind == 1, F.col("o_orderkey").cast("string")).when(kind == 2, F.concat(plain, F.lit(',"'), "o_orderpriority"))
+        .when(kind == 3, F.concat(plain, F.lit(","), "o_orderpriority", F.lit(",surplus"))).otherwise(F.concat(plain, F.lit(","), "o_orderpriority"))
+    )
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()), T.StructField("priority", T.StringType())])
+    return files.read_csv_quarantine(spark, path, schema, header=False)
 
 
 @query("src_abort_on_error", f"""select 'clean' as load, 'loaded' as outcome, {n('count(*)')} as n_rows from events union all
     select 'broken', case when count(*) filter (event_type = 'error') > 0 then 'aborted' else 'loaded' end, {n("case when count(*) filter (event_type = 'error') > 0 then 0 else count(*) end")} from events""")
 def src_abort_on_error(spark, folder):
     """Abort-on-error load: one value that does not fit ends the load, and nothing of it is kept."""
-    events, schema = table(spark, folder, "events"), "event_id bigint, value double"
+    events = table(spark, folder, "events")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
     value = F.col("value").cast("string")
     out = None
     for name, shown in (("clean", value), ("broken", F.when(F.col("event_type") == "error", "n/a").otherwise(value))):
-        source, target = scratch(spark, f"{name}-csv"), scratch(spark, f"{name}-loaded")
+        source = scratch(spark, f"{name}-csv")
         events.select(F.col("event_id").cast("string"), shown.alias("value")).write.option("header", True).csv(source)
-        try:
-            spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(source).write.parquet(target)
-            loaded = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n_rows"))
-            outcome = "loaded"
-        except (PySparkException, Py4JJavaError):
-            loaded, outcome = events.where(F.lit(False)).agg(F.count(F.lit(1)).alias("n_rows")), "aborted"
-        row = loaded.select(F.lit(name).alias("load"), F.lit(outcome).alias("outcome"), "n_rows")
+        loaded = files.load_or_abort(spark, source, schema, scratch(spark, f"{name}-loaded"))
+        rows = events.where(F.lit(False)) if loaded is None else loaded
+        row = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("load"), F.lit("aborted" if loaded is None else "loaded").alias("outcome"), "n_rows"
+        )
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -222,7 +237,7 @@ def snk_table_overwrite(spark, folder):
 @query("snk_validated_commit", f"select 'orders' as load, 'published' as outcome, {n('count(*)')} as n_rows from orders union all select 'lineitem', 'rejected', 0::bigint")
 def snk_validated_commit(spark, folder):
     """Orders pass the checks and are published; lines repeat their key and are rejected."""
-    good, bad = scratch(spark, "published"), scratch(spark, "rejected")
+    good, bad = fresh_table(spark, "published"), fresh_table(spark, "rejected")
     orders, items = transactions(spark, folder), table(spark, folder, "lineitem")
     found = sinks.publish_validated(orders, good, "transaction_id", ["transaction_id", "customer_id"], expected_rows=orders.count())
     outcome = "published"
@@ -257,6 +272,23 @@ def lay_projection_copy(spark, folder):
     )
 
 
+@query("lay_bucketed_join", sql(
+    f"""select cust.customer_id, card_type, state, {n('count(*)')} as txn_count, {d('sum(amount)')} as total_spend from txn join cust using (customer_id) group by 1, 2, 3""", "txn", "cust"))
+def lay_bucketed_join(spark, folder):
+    """Orders and customers as copies dealt by customer: their join and the grouping by customer run without a shuffle."""
+    return bucketed_join(spark, folder, buckets=16)
+
+
+def bucketed_join(spark, folder, buckets):
+    txn = transactions(spark, folder).select("customer_id", "transaction_id", "amount")
+    who = customers(spark, folder).select("customer_id", "card_type", "state")
+    facts = sinks.bucketed_copy(txn, fresh_table(spark, "orders_by_customer"), "customer_id", buckets)
+    dims = sinks.bucketed_copy(who, fresh_table(spark, "customers_by_customer"), "customer_id", buckets)
+    return facts.join(dims.hint("merge"), "customer_id").groupBy("customer_id", "card_type", "state").agg(
+        F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("total_spend")
+    )
+
+
 # ---- incremental loads ----
 
 
@@ -272,33 +304,33 @@ def inc_high_watermark(spark, folder):
     f"select customer_id, month, {d('total_spend')} as total_spend, transaction_count from monthly", "monthly"))
 def inc_lookback_merge(spark, folder):
     """A monthly table with a stale tail, repaired by recomputing the last two months and what came after."""
-    path = scratch(spark, "monthly")
-    columns = ("customer_id", "month", "total_spend", "transaction_count")
+    name = fresh_table(spark, "monthly")
+    columns = ("customer_id", "total_spend", "transaction_count", "month")
     txn, day = transactions(spark, folder), F.col("transaction_date")
     known = txn.where((day < F.lit(dt.date(2001, 4, 1))) | ((day < F.lit(dt.date(2001, 7, 1))) & (F.col("channel") != "1-URGENT")))
-    sinks.write_partitioned(monthly_spending(known).select(*columns), path, "month")
-    last = spark.read.parquet(path).agg(F.max("month")).first()[0]
+    stale = sinks.create_partitioned(monthly_spending(known).select(*columns), name, "month")
+    last = stale.agg(F.max("month")).first()[0]
     since = months_before(last, 2)
     recent = monthly_spending(txn.where(day >= F.lit(since))).select(*columns)
     # Months of the window that get no row any more are emptied.
-    window = spark.read.parquet(path).where(F.col("month") >= F.lit(since)).select("month")
-    sinks.overwrite_partitions(recent, path, "month", touched=window)
-    return spark.read.parquet(path).select(*columns)
+    window = spark.table(name).where(F.col("month") >= F.lit(since)).select("month")
+    sinks.overwrite_partitions(recent, name, "month", touched=window)
+    return spark.table(name).select(*columns)
 
 
 @query("inc_upsert_partitions", sql(
     f"""select coalesce(b.transaction_id, t.transaction_id) as transaction_id, {d('coalesce(b.amount, t.amount)')} as amount, coalesce(b.channel, t.channel) as channel
     from (select * from txn where transaction_date < date '2001-06-15') t full join (select transaction_id, amount + 5 as amount, 'late' as channel from txn where transaction_date >= date '2001-05-10') b on t.transaction_id = b.transaction_id""", "txn"))
 def inc_upsert_partitions(spark, folder):
-    path = scratch(spark, "orders-by-month")
+    name = fresh_table(spark, "orders_by_month")
     txn, day = transactions(spark, folder).withColumn("month", F.trunc("transaction_date", "month")), F.col("transaction_date")
     columns = ("transaction_id", "amount", "channel", "month")
-    sinks.write_partitioned(txn.where(day < F.lit(dt.date(2001, 6, 15))).select(*columns), path, "month")
+    sinks.create_partitioned(txn.where(day < F.lit(dt.date(2001, 6, 15))).select(*columns), name, "month")
     batch = txn.where(day >= F.lit(dt.date(2001, 5, 10))).select(
         "transaction_id", (F.col("amount") + 5).cast(MONEY).alias("amount"), F.lit("late").alias("channel"), "month", "ingestion_timestamp"
     )
-    sinks.upsert_table(spark, path, batch, ["transaction_id"], ["ingestion_timestamp"], "month")
-    return spark.read.parquet(path).select("transaction_id", "amount", "channel")
+    sinks.upsert_table(spark, name, batch, ["transaction_id"], ["ingestion_timestamp"], "month")
+    return spark.table(name).select("transaction_id", "amount", "channel")
 
 
 # ---- streams ----
@@ -315,16 +347,18 @@ def stm_append_stage(spark, folder):
 
 @query("stm_fact_upsert", sql(f"with {FACT_SQL} select * from applied", "txn"))
 def stm_fact_upsert(spark, folder):
-    """The change batch delivered as files in about four micro-batches, stored as deltas and merged on read."""
+    """The change batch delivered as files in about four micro-batches, stored as deltas; the job folds the first three into the
+    table, the rest is merged on read."""
     arriving, deltas, checkpoint = scratch(spark, "changes"), scratch(spark, "deltas"), scratch(spark, "deltas-checkpoint")
     batch = fact_changes(spark, folder)
     batch.write.parquet(arriving)
     files_each = max(1, -(-len(spark.read.parquet(arriving).inputFiles()) // 4))
     stream = feeds.file_stream(spark, arriving, batch.schema, files_per_batch=files_each)
     feeds.collect_changes(stream, deltas, checkpoint, ["transaction_id"], CHANGE_ORDER).awaitTermination()
-    return feeds.current_state(
-        order_target(spark, folder), spark.read.parquet(deltas), ["transaction_id"], CHANGE_ORDER, ["amount", "transaction_date", "status"], "action"
-    )
+    merge = (["transaction_id"], CHANGE_ORDER, ["amount", "transaction_date", "status"], "action")
+    kept = spark.read.parquet(deltas)
+    table_ = feeds.compact_deltas(feeds.Compacted(order_target(spark, folder)), kept.where("batch_id < 3"), scratch(spark, "compacted"), *merge)
+    return feeds.state_of(table_, kept, *merge)
 
 
 @query("stm_late_months", sql(f"select {month_of('transaction_date')} as month, {n('count(*)')} as txn_count, {d('sum(amount)')} as total_spend from txn group by 1", "txn"))
@@ -350,3 +384,47 @@ def stm_dedupe_keyed(spark, folder):
     keyed = stream.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"), "l_shipdate")
     feeds.collect_changes(keyed, deltas, checkpoint, ["transaction_id"], ["l_shipdate"]).awaitTermination()
     return latest_per_key(spark.read.parquet(deltas), ["transaction_id"], ["l_shipdate", "batch_id"]).select("transaction_id")
+
+
+def _deliver(spark, parts, run):
+    """Each part of a feed is written to the same folder and then drained by a stream that starts again from its checkpoint."""
+    arriving = scratch(spark, "arriving")
+    for part in parts:
+        part.write.mode("append").parquet(arriving)
+        run(feeds.file_stream(spark, arriving, part.schema))
+
+
+@query("stm_late_months_state", sql(
+    f"""with t as (select *, date_trunc('month', transaction_date) as m, transaction_id % 10 = 0 as is_late from txn),
+        w as (select max(m) - interval 62 day as closed from t where not is_late)
+    select cast(m as date) as month, {n('count(*)')} as txn_count, {d('sum(amount)')} as total_spend from t, w where not is_late or m > closed group by 1""", "txn"))
+def stm_late_months_state(spark, folder):
+    """Months in the state store: a tenth of the orders is delivered at the end. Of those, the ones of a month that the watermark
+    has closed, 62 days before the last month seen, are too late and left out; the others still change their month."""
+    target, checkpoint = scratch(spark, "months"), scratch(spark, "months-checkpoint")
+    feed = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast(MONEY).alias("amount"))
+    late, early = F.col("o_orderkey") % 10 == 0, F.col("o_orderdate") < at_time(dt.datetime(2000, 1, 1))
+
+    def run(stream):
+        feeds.keep_updates(feeds.monthly_totals_stream(stream, "o_orderdate", "amount"), target, checkpoint).awaitTermination()
+
+    _deliver(spark, [feed.where(~late & early), feed.where(~late & ~early), feed.where(late)], run)
+    return latest_per_key(spark.read.parquet(target), ["month"], ["batch_id"]).select(
+        F.col("month").cast("date").alias("month"), "txn_count", "total_spend"
+    )
+
+
+@query("stm_latest_delivery", sql("select transaction_id, ingestion_timestamp, cast(amount as double) as amount from line", "line"))
+def stm_latest_delivery(spark, folder):
+    """The latest delivery of every line with a state that holds open months only: lines are delivered in three parts by time."""
+    target, checkpoint = scratch(spark, "latest"), scratch(spark, "latest-checkpoint")
+    feed = raw_lines(spark, folder).select("transaction_id", "ingestion_timestamp", "amount", "part_id", "merchant_id")
+    at, bounds = F.col("ingestion_timestamp"), [at_time(dt.datetime(y, 1, 1)) for y in (1997, 1999)]
+    order = ["ingestion_timestamp", "amount", "part_id", "merchant_id"]
+
+    def run(stream):
+        latest = feeds.latest_delivery_stream(stream, ["transaction_id"], "ingestion_timestamp", order)
+        feeds.keep_updates(latest, target, checkpoint).awaitTermination()
+
+    _deliver(spark, [feed.where(at < bounds[0]), feed.where((at >= bounds[0]) & (at < bounds[1])), feed.where(at >= bounds[1])], run)
+    return latest_per_key(spark.read.parquet(target), ["transaction_id"], [*order, "batch_id"]).select("transaction_id", "ingestion_timestamp", "amount")

@@ -58,6 +58,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def database(spark: SparkSession) -> str:
+    """Name of the database for managed tables, which lies in the shared folder; made when it is first asked for.
+
+    Dropping a table or a partition there removes its files.
+    """
+    name = "clientele_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId).lower()
+    place = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/tables"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{place}'")
+    return name
+
+
+def fresh_table(spark: SparkSession, name: str) -> str:
+    """A table name in :func:`database` that was never used."""
+    return f"{database(spark)}.{name}_{uuid.uuid4().hex[:12]}"
+
+
 def written(df, name: str):
     """``df`` as a table written to the shared folder: evaluated once, and what is read back doesn't depend on the plan."""
     place = scratch(df.sparkSession, name)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,18 +50,17 @@ def null_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def read_csv_positional(
     spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None, strict: bool = True,
-    row_number: bool = False, compressed: bool = False,
+    row_number: bool = False, malformed: str | None = None,
 ) -> DataFrame:
     """Delimited text with a header, read by position and cast to ``schema``.
 
     Columns are read as text first, because NULL texts would otherwise fail the cast. Short rows are filled with NULL
-    and surplus fields dropped. ``strict`` makes a bad value an error; otherwise it becomes NULL.
+    and surplus fields dropped; ``malformed`` names a column that keeps the original line of such rows. ``strict`` makes a bad
+    value an error; otherwise it becomes NULL.
     """
     names = [f.name for f in schema.fields]
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.schema(text).option("header", True).option("quote", '"').option("mode", "PERMISSIVE").option(
-        "enforceSchema", True
-    )
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([malformed] if malformed else [])]])
+    reader = _csv(spark, text, "PERMISSIVE", malformed)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     raw = null_texts(lineage(reader.csv(path).select("*", "_metadata"), row_number).drop("_metadata"), names)
@@ -70,6 +71,53 @@ def read_csv_positional(
     return number_rows(typed) if row_number else typed
 
 
+def _csv(spark: SparkSession, schema: T.StructType, mode: str, corrupt: str | None = None):
+    """A CSV reader that looks at all fields of a line, whichever columns are asked for: whether a line is malformed must not
+    depend on them."""
+    reader = spark.read.schema(schema).option("header", True).option("quote", '"').option("mode", mode).option("enforceSchema", True)
+    reader = reader.option("columnPruning", False)
+    return reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader
+
+
+def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType, rejected: str = "rejected", header: bool = True) -> DataFrame:
+    """Delimited text, one record a line; a line that doesn't fit keeps its original text in ``rejected``.
+
+    A line doesn't fit if a value isn't of its type, if it has too few or too many fields, or if a quote stays open (which
+    the parser itself takes for a value). Its readable fields are filled, the others NULL. Lines equal to the header of the
+    files are no records.
+    """
+    lines = spark.read.text(path)
+    if header:
+        first = lines.first()
+        lines = lines.where(F.col("value") != F.lit(first[0])) if first else lines
+    fields = T.StructType([*schema.fields, T.StructField(rejected, T.StringType())])
+    parsed = F.from_csv("value", fields.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rejected})
+    quotes = F.replace(F.col("value"), F.lit('\\"'), F.lit(""))
+    is_open = (F.length(quotes) - F.length(F.replace(quotes, F.lit('"'), F.lit("")))) % 2 == 1
+    rows = lines.select("value", parsed.alias("_r"))
+    bad = F.col(f"_r.{rejected}").isNotNull() | is_open
+    return rows.select(*[F.col(f"_r.`{f.name}`").alias(f.name) for f in schema.fields], F.when(bad, F.col("value")).alias(rejected))
+
+
+#: Error condition of the reader for a line that doesn't fit.
+MALFORMED = "MALFORMED_RECORD_IN_PARSING"
+
+
+def load_or_abort(spark: SparkSession, path: str, schema: T.StructType, target: str) -> DataFrame | None:
+    """Delimited text written to ``target`` as Parquet, or None if a line doesn't fit: then nothing is kept.
+
+    Only the reader's own error for such a line counts as an aborted load. All others, such as a lost executor or a full disk,
+    are raised.
+    """
+    try:
+        _csv(spark, schema, "FAILFAST").csv(path).write.parquet(target)
+    except (PySparkException, Py4JJavaError) as error:
+        if MALFORMED not in str(error):
+            raise
+        return None
+    return spark.read.schema(schema).parquet(target)
+
+
 def read_parquet_named(spark: SparkSession, path: str, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Parquet by column name: ``columns`` maps the new name to (source name, type)."""
     df = spark.read.parquet(path)
@@ -97,16 +145,6 @@ def load_once(
     query.awaitTermination()
 
 
-def quarantine(df: DataFrame, text: str, fields: Mapping[str, str]) -> DataFrame:
-    """Cast the text columns ``fields``; a row with a value that does not fit keeps its text in ``text``."""
-    bad = None
-    for name, kind in fields.items():
-        miss = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
-        bad = miss if bad is None else bad | miss
-    original = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in fields])  # a NULL is an empty field, as in the file
-    return df.withColumn(text, F.when(bad, original)).withColumns({n: F.col(n).try_cast(k) for n, k in fields.items()})
-
-
 @dataclass(frozen=True)
 class FixedField:
     """A field at ``start`` (from 1) with ``length``; other positions for other record types in ``by_type``."""

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.text import readable
 from clientele.operators import cdc
-from clientele.operators.setops import beside
-from clientele.operators.suites import duplicates
-from clientele.session import scratch
+from clientele.session import written
 
 
 class ValidationFailed(Exception):
@@ -36,20 +35,21 @@ def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
 
 
 def publish_validated(
-    df: DataFrame, path: str, key: str, required: Sequence[str], expected_rows: int, tolerance: float = 0.25
+    df: DataFrame, name: str, key: str, required: Sequence[str], expected_rows: int, tolerance: float = 0.25
 ) -> dict[str, int]:
-    """Write a new version below ``path``, check the written rows, and only then make it the current one.
+    """Write a new version of the table ``name``, check the written rows, and only then let the view ``name`` show it.
 
-    Rows are written once; the checks read the written files, so what was checked is what is published. Publishing
-    replaces one small pointer file by an atomic rename: a failed load, or a crash at any time, leaves the published
-    version as it was. The version before stays for a roll-back, older ones go. Read with :func:`read_published`.
+    The version is a managed table of its own. Row count and NULLs are observed while it is written; only the uniqueness of
+    the key reads it again, one column. A failed load, or a crash at any time, leaves the view as it was. The view keeps the
+    names of its version and of the one before, which stays for a roll-back; older ones are dropped. Read with
+    :func:`read_published`.
     """
     spark = df.sparkSession
-    version = f"version-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(f"{path}/{version}")
-    staged = spark.read.parquet(f"{path}/{version}")
-    nulls = staged.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required])
-    found = beside(duplicates(staged, key), nulls).first().asDict()
+    version = f"{name}_{uuid.uuid4().hex[:12]}"
+    seen = Observation()
+    counted = [F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]]
+    df.observe(seen, *counted).write.saveAsTable(version)
+    found = {**seen.get, "repeated_keys": repeated_keys(spark.table(version), key).first()["repeated_keys"]}
     low, high = expected_rows * (1 - tolerance), expected_rows * (1 + tolerance)
     problems = []
     if not low <= found["total_rows"] <= high:
@@ -58,56 +58,36 @@ def publish_validated(
     if found["repeated_keys"]:
         problems.append(f"{found['repeated_keys']} repeated values of {key}")
     if problems:
-        _remove(spark, f"{path}/{version}")
+        spark.sql(f"DROP TABLE {version}")
         raise ValidationFailed("; ".join(problems))
-    before = [v for v in _versions(spark, path) if v != version][:1]
-    _point(spark, path, [version, *before])
-    for name in _folders(spark, path):
-        if name.startswith("version-") and name not in (version, *before):
-            _remove(spark, f"{path}/{name}")
+    before = _published(spark, name)
+    _show(spark, name, [version, *before[:1]])
+    for old in before[1:]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     return found
 
 
-def read_published(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
-    """The current version of a published table, or the one ``back`` versions before."""
-    return spark.read.parquet(f"{path}/{_versions(spark, path)[back]}")
-
-
-def _place(spark: SparkSession, path: str):
-    """The Hadoop file context and path, for whatever store ``path`` names."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p)
-    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()), p
-
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """One row: how many values of ``key`` occur more than once."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.count_if(F.col("_n") > 1).alias("repeated_keys"))
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    _, p = _place(spark, path)
-    return [s.getPath().getName() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
 
-
-def _remove(spark: SparkSession, path: str) -> None:
-    _, p = _place(spark, path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def read_published(spark: SparkSession, name: str, back: int = 0) -> DataFrame:
+    """The current version of a published table, or the one ``back`` versions before."""
+    return spark.table(_published(spark, name)[back])
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Names in the pointer file, the current one first; none before the first publish."""
-    _, p = _place(spark, f"{path}/CURRENT")
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+def _published(spark: SparkSession, name: str) -> list[str]:
+    """Version tables of a view, the current one first; none before the first publish."""
+    if not spark.catalog.tableExists(name):
         return []
-    return spark.read.text(f"{path}/CURRENT").first()[0].split()
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('versions')").first()["value"].split()
 
 
-def _point(spark: SparkSession, path: str, versions: list[str]) -> None:
-    context, new = _place(spark, f"{path}/next-{uuid.uuid4().hex[:12]}")
-    out = new.getFileSystem(spark._jsc.hadoopConfiguration()).create(new)
-    out.write(bytearray(" ".join(versions).encode()))
-    out.close()
-    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = overwrite
-    context.rename(new, _place(spark, f"{path}/CURRENT")[1], options)
+def _show(spark: SparkSession, name: str, versions: Sequence[str]) -> None:
+    """One catalogue change makes the first of the versions current."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('versions' = '{' '.join(versions)}') AS SELECT * FROM {versions[0]}")
 
 
 def write_partitioned(
@@ -123,44 +103,63 @@ def write_partitioned(
     balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str, touched: DataFrame | None = None) -> None:
-    """Replace the partitions that occur in ``df``, and empty those that occur only in ``touched``.
+def create_partitioned(df: DataFrame, name: str, partition: str, sort_by: Sequence[str] = ()) -> DataFrame:
+    """A managed table with one folder per value of ``partition``, written as by :func:`write_partitioned`."""
+    balanced = df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort_by)
+    balanced.write.partitionBy(partition).saveAsTable(name)
+    return df.sparkSession.table(name)
+
 
-    ``df`` may read from ``path`` itself: it is written to a staging place first, which is removed at the end. An emptied
-    partition loses its folder; only partition values, one for each folder, come to the driver for that.
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the time of a write that takes it from nowhere else."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def overwrite_partitions(df: DataFrame, name: str, partition: str, touched: DataFrame | None = None) -> None:
+    """Replace the partitions of the table ``name`` that occur in ``df``, and drop those that occur only in ``touched``.
+
+    ``df`` may read from the table itself: it is written to a staging place first. Emptied partitions are dropped through the
+    catalogue; only their values, one for each folder, come to the driver. A run that died anywhere is repaired by running it
+    again: the staged rows and the emptied partitions come out the same.
     """
     spark = df.sparkSession
-    staging = scratch(spark, "partitions")
-    df.write.parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = written(df, "partitions")
     emptied = []
     if touched is not None:
         has = staged.select(F.col(partition).alias("_has")).distinct()
         emptied = touched.select(F.col(partition).alias("_v")).distinct().join(has, F.col("_v").eqNullSafe(F.col("_has")), "left_anti").select(
             F.col("_v").cast("string").alias("v")
         ).collect()
-    write_partitioned(staged, path, partition, mode="overwrite")
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    columns = spark.table(name).columns
+    balanced = staged.hint("rebalance", F.col(partition)).select(*columns).sortWithinPartitions(partition)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        balanced.write.mode("overwrite").insertInto(name)
     for row in emptied:
-        _remove(spark, f"{path}/{utils.getPartitionPathString(partition, row.v)}")
-    _remove(spark, staging)
+        value = "NULL" if row.v is None else "'" + row.v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition}` = {value})")
 
 
 def upsert_table(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], partition: str,
+    spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], partition: str,
     action: str | None = None,
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions the batch touches.
 
-    With ``action``, rows whose latest change is a DELETE go; a partition that loses all its rows loses its folder.
+    With ``action``, rows whose latest change is a DELETE go; a partition that loses all its rows is dropped.
 
     The partition of a key must not change between versions of its row. The semi join on the partition column lets
     Spark prune the read of the table to the touched partitions.
     """
-    target = spark.read.parquet(path)
+    target = spark.table(name)
     touched = batch.select(partition).distinct()
     affected = target.join(touched, partition, "left_semi")
-    overwrite_partitions(cdc.upsert(affected, batch, keys, order_by, action=action), path, partition, touched=touched)
+    overwrite_partitions(cdc.upsert(affected, batch, keys, order_by, action=action), name, partition, touched=touched)
 
 
 def above_watermark(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -179,6 +178,16 @@ def sorted_copy(df: DataFrame, path: str, by: Sequence[str], files: int | None =
     return df.sparkSession.read.parquet(path)
 
 
+def bucketed_copy(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """A managed copy dealt into ``buckets`` by a hash of ``by`` and sorted in them. Joins and groupings of such copies by that
+    column need no shuffle, however often they run; both sides must have the same number of buckets.
+
+    Rows are dealt once before they are written, so there is one file per bucket and not one per bucket and task.
+    """
+    df.repartition(buckets, F.col(by)).write.bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def narrow_copy(df: DataFrame, path: str, columns: Sequence[str], by: str, bloom: bool = True) -> DataFrame:
     """Few columns in the order of a lookup key, with bloom filters on it, for point lookups."""
     key: Column = F.col(by)

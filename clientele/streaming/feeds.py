@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +66,40 @@ def current_state(
 def compact(state: DataFrame, path: str) -> DataFrame:
     """Write the merged state as a new base version; older versions and deltas stay untouched."""
     state.write.parquet(path)
-    return state.sparkSession.read.parquet(path)
+    return state.sparkSession.read.schema(state.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class Compacted:
+    """A base table and the number of the last delta that is part of it (-1: none yet)."""
+
+    base: DataFrame
+    upto: int = -1
+
+
+def compact_deltas(
+    table: Compacted, deltas: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str], updated: Sequence[str], action: str,
+    at_least: int = 1,
+) -> Compacted:
+    """Fold the deltas that came since into a new base below ``path``, if there are ``at_least`` that many; readers then merge only
+    newer ones.
+
+    The number of the last folded delta is part of the new version's folder name, so a job that is repeated after a crash
+    writes the same version again.
+    """
+    fresh = deltas.where(F.col("batch_id") > table.upto)
+    seen = fresh.agg(F.count_distinct("batch_id").alias("n"), F.max("batch_id").alias("last")).first()
+    if seen["n"] < at_least:
+        return table
+    place = f"{path}/upto={seen['last']}"
+    state = current_state(table.base, fresh, keys, order_by, updated, action)
+    state.write.mode("overwrite").parquet(place)
+    return Compacted(state.sparkSession.read.schema(state.schema).parquet(place), seen["last"])
+
+
+def state_of(table: Compacted, deltas: DataFrame, keys: Sequence[str], order_by: Sequence[str], updated: Sequence[str], action: str) -> DataFrame:
+    """The table with the deltas that aren't part of its base yet."""
+    return current_state(table.base, deltas.where(F.col("batch_id") > table.upto), keys, order_by, updated, action)
 
 
 def monthly_totals_stream(stream: DataFrame, time: str, amount: str, lateness: str = "62 days") -> DataFrame:
@@ -100,6 +134,19 @@ def keep_updates(stream: DataFrame, target: str, checkpoint: str, every: str | N
     return _start(stream.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint), every)
 
 
+def latest_delivery_stream(stream: DataFrame, keys: Sequence[str], time: str, order_by: Sequence[str], lateness: str = "62 days") -> DataFrame:
+    """The latest delivery of every key among the deliveries of one month of ``time``, kept in the state store.
+
+    The month is part of the group, so that the watermark closes it: the state holds the keys of the open months only, however
+    long the stream runs. A batch puts out the keys it changed; readers reduce them with :func:`latest_per_key`, which also
+    settles keys that were delivered in several months.
+    """
+    stamped = stream.withColumn("_month", F.date_trunc("month", F.col(time).cast("timestamp"))).withWatermark("_month", lateness)
+    rest = [c for c in stream.columns if c not in keys and c not in order_by]
+    latest = stamped.groupBy("_month", *keys).agg(F.max(F.struct(*order_by, *rest)).alias("_row"))
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in stream.columns])
+
+
 def first_delivery(stream: DataFrame, keys: Sequence[str], time: str, within: str) -> DataFrame:
     """The first delivery of every key inside the time bound; state older than the watermark is dropped."""
     return stream.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", within).dropDuplicatesWithinWatermark(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators import cdc
-from clientele.session import shared_folder
+from clientele.operators.dedupe import latest_per_key
+from clientele.session import fresh_table, shared_folder
 from clientele.sources import files, sinks
 from clientele.streaming import feeds
 
@@ -43,59 +44,189 @@ def test_load_once_takes_only_new_files(spark, tmp_path):
     assert spark.read.parquet(target).count() == 8
 
 
-def test_rejected_load_leaves_the_published_table(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_rejected_load_leaves_the_published_table(spark):
+    name = fresh_table(spark, "t")
     good = spark.range(10).withColumn("v", F.lit("a"))
-    sinks.publish_validated(good, path, "id", ["id"], expected_rows=10)
+    sinks.publish_validated(good, name, "id", ["id"], expected_rows=10)
     for bad in (good.union(good), spark.range(1).withColumn("v", F.lit("b")), good.withColumn("v", F.lit(None).cast("string"))):
         with pytest.raises(sinks.ValidationFailed):
-            sinks.publish_validated(bad, path, "id", ["id", "v"], expected_rows=10)
-        assert sinks.read_published(spark, path).where("v = 'a'").count() == 10
-    assert len([f for f in (tmp_path / "t").iterdir() if f.is_dir()]) == 1
+            sinks.publish_validated(bad, name, "id", ["id", "v"], expected_rows=10)
+        assert sinks.read_published(spark, name).where("v = 'a'").count() == 10
+        assert spark.table(name).where("v = 'a'").count() == 10
+    assert len(tables_of(spark, name)) == 2  # the view and its one version
 
 
-def test_publish_survives_a_crash_and_rolls_back(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
+def tables_of(spark, name):
+    db, short = name.split(".")
+    return [t.name for t in spark.catalog.listTables(db) if t.name.startswith(short)]
+
+
+def test_publish_survives_a_crash_and_rolls_back(spark, monkeypatch):
+    name = fresh_table(spark, "t")
     for v in "abc":
-        sinks.publish_validated(spark.range(10).withColumn("v", F.lit(v)), path, "id", ["id"], expected_rows=10)
+        sinks.publish_validated(spark.range(10).withColumn("v", F.lit(v)), name, "id", ["id"], expected_rows=10)
 
     def crash(*args):
         raise OSError("the driver died")
 
-    monkeypatch.setattr(sinks, "_point", crash)
-    with pytest.raises(OSError):
-        sinks.publish_validated(spark.range(10).withColumn("v", F.lit("d")), path, "id", ["id"], expected_rows=10)
-    assert {r.v for r in sinks.read_published(spark, path).collect()} == {"c"}
-    assert {r.v for r in sinks.read_published(spark, path, back=1).collect()} == {"b"}
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "_show", crash)
+        with pytest.raises(OSError):
+            sinks.publish_validated(spark.range(10).withColumn("v", F.lit("d")), name, "id", ["id"], expected_rows=10)
+    assert {r.v for r in sinks.read_published(spark, name).collect()} == {"c"}
+    assert {r.v for r in sinks.read_published(spark, name, back=1).collect()} == {"b"}
+    sinks.publish_validated(spark.range(10).withColumn("v", F.lit("e")), name, "id", ["id"], expected_rows=10)
+    assert [{r.v for r in sinks.read_published(spark, name, back=i).collect()} for i in (0, 1)] == [{"e"}, {"c"}]
+
+
+def stored_table(spark, rows, schema):
+    name = fresh_table(spark, "t")
+    sinks.create_partitioned(spark.createDataFrame(rows, schema), name, "p")
+    return name
+
+
+def test_deletes_and_emptied_partitions(spark):
+    name = stored_table(spark, [(1, 10, "a"), (2, 20, "a"), (3, 30, "it's b")], "id long, v long, p string")
+    batch = spark.createDataFrame([(3, 30, "it's b", 1, "DELETE"), (2, 20, "a", 1, "DELETE"), (4, 40, "c", 1, "INSERT")], "id long, v long, p string, at long, action string")
+    sinks.upsert_table(spark, name, batch, ["id"], ["at"], "p", action="action")
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, 10, "a"), (4, 40, "c")]
+    table = spark.table(name)
+    sinks.overwrite_partitions(table.where("id = 1 and v = 0"), name, "p", touched=table.where("p = 'c'"))
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, 10, "a")]
+    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["p=a"]
+
+
+def test_a_rerun_after_a_crash_gives_the_same_table(spark, monkeypatch):
+    """The run dies after the partitions are written and before the emptied one is dropped."""
+    start = [(1, 10, "a"), (2, 20, "a"), (3, 30, "b")]
+    batch = spark.createDataFrame([(3, 30, "b", 1, "DELETE"), (1, 11, "a", 1, "INSERT")], "id long, v long, p string, at long, action string")
+    name = stored_table(spark, start, "id long, v long, p string")
+    real = spark.sql
+
+    def crash(text, *args):
+        if "DROP" in text:
+            raise OSError("the driver died")
+        return real(text, *args)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(spark, "sql", crash)
+        with pytest.raises(OSError):
+            sinks.upsert_table(spark, name, batch, ["id"], ["at"], "p", action="action")
+    for _ in range(2):
+        sinks.upsert_table(spark, name, batch, ["id"], ["at"], "p", action="action")
+        assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, 11, "a"), (2, 20, "a")]
+
+
+def test_overwriting_leaves_other_partitions_and_the_setting(spark):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    name = stored_table(spark, [(1, 10, "a"), (2, 20, None)], "id long, v long, p string")
+    sinks.overwrite_partitions(spark.createDataFrame([("a", 5, 50)], "p string, id long, v long"), name, "p")
+    assert sorted((r.id, r.v, r.p) for r in spark.table(name).collect()) == [(2, 20, None), (5, 50, "a")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
-def test_deletes_and_emptied_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.createDataFrame([(1, 10, "a"), (2, 20, "a"), (3, 30, "b b")], "id long, v long, p string").write.partitionBy("p").parquet(path)
-    batch = spark.createDataFrame([(3, 30, "b b", 1, "DELETE"), (2, 20, "a", 1, "DELETE"), (4, 40, "c", 1, "INSERT")], "id long, v long, p string, at long, action string")
-    sinks.upsert_table(spark, path, batch, ["id"], ["at"], "p", action="action")
-    assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "p").collect()) == [(1, 10, "a"), (4, 40, "c")]
-    table = spark.read.parquet(path)
-    sinks.overwrite_partitions(table.where("id = 1 and v = 0"), path, "p", touched=table.where("p = 'c'"))
-    assert [tuple(r) for r in spark.read.parquet(path).select("id", "v", "p").collect()] == [(1, 10, "a")]
+def test_rejected_lines_are_the_lines_of_the_file(spark, tmp_path):
+    lines = ["1,2.50,x", "2,n/a,y", "3,4", "4,5,z,surplus", '5,6,"open', '7,8,"closed, with comma"', ",,", "x,9,", '9,1,"a ""b"" c"']
+    (tmp_path / "a.csv").write_text("\n".join(["id,amount,name", *lines]) + "\n")
+    got = files.read_csv_quarantine(spark, str(tmp_path), SCHEMA).collect()
+    assert len(got) == len(lines)
+    assert sorted(r.rejected for r in got if r.rejected is not None) == sorted([lines[1], lines[2], lines[3], lines[4], lines[7]])
+    good = {r.id: (float(r.amount), r["name"]) for r in got if r.rejected is None and r.id}
+    assert good[1] == (2.5, "x") and good[7] == (8.0, "closed, with comma")
+    assert [r.rejected for r in files.read_csv_quarantine(spark, str(tmp_path), SCHEMA).select("rejected").where("rejected like '3%'").collect()] == ["3,4"]
 
 
-def test_rejected_text_keeps_empty_fields(spark):
-    rows = spark.createDataFrame([(None, "n/a", "7"), ("1", "2", None)], "a string, b string, c string")
-    assert [r.bad for r in files.quarantine(rows, "bad", {"a": "int", "b": "int", "c": "int"}).collect()] == [",n/a,7", None]
+def test_positional_read_keeps_malformed_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,amount,name\n1,2.50,x\n3,4.00\n4,5.00,z,extra\n")
+    got = files.read_csv_positional(spark, str(tmp_path), SCHEMA, malformed="line")
+    assert {r.id: r.line for r in got.collect()} == {1: None, 3: "3,4.00", 4: "4,5.00,z,extra"}
+    assert {r.id: r.line for r in got.select("id", "line").collect()} == {1: None, 3: "3,4.00", 4: "4,5.00,z,extra"}
 
 
-def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    base = spark.createDataFrame([(1, 10, "a"), (2, 20, "a"), (3, 30, "b")], "id long, v long, p string")
-    base.repartition("p").write.partitionBy("p").parquet(path)
-    before = {f for f in (tmp_path / "t" / "p=b").iterdir()}
+def test_only_the_readers_error_is_an_aborted_load(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("id,amount,name\n1,n/a,x\n")
+    (tmp_path / "good.csv").write_text("id,amount,name\n1,2,x\n")
+    assert files.load_or_abort(spark, str(tmp_path / "bad.csv"), SCHEMA, str(tmp_path / "t1")) is None
+    assert files.load_or_abort(spark, str(tmp_path / "good.csv"), SCHEMA, str(tmp_path / "t2")).count() == 1
+    with pytest.raises(Exception, match="(?i)exists"):
+        files.load_or_abort(spark, str(tmp_path / "good.csv"), SCHEMA, str(tmp_path / "t2"))
+
+
+def test_upsert_table_rewrites_only_touched_partitions(spark):
+    name = stored_table(spark, [(1, 10, "a"), (2, 20, "a"), (3, 30, "b")], "id long, v long, p string")
+    files_of_b = lambda: {f for f in spark.table(name).inputFiles() if "/p=b/" in f}
+    before = files_of_b()
     batch = spark.createDataFrame([(1, 11, "a", 1), (4, 40, "c", 1)], "id long, v long, p string, at long")
     for _ in range(2):
-        sinks.upsert_table(spark, path, batch, ["id"], ["at"], "p")
-    got = sorted((r["id"], r["v"], r["p"]) for r in spark.read.parquet(path).collect())
+        sinks.upsert_table(spark, name, batch, ["id"], ["at"], "p")
+    got = sorted((r["id"], r["v"], r["p"]) for r in spark.table(name).collect())
     assert got == [(1, 11, "a"), (2, 20, "a"), (3, 30, "b"), (4, 40, "c")]
-    assert {f for f in (tmp_path / "t" / "p=b").iterdir()} == before
+    assert before and files_of_b() == before
+
+
+def test_bucketed_copies_join_without_a_shuffle(spark):
+    from clientele.plans.files import bucketed_join
+
+    joined = bucketed_join(spark, "/root/testdata/sf0.001", 4)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    assert joined.count() > 0
+
+
+def test_compaction_folds_deltas_once(spark, tmp_path):
+    base = spark.createDataFrame([(1, 10), (2, 20)], "id long, v long")
+    deltas = spark.createDataFrame([(1, 11, "INSERT", 1, 0), (2, 0, "DELETE", 1, 0), (3, 30, "INSERT", 2, 1), (1, 12, "INSERT", 3, 2)], "id long, v long, action string, at long, batch_id long")
+    merge = (["id"], ["at"], ["v"], "action")
+    want = sorted(map(tuple, feeds.current_state(base, deltas, *merge).collect()))
+    table = feeds.compact_deltas(feeds.Compacted(base), deltas.where("batch_id < 2"), str(tmp_path), *merge)
+    assert table.upto == 1 and sorted(map(tuple, table.base.collect())) == [(1, 11), (3, 30)]
+    assert sorted(map(tuple, feeds.state_of(table, deltas, *merge).collect())) == want
+    assert feeds.compact_deltas(table, deltas, str(tmp_path), *merge, at_least=2).upto == 1
+    again = feeds.compact_deltas(table, deltas, str(tmp_path), *merge)
+    assert again.upto == 2 and sorted(map(tuple, again.base.collect())) == want
+
+
+def test_state_of_the_months_is_restored_and_closes(spark, tmp_path):
+    """Each run starts from the checkpoint: open months go on, a row of a closed month is left out, state is dropped."""
+    src, target, check = (str(tmp_path / x) for x in ("src", "target", "check"))
+    schema = "t timestamp_ntz, v long"
+
+    def deliver(*rows):
+        part = spark.createDataFrame([(dt.datetime.fromisoformat(t), v) for t, v in rows], schema)
+        part.coalesce(1).write.mode("append").parquet(src)
+        query = feeds.keep_updates(feeds.monthly_totals_stream(feeds.file_stream(spark, src, part.schema), "t", "v"), target, check)
+        query.awaitTermination()
+        return query
+
+    deliver(("2024-01-05", 1), ("2024-02-05", 10))
+    deliver(("2024-02-07", 5), ("2024-06-01", 100))
+    last = deliver(("2024-01-20", 1000), ("2024-05-02", 7), ("2024-06-03", 1))
+    found = latest_per_key(spark.read.parquet(target), ["month"], ["batch_id"])
+    got = {r.month.strftime("%Y-%m"): (r.txn_count, r.total_spend) for r in found.collect()}
+    assert got == {"2024-01": (1, 1), "2024-02": (2, 15), "2024-05": (1, 7), "2024-06": (2, 101)}
+    assert sum(s["numRowsTotal"] for s in last.lastProgress["stateOperators"]) <= 2
+
+
+def test_latest_delivery_wins_with_a_bounded_state(spark, tmp_path):
+    src, target, check = (str(tmp_path / x) for x in ("src", "target", "check"))
+    schema, want = "id long, t timestamp_ntz, v long", {}
+    sizes = []
+    for month in range(1, 9):
+        # A hundred keys a month, ten of them delivered again in the month and ten of the month before.
+        rows = [(100 * month + i, dt.datetime(2024, month, 1 + i % 20), i) for i in range(100)]
+        rows += [(100 * month + i, dt.datetime(2024, month, 25), 1000 + i) for i in range(10)]
+        rows += [(100 * (month - 1) + i, dt.datetime(2024, month, 2), 2000 + i) for i in range(10) if month > 1]
+        for k, t, v in sorted(rows, key=lambda r: r[1]):
+            want[k] = v
+        part = spark.createDataFrame(rows, schema)
+        part.coalesce(1).write.mode("append").parquet(src)
+        stream = feeds.latest_delivery_stream(feeds.file_stream(spark, src, part.schema), ["id"], "t", ["t"])
+        query = feeds.keep_updates(stream, target, check)
+        query.awaitTermination()
+        sizes.append(sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"]))
+    got = {r.id: r.v for r in latest_per_key(spark.read.parquet(target), ["id"], ["t", "batch_id"]).collect()}
+    assert got == want
+    assert max(sizes) <= 400 and sizes[-1] < len(want) / 2
 
 
 def test_fixed_width_layout_by_record_type(spark, tmp_path):
