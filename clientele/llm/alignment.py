@@ -6,7 +6,7 @@ of the left and the prefix of the right become one closed group. Composition is
 long document are made in different tasks and composed in a tree of grouped steps of at most ``FAN_IN`` fragments.
 
 Both tokenizers start a token at a single blank between other characters (``BLANK``), so texts are tokenised in units
-between such blanks, and the fragment of a unit is kept in a bounded cache of the worker. Long texts are cut into ranges
+between such blanks, and the ids of a unit are kept in a bounded cache of the worker. Long texts are cut into ranges
 there as well; a text without such blanks stays one range.
 
 Link counts: pairs are counted per document, then over the corpus. Pairs with high counts, as many as fit ``TABLE``, are
@@ -20,6 +20,7 @@ import struct
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,11 @@ from clientele.llm.common import BLANK, slices, stored
 
 LONG, RANGE = 65_536, 32_768  # characters: longer texts are cut, into ranges of about this length
 FAN_IN = 16
-CACHED, LONGEST = 150_000, 64  # units in the worker's cache, characters of a cached unit
+CACHED, LONGEST = 200_000, 64  # units in the worker's cache, characters of a cached unit
 TABLE = 1 << 18  # pairs in the broadcast table, 17 bytes each
-GROUP = 4 << 20  # characters of the texts that are tokenised together
+GROUP, TOGETHER = 1 << 20, 4096  # characters of the texts that are handled together; units that are tokenised in one call
 
-Tokens = tuple[list[int], list[int]]  # ids of the first and of the second tokenizer
+Tokens = tuple[Sequence[int], Sequence[int]]  # ids of the first and of the second tokenizer
 
 
 @dataclass(frozen=True)
@@ -77,26 +78,39 @@ def closed(tokens: Tokens) -> tuple[str, bytes]:
     return ",".join(map(str, a)) + "|" + ",".join(map(str, b)), struct.pack("<II", a[-1], b[-1])
 
 
-def lift(a: Sequence[int], a_ends: Sequence[int], b: Sequence[int], b_ends: Sequence[int]) -> Fragment:
-    """The fragment of the tokens that end in a byte range; ends count from any common place."""
-    head: Tokens | None = None
-    texts, links = [], []
-    i = j = 0  # first tokens of the group that is open
-    common = set(a_ends).intersection(b_ends)
-    at_b = {end: k + 1 for k, end in enumerate(b_ends) if end in common}
-    for k, end in enumerate(a_ends):
-        if end in common:
-            group = list(a[i : k + 1]), list(b[j : at_b[end]])
-            i, j = k + 1, at_b[end]
-            if head is None:
-                head = group
-            else:
-                text, link = closed(group)
-                texts.append(text)
-                links.append(link)
-    if head is None:
-        return Fragment(False, (list(a), list(b)), n_a=len(a), n_b=len(b))
-    return Fragment(True, head, ";".join(texts), b"".join(links), (list(a[i:]), list(b[j:])), len(a), len(b))
+def lift(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> Fragment:
+    """The fragment of the tokens that end in a byte range; ends, in order, count from any common place."""
+    at = np.searchsorted(b_ends, a_ends)
+    common = np.flatnonzero(b_ends[np.minimum(at, len(b_ends) - 1)] == a_ends) if len(b_ends) else np.empty(0, np.int64)
+    if not len(common):
+        return Fragment(False, (a.tolist(), b.tolist()), n_a=len(a), n_b=len(b))
+    a_cuts, b_cuts = common + 1, at[common] + 1  # tokens up to each common end
+    first, last = (a_cuts[0], b_cuts[0]), (a_cuts[-1], b_cuts[-1])
+    groups = _text(a[first[0] : last[0]], np.diff(a_cuts), b[first[1] : last[1]], np.diff(b_cuts))
+    pairs = np.stack([a[a_cuts[1:] - 1], b[b_cuts[1:] - 1]], axis=1).astype("<u4").tobytes()
+    head = a[: first[0]].tolist(), b[: first[1]].tolist()
+    return Fragment(True, head, groups, pairs, (a[last[0] :].tolist(), b[last[1] :].tolist()), len(a), len(b))
+
+
+def _text(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> str:
+    """Closed groups as text: every token is put at its place in the merged order, with the sign that follows it."""
+    if not len(a_sizes):
+        return ""
+    a_upto, b_upto = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    merged = np.empty(len(a) + len(b), np.int64)
+    signs = np.zeros(len(merged), np.int64)
+    merged[np.arange(len(a)) + np.repeat(b_upto - b_sizes, a_sizes)] = a
+    merged[np.arange(len(b)) + np.repeat(a_upto, b_sizes)] = b
+    signs[a_upto + b_upto - b_sizes - 1] = 1  # the last of a group's first kind
+    signs[a_upto + b_upto - 1] = 2
+    size = 1 << int(merged.max()).bit_length()
+    return "".join(map(_labels(size).__getitem__, (merged + signs * size).tolist()))[:-1]
+
+
+@lru_cache(maxsize=2)
+def _labels(size: int) -> list[str]:
+    """Ids below ``size`` followed by a comma, then by a bar, then by a semicolon."""
+    return [f"{i}{sign}" for sign in ",|;" for i in range(size)]
 
 
 class Pair:
@@ -123,47 +137,58 @@ class Pair:
         vocabulary = (self.second.id_to_piece(i) for i in range(self.second.get_piece_size()))
         if any("▁" in p.lstrip("▁") for p in vocabulary):
             raise ValueError("pieces that go across a blank: texts can't be cut there")
-        self.known: dict[str, Fragment | None] = {}
-
-    def learn(self, units: Iterable[str]) -> dict[str, Fragment | None]:
-        """The fragments of units, each a blank and a text; None where the tokens don't give the unit's bytes again."""
+        self.first_sizes = np.zeros(max(self.first_bytes) + 1, np.int64)
+        for i, token in self.first_bytes.items():
+            self.first_sizes[i] = len(token)
+        self.second_sizes = np.array([len(t) for t in self.second_bytes], np.int64)
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def learn(self, units: Iterable[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Ids of units, each a blank and a text, as 32-bit integers; None where the tokens don't give the unit's bytes again."""
         wanted = set(units)
         new = [u for u in wanted if u not in self.known]
-        made: dict[str, Fragment | None] = {}
-        first = self.first.encode_batch_fast(new, add_special_tokens=False)
-        second = self.second.encode([u[1:] for u in new], num_threads=1)
-        for unit, x, b in zip(new, first, second):
-            a = x.ids
-            a_bytes, b_bytes = [self.first_bytes[i] for i in a], [self.second_bytes[i] for i in b]
-            whole = unit.encode()
-            if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
-                made[unit] = None
-            else:
-                made[unit] = START + lift(a, _ends(a_bytes), b, _ends(b_bytes))
-        if len(new) < len(wanted):
-            made.update({u: self.known[u] for u in wanted if u in self.known})
+        made = {u: self.known[u] for u in wanted if u in self.known} if len(new) < len(wanted) else {}
+        for at in range(0, len(new), TOGETHER):  # what the libraries return takes far more room than the ids
+            some = new[at : at + TOGETHER]
+            made.update(zip(some, self._encode(some)))
         if len(self.known) + len(new) > CACHED:
             self.known.clear()
         self.known.update({u: made[u] for u in new[:CACHED] if len(u) <= LONGEST})
         return made
 
+    def _encode(self, units: list[str]) -> list[tuple[bytes, bytes] | None]:
+        whole, ends = "".join(units).encode(), np.cumsum([len(u.encode()) for u in units])
+        found = (
+            ([e.ids for e in self.first.encode_batch_fast(units, add_special_tokens=False)], self.first_bytes, self.first_sizes),
+            (self.second.encode([u[1:] for u in units], num_threads=1), self.second_bytes, self.second_sizes),
+        )
+        sides, same = [], True
+        for lists, table, sizes in found:
+            flat = np.fromiter(chain.from_iterable(lists), np.int64)
+            upto = np.cumsum([len(ids) for ids in lists])
+            # Every unit is given back if all tokens together are, and the tokens of each end where it ends.
+            sums = np.concatenate([[0], np.cumsum(sizes[flat])])[upto]
+            same = same and np.array_equal(sums, ends) and b"".join(map(table.__getitem__, flat.tolist())) == whole
+            data, cuts = flat.astype("<u4").tobytes(), [0, *(4 * upto).tolist()]
+            sides.append([data[i:j] for i, j in zip(cuts, cuts[1:])])
+        pairs = list(zip(*sides))
+        if same:
+            return pairs
+        back = [[b"".join([table[i] for i in ids]) for ids in lists] for lists, table, _ in found]
+        return [pair if a == b == u.encode() else None for pair, a, b, u in zip(pairs, *back, units)]
+
     def fragments(self, texts: list[list[str]]) -> Iterator[Fragment | None]:
-        """The fragment of each list of units."""
+        """The fragment of each list of units, the first of which begins at a common end."""
         known = self.learn(u for units in texts for u in units)
         for units in texts:
             parts = [known[u] for u in units]
             if None in parts:
                 yield None
+            elif not parts:
+                yield START
             else:
-                # Every unit begins and ends at a common end: the sum of the parts without the steps between.
-                yield Fragment(
-                    True, ([], []), ";".join([p.groups for p in parts]), b"".join([p.links for p in parts]), ([], []),
-                    sum([p.n_a for p in parts]), sum([p.n_b for p in parts]),
-                )
-
-
-def _ends(parts: list[bytes]) -> list[int]:
-    return np.cumsum([len(p) for p in parts]).tolist()
+                a, b = (np.frombuffer(b"".join([p[side] for p in parts]), "<u4").astype(np.int64) for side in (0, 1))
+                yield START + lift(a, np.cumsum(self.first_sizes[a]), b, np.cumsum(self.second_sizes[b]))
 
 
 def _byte_letters() -> dict[str, int]:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from functools import reduce
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
@@ -39,7 +40,7 @@ def test_fragments_of_any_byte_ranges_compose_in_any_order(size, a_cuts, b_cuts,
     parts = []
     for lo, hi in zip(places, places[1:]):
         mine = [(x, e) for x, e in zip(a, a_ends) if lo < e <= hi], [(x, e) for x, e in zip(b, b_ends) if lo < e <= hi]
-        parts.append(A.lift([x for x, _ in mine[0]], [e for _, e in mine[0]], [x for x, _ in mine[1]], [e for _, e in mine[1]]))
+        parts.append(A.lift(*[np.array([pair[i] for pair in side], np.int64) for side in mine for i in (0, 1)]))
     straight = A.START + reduce(A.Fragment.__add__, parts)
     tree = list(parts)
     while len(tree) > 1:
@@ -72,7 +73,7 @@ class Plain:
         parts = [[self.entry[i] for i in a], [self.piece(i) for i in b]]
         if any(b"".join(p) != whole for p in parts):
             return [], [], []
-        a_ends, b_ends = ([sum(map(len, p[: i + 1])) for i in range(len(p))] if len(p) < 3000 else A._ends(p) for p in parts)
+        a_ends, b_ends = ([sum(map(len, p[: i + 1])) for i in range(len(p))] if len(p) < 3000 else np.cumsum([len(t) for t in p]).tolist() for p in parts)
         out, i, j, at = [], 0, 0, {e: k + 1 for k, e in enumerate(b_ends)}
         for k, e in enumerate(a_ends):
             if e in at:
