@@ -144,6 +144,12 @@ def training_data(profile: DataFrame, labelled: DataFrame) -> DataFrame:
     return features(profile).join(known, "customer_id")
 
 
+def held_out(key: str, seed: int, share: float) -> Column:
+    """Whether a row belongs to the holdout: by a digest of its key and the seed, which any engine can recompute."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1000 < int(share * 1000)
+
+
 def train(data: DataFrame, seed: int = 7, holdout: float = 0.25, iterations: int = 10) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees on the named features; returns the model and the scored holdout.
 
@@ -151,8 +157,7 @@ def train(data: DataFrame, seed: int = 7, holdout: float = 0.25, iterations: int
     on partitioning or row order and a recomputed task draws the same rows.
     """
     data = data.select("customer_id", *NUMERIC, *CATEGORICAL, F.col("churned").cast("double").alias("label")).na.fill(0.0, list(NUMERIC))
-    bucket = F.pmod(F.xxhash64("customer_id", F.lit(seed)), F.lit(1000))
-    test = bucket < int(holdout * 1000)
+    test = held_out("customer_id", seed, holdout)
     stages = [
         StringIndexer(inputCols=list(CATEGORICAL), outputCols=[f"{c}_ix" for c in CATEGORICAL], handleInvalid="keep", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=[*NUMERIC, *[f"{c}_ix" for c in CATEGORICAL]], outputCol="features", handleInvalid="keep"),

@@ -97,42 +97,54 @@ def segment_bands(customers: DataFrame, targets: Mapping[str, float] = SEGMENT_T
 def transaction_measures(
     transactions: DataFrame, customers: DataFrame, as_of: dt.date, high_amount: float = 10_000
 ) -> DataFrame:
-    """The measures of the transaction checks as one row.
+    """The measures of the transaction checks as one row, from one pass over transactions and customers.
 
-    Rows are reduced to one per customer in the first pass (map-side), so that the orphan and coverage checks join
-    customers with customers instead of customers with transactions.
+    Every transaction counts for its customer and for its id; customers take part in the same grouping as rows without a
+    transaction. So orphans, coverage and repeated ids come from one shuffle, to which a customer with very many
+    transactions sends one row per task.
     """
-    c = F.col
-    per_customer = transactions.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(c("transaction_date").isNull()).alias("null_dates"),
-        F.count_if(c("amount").isNull()).alias("null_amounts"),
-        F.count_if(c("ingestion_timestamp").isNull()).alias("null_ingestion"),
-        F.count_if(c("transaction_date") > F.lit(as_of)).alias("future"),
-        F.count_if(c("amount") <= 0).alias("not_positive"),
-        F.count_if(c("amount") > high_amount).alias("high_amounts"),
-        F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"), F.sum("amount").alias("amount"),
+    c, zero = F.col, F.lit(0)
+    names = {"customer_id": transactions.schema["customer_id"].dataType, "transaction_id": transactions.schema["transaction_id"].dataType}
+    none = {k: F.lit(None).cast(t).alias(k) for k, t in names.items()}
+    sides = F.array(
+        F.struct(F.lit("customer").alias("side"), c("customer_id"), none["transaction_id"]),
+        F.struct(F.lit("transaction").alias("side"), none["customer_id"], c("transaction_id")),
+    )
+    measured = ("transaction_date", "amount", "ingestion_timestamp")
+    rows = transactions.select(*measured, F.inline(sides), F.lit(1).alias("is_row"))
+    listed = customers.select(
+        *[F.lit(None).cast(transactions.schema[m].dataType).alias(m) for m in measured], F.lit("customer").alias("side"),
+        c("customer_id").cast(names["customer_id"]).alias("customer_id"), none["transaction_id"], F.lit(0).alias("is_row"),
+    )
+    row = (c("is_row") == 1) & (c("side") == "customer")
+    groups = rows.unionByName(listed).groupBy("side", "customer_id", "transaction_id").agg(
+        F.sum("is_row").alias("n"), F.sum(1 - c("is_row")).alias("listed"),
+        F.count_if(row & c("transaction_date").isNull()).alias("null_dates"),
+        F.count_if(row & c("amount").isNull()).alias("null_amounts"),
+        F.count_if(row & c("ingestion_timestamp").isNull()).alias("null_ingestion"),
+        F.count_if(row & (c("transaction_date") > F.lit(as_of))).alias("future"),
+        F.count_if(row & (c("amount") <= 0)).alias("not_positive"),
+        F.count_if(row & (c("amount") > high_amount)).alias("high_amounts"),
+        F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"), F.sum(F.when(row, c("amount"))).alias("amount"),
         F.min("transaction_date").alias("first_day"), F.max("transaction_date").alias("last_day"),
     )
-    known = customers.select("customer_id", F.lit(True).alias("known"))
-    joined = per_customer.join(known, "customer_id", "full")
-    has, zero = c("n").isNotNull(), F.lit(0)
-    totals = joined.agg(
-        F.coalesce(F.sum("n"), zero).alias("rows"),
-        F.coalesce(F.sum(F.when(c("customer_id").isNull(), c("n"))), zero).alias("null_customers"),
+    of_customer, named = c("side") == "customer", c("customer_id").isNotNull()
+    has, known = of_customer & (c("n") > 0), named & (c("listed") > 0)
+    of_id = c("side") == "transaction"
+    return groups.agg(
+        F.coalesce(F.sum(F.when(of_customer, c("n"))), zero).alias("rows"),
+        F.coalesce(F.sum(F.when(of_customer & ~named, c("n"))), zero).alias("null_customers"),
         *[F.coalesce(F.sum(x), zero).alias(x) for x in ("null_dates", "null_amounts", "null_ingestion", "future", "not_positive", "high_amounts")],
-        F.count(F.when(has, c("customer_id"))).alias("customers_seen"),
-        F.count_if(~has).alias("customers_missing"),
-        F.count(F.when(has & c("known").isNull(), c("customer_id"))).alias("orphan_customers"),
-        F.coalesce(F.sum(F.when(has & c("known").isNull(), c("n"))), zero).alias("orphan_rows"),
+        F.count_if(has & named).alias("customers_seen"),
+        F.coalesce(F.sum(F.when(of_customer & ((c("n") == 0) | ~named), c("listed"))), zero).alias("customers_missing"),
+        F.count_if(has & named & ~known).alias("orphan_customers"),
+        F.coalesce(F.sum(F.when(has & ~known, c("n"))), zero).alias("orphan_rows"),
         F.min("min_amount").alias("min_amount"), F.max("max_amount").alias("max_amount"),
         F.sum("amount").alias("total_amount"),
         F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+        F.coalesce(F.sum(F.when(of_id, c("n") - c("transaction_id").isNotNull().cast("int"))), zero).alias("duplicate_rows"),
+        F.coalesce(F.sum(F.when(of_id & c("transaction_id").isNull(), c("n"))), zero).alias("null_transactions"),
     )
-    keys = duplicates(transactions, "transaction_id").select(
-        F.col("surplus_rows").alias("duplicate_rows"), F.col("null_keys").alias("null_transactions")
-    )
-    return beside(totals, keys)
 
 
 def transaction_suite(

@@ -5,14 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clientele.functions.columns import mean, pct
 from clientele.functions.dates import at_time, months_between_boundaries
 from clientele.operators.dedupe import latest_per_key
-from clientele.operators.reports import per_customer, segment_activity
-from clientele.operators.setops import beside
+from clientele.operators.reports import segment_activity
 from clientele.operators.suites import duplicates
 
 SNAPSHOT_METRICS = ("customer_count", "transaction_count", "total_transaction_amount", "avg_transaction_amount", "months_of_data")
@@ -24,21 +23,37 @@ def append(records: DataFrame, path: str) -> None:
 
 
 def snapshot(customers: DataFrame, transactions: DataFrame, kind: str, at) -> DataFrame:
-    """One row of headline metrics. The customer side and the transaction side are one aggregate each."""
+    """One row of headline metrics."""
+    return snapshots(customers, transactions, {kind: (None, at)})
+
+
+def snapshots(customers: DataFrame, transactions: DataFrame, kinds: Mapping[str, tuple[dt.date | None, dt.datetime]]) -> DataFrame:
+    """One row of headline metrics for each kind of snapshot: the transactions before a date (None: all of them).
+
+    The customer side and the transaction side are one aggregate each, for all snapshots together.
+    """
     side = customers.agg(
         F.count(F.lit(1)).alias("customer_count"), F.count_distinct("customer_segment").alias("segment_count")
     )
-    rows = transactions.agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("total_transaction_amount"),
-        F.coalesce(mean("amount"), F.lit(0.0)).alias("avg_transaction_amount"),
-        F.min("transaction_date").alias("min_transaction_date"),
-        F.max("transaction_date").alias("max_transaction_date"),
-    ).withColumn(
-        "months_of_data", F.coalesce(months_between_boundaries("min_transaction_date", "max_transaction_date"), F.lit(0))
+    day, cells = F.col("transaction_date"), []
+    for kind, (before, at) in kinds.items():
+        of = F.lit(True) if before is None else day < F.lit(before)
+        amount, when = F.when(of, F.col("amount")), F.when(of, day)
+        months = months_between_boundaries("_s.min_transaction_date", "_s.max_transaction_date")
+        cells.append(F.struct(
+            at_time(at).alias("snapshot_timestamp"), F.lit(kind).alias("snapshot_type"),
+            F.count_if(of).alias("transaction_count"), F.coalesce(F.sum(amount).cast("double"), F.lit(0.0)).alias("total_transaction_amount"),
+            F.coalesce(mean(amount), F.lit(0.0)).alias("avg_transaction_amount"),
+            F.min(when).alias("min_transaction_date"), F.max(when).alias("max_transaction_date"),
+        ))
+    rows = transactions.agg(F.array(*cells).alias("_all")).select(F.explode("_all").alias("_s")).select(
+        "_s.*", F.coalesce(months, F.lit(0)).alias("months_of_data")
     )
-    return beside(side, rows).select(
-        at_time(at).alias("snapshot_timestamp"), F.lit(kind).alias("snapshot_type"), "*"
+    # The customer side is one row, put to each of the few snapshots.
+    both = rows.withColumn("_one", F.lit(1)).join(side.withColumn("_one", F.lit(1)), "_one")
+    return both.select(
+        "snapshot_timestamp", "snapshot_type", "customer_count", "segment_count", "transaction_count", "total_transaction_amount",
+        "avg_transaction_amount", "min_transaction_date", "max_transaction_date", "months_of_data",
     )
 
 
@@ -60,17 +75,24 @@ def snapshot_delta(snapshots: DataFrame, before: str, after: str) -> DataFrame:
     })
 
 
-def generation_record(transactions: DataFrame, process: str, at) -> DataFrame:
-    """Volume record of a generation or load run."""
-    return per_customer(transactions).agg(
-        F.sum("_n").alias("total_transactions"), F.count("customer_id").alias("unique_customers"),
-        F.min("_first").alias("min_date"), F.max("_last").alias("max_date"),
-        F.sum("_sum").alias("total_transaction_volume"),
-        (F.sum("_sum").cast("double") / F.sum("_n").cast("double")).alias("avg_transaction_amount"),
-    ).select(
-        F.lit(process).alias("process_name"), at_time(at).alias("execution_timestamp"), "*",
-        months_between_boundaries("min_date", "max_date").alias("months_of_data"),
-    )
+def generation_load(transactions: DataFrame, path: str, process: str, at) -> tuple[DataFrame, DataFrame]:
+    """Load the transactions to ``path``; returns the table and the volume record of the load.
+
+    Counts, dates and amounts are observed while the rows are written; only the number of customers reads their column again.
+    """
+    amount, day = F.col("amount"), F.col("transaction_date")
+    loaded, seen = observed_load(transactions, path, [
+        F.count(F.lit(1)).alias("rows"), F.count(amount).alias("amounts"), F.sum(amount).alias("volume"), F.min(day).alias("first"), F.max(day).alias("last"),
+    ])
+    average = F.lit(seen["volume"]).cast("double") / F.lit(seen["amounts"]).cast("double") if seen["amounts"] else F.lit(None).cast("double")
+    record = loaded.agg(F.count_distinct("customer_id").alias("unique_customers")).select(
+        F.lit(process).alias("process_name"), at_time(at).alias("execution_timestamp"),
+        F.lit(seen["rows"]).cast("bigint").alias("total_transactions"), "unique_customers",
+        F.lit(seen["first"]).cast("date").alias("min_date"), F.lit(seen["last"]).cast("date").alias("max_date"),
+        F.lit(seen["volume"]).cast(loaded.agg(F.sum("amount")).schema[0].dataType).alias("total_transaction_volume"),
+        average.alias("avg_transaction_amount"),
+    ).withColumn("months_of_data", months_between_boundaries("min_date", "max_date"))
+    return loaded, record
 
 
 # Check name, category, measure, status when something is found.
@@ -127,6 +149,33 @@ def layer_counts(tables: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     return out
 
 
+def observed_load(df: DataFrame, path: str, metrics: Sequence[Column]) -> tuple[DataFrame, dict]:
+    """Write ``df`` to ``path``; returns the table and the ``metrics`` (named aggregates) of its rows, taken while they are written.
+
+    A task that is repeated counts once: the metrics of a written partition are those of its first finished task.
+    """
+    seen = Observation()
+    df.observe(seen, *metrics).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
+def load_layers(tables: Mapping[str, tuple[DataFrame, str, str]], path: str) -> DataFrame:
+    """Load the tables below ``path``; the record of :func:`layer_counts` for each, without reading the table again.
+
+    Rows and missing keys are observed during the load. Only the uniqueness of the key needs its column once more.
+    """
+    out = None
+    for name, (df, key, layer) in tables.items():
+        loaded, seen = observed_load(df, f"{path}/{name}", [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys")])
+        per_key = loaded.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        row = per_key.agg(F.count(F.lit(1)).alias("distinct_keys"), F.count_if(F.col("_n") > 1).alias("duplicate_key_count")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.lit(seen["rows"]).cast("bigint").alias("record_count"),
+            "distinct_keys", F.lit(seen["null_keys"]).cast("bigint").alias("null_key_count"), "duplicate_key_count",
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def check_status(checked: str = "records_checked", failed: str = "records_failed", threshold: float = 0.01) -> list:
     """Failure rate and its band: pass up to the threshold, warning up to 5 percent."""
     rate = F.col(failed).cast("double") / F.nullif(F.col(checked).cast("double"), F.lit(0.0))

@@ -117,40 +117,82 @@ def _prepared(spark, folder):
     return checkpointed(_training(spark, folder))
 
 
-@query("ml_train")
+HELD_SQL = "('0x' || substr(md5(customer_id || ':7'), 1, 8))::ubigint % 1000 < 250"
+SCORED_SQL = "(select count(*) from profile where total_transactions >= 5)"
+
+
+@query("ml_train", sql(
+    f"""with {LABEL_SQL}, {FEATURE_SQL} select {n('count(*)')} as rows, {n(f'count(*) filter ({HELD_SQL})')} as holdout_rows, {n(f'count(*) filter ({HELD_SQL} and churned = 1)')} as holdout_churned,
+    true as metrics_in_range, true as gate_follows_metrics, true as features_used from feat""", "txn", "profile"))
 def ml_train(spark, folder):
-    """Holdout metrics of a trained model with its most important features."""
-    model, held_out = churn.train(_prepared(spark, folder))
-    measured = churn.metrics(held_out)
+    """Sizes of the split and its classes, and whether the measured model is consistent: what does not depend on the fit."""
+    data = _prepared(spark, folder)
+    model, held = churn.train(data)
+    measured = churn.metrics(held)
+    counts = measured.select((F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("holdout_rows"), (F.col("tp") + F.col("fn")).alias("holdout_churned"))
+    share = F.col("f1_score").between(0, 1) & F.col("precision").between(0, 1) & F.col("recall").between(0, 1)
+    good = (F.col("f1_score") >= 0.5) & (F.col("precision") >= 0.6) & (F.col("recall") >= 0.4)
+    checks = churn.gate(measured).select(share.alias("metrics_in_range"), (good == F.col("validation_result").startswith("PASS")).alias("gate_follows_metrics"))
+    used = churn.importance(model, spark).agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("features_used"))
+    return beside(data.agg(F.count(F.lit(1)).alias("rows")), counts, checks, used)
+
+
+@query("ml_train_metrics")
+def ml_train_metrics(spark, folder):
+    """Holdout metrics of a trained model with its most important feature."""
+    model, held = churn.train(_prepared(spark, folder))
+    measured = churn.metrics(held)
     ranked = churn.importance(model, spark).where(F.col("importance") > 0).agg(F.max_by("feature", "importance").alias("top_feature"), F.count(F.lit(1)).alias("used_features"))
     return beside(churn.gate(measured), measured.select("tp", "fp", "fn", "tn"), ranked)
 
 
-@query("ml_score")
-def ml_score(spark, folder):
+def _scores(spark, folder):
     who = checkpointed(inputs.profile(spark, folder, median=True))
     model, _ = churn.train(churn.training_data(who, _labels(spark, folder)))
+    return model, who
+
+
+@query("ml_score", sql(f"select customer_id, {AS_OF_SQL} as prediction_date, true as in_range, true as flag_follows_score from profile where total_transactions >= 5", "profile"))
+def ml_score(spark, folder):
+    """Every customer with features is scored once, from 0 to 100, and predicted to leave exactly above 50."""
+    model, who = _scores(spark, folder)
+    score = F.col("churn_risk_score")
+    return churn.score(model, churn.features(who), AS_OF).select(
+        "customer_id", "prediction_date", score.between(0, 100).alias("in_range"), (F.col("predicted_churn") == (score > 50)).alias("flag_follows_score")
+    )
+
+
+@query("ml_score_rows")
+def ml_score_rows(spark, folder):
+    model, who = _scores(spark, folder)
     return churn.score(model, churn.features(who), AS_OF)
 
 
-@query("ml_retrain")
+@query("ml_retrain", sql(f"select true as consistent, {n(SCORED_SQL)} as to_score", "profile"))
 def ml_retrain(spark, folder):
-    """Labels, validation, training, gate and scoring in one job; the verdict and the number of scored customers."""
+    """Labels, validation, training, gate and scoring in one job: all customers with features are scored if the verdict is PASS, none
+    otherwise."""
     who = checkpointed(inputs.profile(spark, folder, median=True))
     result = churn.retrain(who, _labels(spark, folder), AS_OF, rows=(1000, 50), smaller=(100, 5))
+    expected = churn.features(who).agg(F.count(F.lit(1)).alias("to_score"))
     if result.predictions is None:
-        return who.limit(1).select(F.lit(result.verdict).alias("verdict"), F.lit(0).cast("bigint").alias("scored"))
-    return result.predictions.agg(F.count(F.lit(1)).alias("scored")).select(F.lit(result.verdict).alias("verdict"), "scored")
+        return expected.select(F.lit(not result.verdict.startswith("PASS")).alias("consistent"), "to_score")
+    done = result.predictions.agg(F.count_distinct("customer_id").alias("scored"))
+    passed = F.lit(result.verdict.startswith("PASS"))
+    return beside(done, expected).select((passed & (F.col("scored") == F.col("to_score"))).alias("consistent"), "to_score")
 
 
-@query("ml_refresh")
+@query("ml_refresh", sql(f"select {n(SCORED_SQL)} as customers, true as in_range, true as same_as_before", "profile"))
 def ml_refresh(spark, folder):
-    """A saved model is loaded again and scores the current profile; scores by risk band."""
+    """A saved model is loaded again and scores the current profile, as the model in memory does."""
     from pyspark.ml import PipelineModel
 
-    who = checkpointed(inputs.profile(spark, folder, median=True))
-    model, _ = churn.train(churn.training_data(who, _labels(spark, folder)))
+    model, who = _scores(spark, folder)
     path = scratch(spark, "churn-model")
     model.write().save(path)
-    scores = churn.refresh(PipelineModel.load(path), who, AS_OF)
-    return scores.groupBy((F.floor(F.col("churn_risk_score") / 10) * 10).alias("score_from")).agg(F.count(F.lit(1)).alias("customers"))
+    before = churn.refresh(model, who, AS_OF).select("customer_id", F.col("churn_risk_score").alias("before"))
+    after = churn.refresh(PipelineModel.load(path), who, AS_OF).join(before, "customer_id", "full")
+    same = F.col("churn_risk_score").eqNullSafe(F.col("before"))
+    return after.agg(
+        F.count("churn_risk_score").alias("customers"), F.every(F.col("churn_risk_score").between(0, 100)).alias("in_range"), F.every(same).alias("same_as_before")
+    )

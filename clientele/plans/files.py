@@ -88,10 +88,9 @@ def src_fail_fast(spark, folder):
     return files.read_csv_quarantine(spark, path, schema)
 
 
-@query("src_quarantine_lines", f"""with o as (select *, o_orderkey % 10 as k from orders)
-    select o_orderkey as order_id, case when k = 1 then null else o_custkey end as customer_id, case when k <= 2 then null else o_orderpriority end as priority,
-    case when k = 1 then o_orderkey || '' when k = 2 then o_orderkey || ',' || o_custkey || ',"' || o_orderpriority when k = 3 then o_orderkey || ',' || o_custkey || ',' || o_orderpriority || ',surplus' end as rejected
-    from o where k != 2 union all select o_orderkey, o_custkey, o_orderpriority, o_orderkey || ',' || o_custkey || ',"' || o_orderpriority from o where k = 2""")
+@query("src_quarantine_lines", """with o as (select *, o_orderkey % 10 as k, o_orderkey || ',' || o_custkey || ',' as head from orders)
+    select o_orderkey as order_id, case when k != 1 then o_custkey end as customer_id, case when k != 1 then o_orderpriority end as priority,
+    case k when 1 then o_orderkey || '' when 2 then head || '"' || o_orderpriority when 3 then head || o_orderpriority || ',surplus' end as rejected from o""")
 def src_quarantine_lines(spark, folder):
     """Lines with too few fields, with too many, or with a quote that stays open keep their text; all others are loaded."""
     path = scratch(spark, "orders-lines")
@@ -189,16 +188,15 @@ def src_record_split(spark, folder):
     return company.unionByName(financial).unionByName(security)
 
 
-@query("src_variant_paths", "select o_orderkey, year(o_orderdate)::bigint as year, o_totalprice as price, o_orderpriority as priority from orders where o_orderstatus = 'F'")
+@query("src_variant_paths", "select o_orderkey, year(o_orderdate)::bigint as year, o_totalprice as price, o_orderpriority as priority, o_orderstatus as status from orders")
 def src_variant_paths(spark, folder):
     """Orders kept as one semi-structured column, read through a view of typed paths."""
     path = scratch(spark, "raw-history")
     files.variant_column(table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))).write.parquet(path)
-    view = files.variant_paths(spark.read.parquet(path), {
+    return files.variant_paths(spark.read.parquet(path), {
         "o_orderkey": ("$.o_orderkey", "bigint"), "year": ("$.year", "int"), "price": ("$.o_totalprice", "double"),
         "priority": ("$.o_orderpriority", "string"), "status": ("$.o_orderstatus", "string"),
     })
-    return view.where(F.col("status") == "F").drop("status")
 
 
 # ---- sinks ----

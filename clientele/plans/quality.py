@@ -16,6 +16,7 @@ from clientele.plans.catalog import query
 from clientele.plans.oracle import AS_OF as AS_OF_SQL
 from clientele.plans.oracle import avg, d, days, month_of, months, n, pct, rnd, sql
 from clientele.plans.tables import VERSIONS_SQL, _versions
+from clientele.session import scratch
 from clientele.sources.roles import AS_OF, EVENTS_AS_OF, customers, raw_lines, table, transactions
 
 # ---- generic checks ----
@@ -99,13 +100,16 @@ def dq_equality(spark, folder):
     return Q.equality(orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut), ["o_custkey", "o_orderstatus"])
 
 
-@query("dq_cardinality", f"""with a as (select o_custkey as value, {n('count(*)')} as num_rows from orders where o_orderstatus = 'F' group by 1), b as (select o_custkey as value, {n('count(*)')} as num_rows from orders where o_orderstatus = 'O' group by 1)
+@query("dq_cardinality", f"""with a as (select o_custkey as value, {n('count(*)')} as num_rows from orders group by 1),
+        b as (select o_custkey as value, {n('count(*)')} as num_rows from orders join lineitem on l_orderkey = o_orderkey and l_linenumber = 1 group by 1)
     select 'a_minus_b' as which_diff, * from (select * from a except select * from b) union all select 'b_minus_a', * from (select * from b except select * from a)""")
 def dq_cardinality(spark, folder):
+    """Orders by customer against orders that have a first line, which every order should have."""
     from clientele.operators.setops import cardinality_diff
 
-    orders = table(spark, folder, "orders")
-    return cardinality_diff(orders.where(F.col("o_orderstatus") == "F"), "o_custkey", orders.where(F.col("o_orderstatus") == "O"), "o_custkey")
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey")
+    first = table(spark, folder, "lineitem").where(F.col("l_linenumber") == 1).select(F.col("l_orderkey").alias("o_orderkey"))
+    return cardinality_diff(orders, "o_custkey", orders.join(first, "o_orderkey"), "o_custkey")
 
 
 COUNTS_SQL = """with a as (select customer_segment, count(*) as count_a from cust where card_type = 'Premium' group by 1),
@@ -336,9 +340,8 @@ def ob_snapshot(spark, folder):
     + f") select *, {rnd('after_value - before_value')} as delta, case when before_value = 0 then 'NEW DATA' else printf('%.2f', {rnd('(after_value - before_value) * 100 / before_value')}) || '%' end as pct_change from l",
     "cust", "txn"))
 def ob_delta(spark, folder):
-    who, txn = customers(spark, folder), transactions(spark, folder)
-    before = T.snapshot(who, txn.where(F.col("transaction_date") < F.lit(BEFORE_DAY)), "BEFORE", BEFORE_AT)
-    return T.snapshot_delta(before.unionByName(T.snapshot(who, txn, "AFTER", AFTER_AT)), "BEFORE", "AFTER")
+    kinds = {"BEFORE": (BEFORE_DAY, BEFORE_AT), "AFTER": (None, AFTER_AT)}
+    return T.snapshot_delta(T.snapshots(customers(spark, folder), transactions(spark, folder), kinds), "BEFORE", "AFTER")
 
 
 @query("ob_generation", sql(
@@ -346,7 +349,7 @@ def ob_delta(spark, folder):
     min(transaction_date) as min_date, max(transaction_date) as max_date, {d('sum(amount)')} as total_transaction_volume, {avg('amount')} as avg_transaction_amount,
     {months('min(transaction_date)', 'max(transaction_date)')} as months_of_data from txn""", "txn"))
 def ob_generation(spark, folder):
-    record = T.generation_record(transactions(spark, folder), "transaction_generation", AFTER_AT)
+    _, record = T.generation_load(transactions(spark, folder), scratch(spark, "generated"), "transaction_generation", AFTER_AT)
     return record
 
 
@@ -368,7 +371,10 @@ def ob_quality(spark, folder):
     {n("count(*) filter (check_status = 'FAIL')")} as failed_checks, {n("count(*) filter (check_status = 'WARNING')")} as warning_checks,
     {pct("count(*) filter (check_status = 'PASS')", 'count(*)')} as pass_rate from q group by 2""", "raw", "txn", "cust"))
 def ob_dashboard(spark, folder):
-    return T.dashboard(ob_quality(spark, folder))
+    """Pass rates read from the check records that the loads have appended."""
+    telemetry = scratch(spark, "telemetry")
+    T.append(ob_quality(spark, folder), telemetry)
+    return T.dashboard(spark.read.parquet(telemetry))
 
 
 @query("ob_segment", sql(
@@ -385,11 +391,11 @@ def ob_segment(spark, folder):
     {n(f'(select count(*) from (select {k} from {t} where {k} is not null group by 1 having count(*) > 1))')} as duplicate_key_count from {t}"""
     for t, k, layer in (("customer", "c_custkey", "bronze"), ("orders", "o_orderkey", "silver"), ("lineitem", "l_orderkey", "gold"))))
 def ob_layer_counts(spark, folder):
-    return T.layer_counts({
+    return T.load_layers({
         "customer": (table(spark, folder, "customer"), "c_custkey", "bronze"),
         "orders": (table(spark, folder, "orders"), "o_orderkey", "silver"),
         "lineitem": (table(spark, folder, "lineitem"), "l_orderkey", "gold"),
-    })
+    }, scratch(spark, "layers"))
 
 
 METRICS_SQL = f"""g as (select cast(ts as date) as run_day, event_type as check_type, max(ts) as run_timestamp, {n('count(*)')} as records_checked, {n('count(*) filter (value > 60)')} as records_failed from events group by 1, 2),

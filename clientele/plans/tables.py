@@ -271,12 +271,13 @@ def jn_cross_spine(spark, folder):
     f"""with b as (select count(*) as c, sum(amount) as s from txn where transaction_date < date '2000-01-01'), a as (select count(*) as c, sum(amount) as s from txn)
     select {n('b.c')} as before_count, {n('a.c')} as after_count, {n('a.c - b.c')} as delta_count, {d('b.s')} as before_amount, {d('a.s')} as after_amount, {d('a.s - b.s')} as delta_amount from a, b""", "txn"))
 def jn_cross_snapshot(spark, folder):
-    txn = transactions(spark, folder)
-    before = txn.where(F.col("transaction_date") < F.lit(dt.date(2000, 1, 1))).agg(
-        F.count(F.lit(1)).alias("before_count"), F.sum("amount").alias("before_amount")
+    """The one-row figures of two snapshots beside each other; the earlier one is a condition in the pass that gives the later."""
+    early = F.col("transaction_date") < F.lit(dt.date(2000, 1, 1))
+    both = transactions(spark, folder).agg(
+        F.count_if(early).alias("before_count"), F.count(F.lit(1)).alias("after_count"),
+        F.sum(F.when(early, F.col("amount"))).alias("before_amount"), F.sum("amount").alias("after_amount"),
     )
-    after = txn.agg(F.count(F.lit(1)).alias("after_count"), F.sum("amount").alias("after_amount"))
-    return setops.beside(before, after).withColumns({
+    return both.withColumns({
         "delta_count": F.col("after_count") - F.col("before_count"), "delta_amount": F.col("after_amount") - F.col("before_amount"),
     })
 

@@ -51,15 +51,23 @@ CHANGE_OF_EVENT = {
 }
 
 
-_schemas: dict[str, T.StructType] = {}
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables. Its schema is read from the files once per process, not once per query."""
+    """One of the given tables. Its schema is read from the files once per application, not once per query; after the files of a
+    path were rewritten with other columns, call :func:`forget_schemas`."""
     path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
+
+
+def forget_schemas(folder: str = "") -> None:
+    """Read the schemas of the tables below ``folder`` (default: all) anew when they are asked for next."""
+    for key in [k for k in _schemas if k[1].startswith(folder)]:
+        del _schemas[key]
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -83,17 +83,15 @@ def compare(con, df, text):
 
 
 def main(argv):
-    from pyspark.sql import SparkSession
-
     import __spark_entry__ as entry
+    from clientele.session import build_session
 
     sf = argv[0] if argv else "0.01"
     prefixes = argv[1:]
     folder = f"/root/testdata/sf{sf}"
-    spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    )
+    spark = build_session("oracle", "local[8]", **{
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g", "spark.sql.shuffle.partitions": "8",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     oracle, failed, slow = entry.oracle_sql(), [], []
