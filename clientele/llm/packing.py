@@ -1,5 +1,8 @@
 """Token ids packed into fixed-length rows by best fit decreasing.
 
+Texts are encoded by the tiktoken library; its pattern engine gives up on very long runs of white space, so texts with such a
+run take the transducer of :mod:`clientele.llm.bpe`, which gives the same ids.
+
 Every task packs its documents in bounded sets: documents are read until ``tokens`` ids are waiting, then packed and
 written. A document longer than a row is split into full rows and a rest; nothing is cut off. In a set, parts go from
 longest to shortest into the open row with the least room that is enough; a segment tree over the room left finds it.
@@ -10,14 +13,35 @@ restart at every segment, and for each segment the document, the part number and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.bpe import _arrow, codec
+from clientele.llm.bpe import _arrow, codec, read_ranks
+
+BLANKS = re.compile(r"\s{2000}")
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Callable[[str | None], np.ndarray]:
+    """Ids of a text as 32-bit integers; one encoder for each worker process."""
+    import tiktoken
+
+    library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+    def encode(text: str | None) -> np.ndarray:
+        if not text:
+            return np.empty(0, "<u4")
+        if BLANKS.search(text):
+            return np.frombuffer(codec(path, pattern).encode(text), "<u4")
+        return library.encode_to_numpy(text, disallowed_special=())
+
+    return encode
 
 
 class Rooms:
@@ -79,11 +103,12 @@ FIELDS = "set_no long, row_no long, n_tokens long, ids binary, cu_seqlens array<
 
 def pack(docs: DataFrame, path: str, pattern: str, length: int = 2048, tokens: int = 2_000_000, end: int | None = None, pad: int = 0,
          dtype: str = "<u2", key: str = "doc_id", text: str = "text", matrices: bool = True) -> DataFrame:
-    """Packed rows of all documents: ``set_no`` (a hash of the set's first key and its place in the task), ``row_no`` in the
-    set, ``n_tokens``, ``ids``, ``cu_seqlens``, ``position_ids``, and per segment ``keys``, ``parts`` and ``offsets``.
+    """Packed rows of all documents: ``set_no`` (number of the task and of the set in it), ``row_no`` in the set, ``n_tokens``,
+    ``ids``, ``cu_seqlens``, ``position_ids``, and per segment ``keys``, ``parts`` and ``offsets``. Which documents share a set,
+    and so the rows, follow from how ``docs`` is partitioned.
 
     ``end`` is put behind every document that has ids. Null and empty texts take no room and stand in no row. Repeated
-    rows are packed each; null keys stay. No shuffle; a task holds at most ``tokens`` ids and one batch of texts.
+    rows are packed each; null keys stay. No shuffle; a task holds at most ``tokens`` ids, one document and one batch of texts.
     ``matrices=False`` leaves ids and positions out (null), when only the layout is wanted.
     """
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -94,20 +119,19 @@ def pack(docs: DataFrame, path: str, pattern: str, length: int = 2048, tokens: i
     def run(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
 
-        c = codec(path, pattern)
+        encode = encoder(path, pattern)
         task = TaskContext.get().partitionId()
         waiting, held, number = [], 0, 0
         for batch in batches:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(c.encode(t.as_py()), "<u4")
+                ids = encode(t.as_py())
                 if not len(ids):
                     continue
                 ids = np.concatenate([ids, tail]).astype(dtype)
                 for part, at in enumerate(range(0, len(ids), length)):
                     waiting.append((k, part, at, ids[at : at + length]))
                 held += len(ids)
-                while held >= tokens:
-                    # A very long document fills several sets.
+                if held >= tokens:
                     yield _packed(waiting, task, number, length, pad, dtype, schema, matrices)
                     waiting, held, number = [], 0, number + 1
         if waiting:
