@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STATES, PAIRS, CHUNKS = 300_000, 400_000, 800_000  # bounds of the caches
+STREAM = 1 << 18  # bytes of ids that are decoded at a time, a multiple of 4
 NEVER = 1 << 60
 
 
@@ -354,7 +355,12 @@ def decode(ids: DataFrame, path: str, pattern: str, key: str = "key") -> DataFra
 
 
 def digests(docs: DataFrame, path: str, pattern: str, key: str | Column = "doc_id", text: str | Column = "text") -> DataFrame:
-    """Every text encoded and decoded again in one pass: ``key``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``."""
+    """Every text encoded and decoded again in one pass: ``key``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``.
+
+    The ids are hashed as little-endian unsigned 32-bit integers. They are decoded in chunks by :meth:`Codec.stream`, that is by
+    the UTF-8 state machine where a token is no whole sequence, and the bytes of its text are hashed. Null and empty texts have
+    no tokens; repeated rows give repeated rows, null keys stay, other columns are ignored, an empty table gives an empty one.
+    """
     docs = _two(docs, key, text)
     batches_type = _arrow(docs)
 
@@ -368,7 +374,10 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str | Column = "doc_i
                 ids = c.encode(t.as_py())
                 counts.append(len(ids) // 4)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())
-                text_hex.append(hashlib.sha256(c.bytes_of(ids)).hexdigest())
+                decoded = hashlib.sha256()
+                for text in c.stream(ids[at : at + STREAM] for at in range(0, len(ids), STREAM)):
+                    decoded.update(text.encode())
+                text_hex.append(decoded.hexdigest())
             return batch.column(0), counts, ids_hex, text_hex
 
         yield from _over(batches, make, schema)

@@ -73,6 +73,28 @@ def test_frames(spark):
     assert bpe.digests(df.limit(0), PATH, P.PATTERN).count() == 0
 
 
+def test_packing_encodes_as_the_library(codec, tik):
+    encode = packing.encoder(PATH, P.PATTERN)
+    r = random.Random(6)
+    for _ in range(500):
+        text = "".join(r.choice([*PARTS, "<|endoftext|>"]) for _ in range(r.randint(0, 25)))
+        assert encode(text).tolist() == tik.encode_ordinary(text)
+    for text in (" " * 300_000 + "x", "a" * 300_000, "\n" * 100_000, "x" + " \n" * 50_000):
+        assert encode(text).tolist() == ids(codec, text)
+    assert encode(None).tolist() == encode("").tolist() == []
+
+
+def test_digests_come_from_the_stream_in_chunks(spark, codec):
+    """Characters of several tokens lie across the borders of the chunks."""
+    text = "é😀日本 mixed " * 30_000 + "😀" * 70_000
+    encoded = codec.encode(text)
+    part = encoded[:40_000]
+    for step in (4, 40, 4096):
+        assert "".join(codec.stream(part[at : at + step] for at in range(0, len(part), step))) == codec.decode(part)
+    row = bpe.digests(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH, P.PATTERN).first()
+    assert (row.n_tokens, row.decoded_sha256) == (len(encoded) // 4, hashlib.sha256(text.encode()).hexdigest())
+
+
 def brute(sizes, most):
     rows, room = [], []
     for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
