@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clientele.functions import columns as K
 from clientele.functions import text as X
 from clientele.functions.dates import months_before, months_between_boundaries
-from clientele.operators import campaign, cdc, churn, policy, quality, reports, reshape, scd, semantic, setops
+from clientele.operators import campaign, cdc, churn, policy, quality, reports, reshape, scd, semantic, setops, suites, telemetry
 from clientele.operators import customer as C
 from clientele.operators import windows as W
 from clientele.operators.dedupe import deduplicate, latest_per_key
@@ -484,3 +484,53 @@ def test_deduplicate_takes_nulls_last_in_every_direction(spark):
             assert [tuple(r) for r in deduplicate(df, ["k"], [("t", first), ("s", second)]).collect()] == [(1, 5, 2)]
     only = spark.createDataFrame([(1, None, 1)], "k long, t long, s long")
     assert [tuple(r) for r in deduplicate(only, ["k"], [("t", "asc"), ("s", "desc")]).collect()] == [(1, None, 1)]
+
+
+# ---- suites and loads ----
+
+
+def test_transaction_measures_in_one_pass(spark):
+    """Repeated and missing ids, orphans, customers without transactions and a customer row without an id."""
+    day = D(2024, 1, 1)
+    data = [(1, 10, day, Decimal("5.00")), (1, 10, day, Decimal("7.00")), (2, 10, None, Decimal("-1.00")), (3, 11, D(2030, 1, 1), None), (None, 12, day, Decimal("99999.00")), (4, None, day, Decimal("1.00"))]
+    txn = spark.createDataFrame([(*r, dt.datetime(2024, 1, 2)) for r in data], "transaction_id long, customer_id long, transaction_date date, amount decimal(18,2), ingestion_timestamp timestamp_ntz")
+    who = spark.createDataFrame([(10,), (11,), (13,), (14,), (None,)], "customer_id long")
+    got = suites.transaction_measures(txn, who, D(2025, 1, 1)).first().asDict()
+    assert got == {
+        "rows": 6, "null_customers": 1, "null_dates": 1, "null_amounts": 1, "null_ingestion": 0, "future": 1, "not_positive": 1, "high_amounts": 1,
+        "customers_seen": 3, "customers_missing": 3, "orphan_customers": 1, "orphan_rows": 2, "min_amount": Decimal("-1.00"), "max_amount": Decimal("99999.00"),
+        "total_amount": Decimal("100011.00"), "first_day": day, "last_day": D(2030, 1, 1), "duplicate_rows": 2, "null_transactions": 1,
+    }
+    empty = suites.transaction_measures(txn.limit(0), who.limit(0), D(2025, 1, 1)).first()
+    assert empty["rows"] == 0 and empty["duplicate_rows"] == 0 and empty["customers_missing"] == 0
+
+
+def test_metrics_are_observed_while_a_table_is_loaded(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0), (1, None), (None, 3.5), (2, 1.0)], "k long, v double").repartition(3)
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("k").isNull()).alias("no_key"), F.sum("v").alias("total")]
+    loaded, seen = telemetry.observed_load(df, str(tmp_path / "a"), metrics)
+    assert seen == {"rows": 4, "no_key": 1, "total": 6.5} and loaded.count() == 4
+    row = telemetry.load_layers({"t": (df, "k", "bronze"), "none": (df.limit(0), "k", "gold")}, str(tmp_path / "b")).collect()
+    assert [tuple(r) for r in row] == [("bronze", "t", 4, 2, 1, 1), ("gold", "none", 0, 0, 0, 0)]
+    plain = telemetry.layer_counts({"t": (df, "k", "bronze")}).first()
+    assert tuple(plain) == tuple(row[0])
+
+
+def test_snapshots_of_two_dates_read_the_table_once(spark):
+    data = [(D(2024, 1, i % 28 + 1), Decimal(i)) for i in range(60)]
+    txn = spark.createDataFrame(data, "transaction_date date, amount decimal(18,2)")
+    who = spark.createDataFrame([(1, "a"), (2, "b")], "customer_id long, customer_segment string")
+    at, cut = dt.datetime(2024, 2, 1), D(2024, 1, 10)
+    both = {r["snapshot_type"]: r.asDict() for r in telemetry.snapshots(who, txn, {"B": (cut, at), "A": (None, at), "N": (D(2000, 1, 1), at)}).collect()}
+    assert both["A"] == telemetry.snapshot(who, txn, "A", at).first().asDict()
+    assert both["B"] == telemetry.snapshot(who, txn.where(F.col("transaction_date") < F.lit(cut)), "B", at).first().asDict()
+    assert both["N"]["transaction_count"] == 0 and both["N"]["total_transaction_amount"] == 0.0 and both["N"]["min_transaction_date"] is None
+
+
+def test_holdout_follows_from_the_key(spark):
+    import hashlib
+
+    df = spark.range(500).select(F.col("id").alias("customer_id"))
+    got = {r[0]: r[1] for r in df.select("customer_id", churn.held_out("customer_id", 7, 0.25)).collect()}
+    assert got == {i: int(hashlib.md5(f"{i}:7".encode()).hexdigest()[:8], 16) % 1000 < 250 for i in range(500)}
+    assert 80 < sum(got.values()) < 170
