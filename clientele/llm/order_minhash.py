@@ -12,12 +12,14 @@ pairs with enough of them are aligned. No pair of a bucket is left out, whatever
 aligning their k-mer sequences inside the band that the threshold allows: with M aligned k-mers,
 similarity = M / (n_a + n_b - M).
 
-Documents with the same words are one node from the start. Classes are the connected components of verified links.
+Documents with the same words are one node from the start. Classes are the connected components of verified links; after
+each round the ends of its links are replaced by the roots found before, so that no link is handled twice.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 from math import floor, log
 
@@ -145,7 +147,9 @@ def nodes(docs: DataFrame, k: int = 5, sketches: int = 16, several: int = 3, key
             for t in batch.column(1):
                 words = words_of(t.as_py())
                 grams = kmers(words, k)
-                digest.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                # A text without words is told apart by all its characters.
+                same = b" ".join(words) or (t.as_py() or "").encode("utf-8", "surrogatepass")
+                digest.append(hashlib.blake2b(same, digest_size=16, person=b"words" if words else b"text").digest())
                 n.append(len(grams))
                 keys.append(sketch(grams, sketches, several))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip((digest, n, keys), list(schema)[1:]))], schema=schema)
@@ -240,8 +244,27 @@ def _columns(t: pa.Table) -> dict:
     return out | {"keys": keys.flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1), "table": t}
 
 
+def forest(pairs: Iterable[tuple[int, int]], similar: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """Of the similar pairs enough to link the same rows: a pair that earlier ones link already is not looked at."""
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    out = []
+    for i, j in pairs:
+        a, b = root(i), root(j)
+        if a != b and similar(i, j):
+            parent[a] = b
+            out.append((i, j))
+    return out
+
+
 def compared(entries: DataFrame, docs: DataFrame, k: int, least: float, block: int = 128) -> DataFrame:
-    """Of all pairs of different roots in a bucket those whose texts are similar. ``entries``: ``id``, ``n``, ``bucket``,
+    """Of all pairs of different roots in a bucket similar ones that link the same documents as all of them: a forest of each
+    unit. ``entries``: ``id``, ``n``, ``bucket``,
     ``root``, ``keys``; ``docs``: ``id``, ``text``.
 
     The rows of a bucket are cut into classes of length, so that similar texts are in the same or in neighbouring classes,
@@ -287,7 +310,7 @@ def compared(entries: DataFrame, docs: DataFrame, k: int, least: float, block: i
             m = equal[np.searchsorted(left, pairs[:, 0]), np.searchsorted(right, pairs[:, 1])]
             # No alignment is longer than the number of common k-mers.
             enough = m >= least * (u["n"][pairs[:, 0]] + u["n"][pairs[:, 1]] - m) - 1e-6
-            found = [(i, j) for i, j in pairs[enough].tolist() if similarity(grams[i], grams[j], least) >= least]
+            found = forest(pairs[enough].tolist(), lambda i, j: similarity(grams[i], grams[j], least) >= least)
             if found:
                 ids = u["table"].column("id")
                 a, b = (ids.take(pa.array([f[s] for f in found])).combine_chunks() for s in (0, 1))
@@ -318,10 +341,29 @@ def components(links: DataFrame) -> DataFrame:
         roots = moved.select("id", "root")
 
 
+def contracted(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The links between the roots of their ends, each once, without those inside a class."""
+    if roots is not None:
+        for end in ("a", "b"):
+            found = roots.select(F.col("id").alias(end), F.col("root").alias("_r"))
+            links = links.join(found, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+    links = links.where(F.col("a") != F.col("b"))
+    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """``roots`` after the classes of their roots, and of ids that had none, were joined as ``found`` says."""
+    if roots is None:
+        return found
+    moved = found.select(F.col("id").alias("_o"), F.col("root").alias("_r"))
+    old = roots.join(moved, F.col("root") == F.col("_o"), "left").select("id", F.coalesce("_r", "root").alias("root"))
+    return stored(old.unionByName(found.join(roots.select("id"), "id", "left_anti").select("id", "root")))
+
+
 def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16, several: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``key`` and ``class_id``, the smallest key of its class.
 
-    Null and empty texts have no words and share one class. An id names one text: repeated rows get the same class. A null
+    Texts without words are copies only if they are the same, null and empty ones being the same text. An id names one text: repeated rows get the same class. A null
     id gets a null class and joins no class. Other columns are ignored. Empty tables give none.
     """
     spark = docs.sparkSession
@@ -339,8 +381,7 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     entries = stored(entries.join(shared, "bucket"))
     texts = own.where("id is not null")
-    links = tried = None
-    roots = None
+    tried = roots = None
     rounds = 0
     while True:
         now = entries.withColumn("root", F.col("id"))
@@ -350,7 +391,7 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
             mixed = now.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("bucket")
             now = stored(now.join(mixed, "bucket"))
             entries = now.select("id", "n", "bucket")
-        if rounds == 3 or rounds == 2 and not any_new:
+        if rounds == 2:
             break
         order = F.struct((F.col("id") if rounds == 0 else F.xxhash64("id", F.lit(rounds))).alias("turn"), "id", "n", "root")
         hubs = now.groupBy("bucket").agg(F.min(order).alias("hub")).select("bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.root").alias("hub_root"))
@@ -363,18 +404,16 @@ def classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketches: int = 16,
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         new = stored(verified(pairs, texts, k, least, 20_000 if rounds else 0))
-        any_new = not new.isEmpty()
-        links = new if links is None else links.unionByName(new)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if any_new:
-            roots = components(links)
+        if not new.isEmpty():
+            roots = joined(roots, components(contracted(new, roots)))
         rounds += 1
     # The second round has compared the documents of a bucket of two; in all others every pair of different roots is compared.
     many = now.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 2").select("bucket")
     left = now.join(many, "bucket").join(reps.select("id", "keys"), "id")
     new = stored(compared(stored(left), texts, k, least))
     if not new.isEmpty():
-        roots = components(links.unionByName(new))
+        roots = joined(roots, components(contracted(new, roots)))
     result = rows.select("id", "digest").join(reps.select("digest", F.col("id").alias("rep")), "digest", "left")
     if roots is not None:
         result = result.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))

@@ -158,12 +158,47 @@ def test_many_pairs_are_verified_as_few(spark):
 
 def test_near_duplicates_odd_rows(spark):
     got = [(x.doc_id, x.class_id) for x in order_minhash.classes(odd(spark, "digest")).collect()]
-    assert Counter(got) == Counter([(None, None), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 5), (6, 6)])
+    assert Counter(got) == Counter([(None, None), (1, 1), (2, 1), (3, 3), (4, 4), (4, 4), (5, 5), (6, 6)])
     kept = order_minhash.keep_first(odd(spark, "id"))
-    assert Counter(x.doc_id for x in kept.collect()) == Counter([None, 1, 4, 5, 6])
+    assert Counter(x.doc_id for x in kept.collect()) == Counter([None, 1, 3, 4, 5, 6])
     assert order_minhash.classes(odd(spark).limit(0)).count() == 0
 
 
+def test_texts_without_words_are_copies_only_if_equal(spark):
+    rows = [(1, "---"), (2, "+++"), (3, "---"), (4, None), (5, ""), (6, " "), (7, "words"), (8, "WORDS!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id: x.class_id for x in order_minhash.classes(df).collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7}
+
+
+def test_forest_links_the_same_rows_with_few_links():
+    r = random.Random(3)
+    for _ in range(50):
+        pairs = [(i, j) for i in range(30) for j in range(i) if r.random() < 0.3]
+        good = {p for p in pairs if r.random() < 0.3}
+        looked = []
+        found = order_minhash.forest(pairs, lambda i, j: looked.append((i, j)) or (i, j) in good)
+
+        def groups(links):
+            sets = {i: {i} for i in range(30)}
+            for i, j in links:
+                both = sets[i] | sets[j]
+                for x in both:
+                    sets[x] = both
+            return {frozenset(s) for s in sets.values()}
+
+        assert groups(found) == groups(good) and len(found) == 30 - len(groups(good)) and len(looked) <= len(pairs)
+
+
+def test_contracted_links_and_joined_roots(spark):
+    make = lambda rows, fields: spark.createDataFrame(rows, fields)
+    roots = make([(1, 1), (2, 1), (5, 5), (6, 5)], "id long, root long")
+    links = make([(2, 1), (6, 2), (6, 1), (5, 2), (9, 8), (8, 9)], "a long, b long")
+    few = order_minhash.contracted(links, roots)
+    assert sorted(map(tuple, few.collect())) == [(5, 1), (9, 8)]
+    done = order_minhash.joined(roots, order_minhash.components(few))
+    assert sorted(map(tuple, done.collect())) == [(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8)]
+
+
 # --- lines
 
 
