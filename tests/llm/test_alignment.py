@@ -125,6 +125,18 @@ def test_short_ranges_in_several_levels(spark, docs, want):
     assert Counter(map(tuple, A.align(df, BYTES, MODEL, long=60, length=500).collect())) == want
 
 
+def test_ranks_give_the_ids_of_the_file():
+    pair, library = A.tokenizers(BYTES, MODEL), Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
+    assert pair.ranked is not None
+    r = random.Random(21)
+    units = ["".join(r.choice(PARTS) for _ in range(r.randint(0, 25))) for _ in range(3000)] + [" " * 5000 + "x", "a" * 20_000, "\n" * 3000]
+    assert pair._first_ids(units) == [e.ids for e in library.encode_batch(units, add_special_tokens=False)]
+    other = A.Pair.__new__(A.Pair)
+    other.first, other.ranked = library, None
+    assert other._first_ids(units[:200]) == pair._first_ids(units[:200])
+
+
 def test_bounded_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(A, "CACHED", 3)
     pair = A.Pair(BYTES, MODEL)
