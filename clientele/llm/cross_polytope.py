@@ -100,7 +100,7 @@ def probes_for(functions: int, width: int, probes: int) -> int:
     return probes if functions == 1 else probes * (axes // 2) ** (functions - 1)
 
 
-def search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int = 16, probes: int = 4, bucket: int | None = None,
+def search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int = 16, probes: int = 6, bucket: int | None = None,
            block: int = 4096, seed: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row whose id is divisible by ``every``.
 

@@ -35,6 +35,16 @@ def test_recall_and_exact_scores(spark):
     assert hits / (10 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize("size", ["0.001", "0.01", "0.1"])
+def test_recall_at_every_given_size(spark, size):
+    """With production parameters, as the registered query runs."""
+    df = spark.read.parquet(f"/root/testdata/sf{size}/embeddings.parquet")
+    rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]
+    want = {(q, v) for q, own in brute(rows, 100, 10).items() for _, v, _ in own}
+    got = {(r.query_id, r.vec_id) for r in cross_polytope.search(df).collect()}
+    assert len(got) == len(want) and len(got & want) / len(want) >= 0.9
+
+
 def test_recall_is_the_same_with_joined_hashes(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]
