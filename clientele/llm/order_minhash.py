@@ -262,17 +262,18 @@ def forest(pairs: Iterable[tuple[int, int]], similar: Callable[[int, int], bool]
     return out
 
 
-def compared(entries: DataFrame, docs: DataFrame, k: int, least: float, block: int = 128) -> DataFrame:
+def compared(entries: DataFrame, docs: DataFrame, k: int, least: float, block: int = 512, volume: int = 400_000) -> DataFrame:
     """Of all pairs of different roots in a bucket similar ones that link the same documents as all of them: a forest of each
     unit. ``entries``: ``id``, ``n``, ``bucket``,
     ``root``, ``keys``; ``docs``: ``id``, ``text``.
 
     The rows of a bucket are cut into classes of length, so that similar texts are in the same or in neighbouring classes,
-    and classes into parts of about ``block`` rows. Two parts are a unit. Texts go only to units with pairs to compare.
+    and classes into parts of about ``block`` rows or ``volume`` k-mers, whichever is less. Two parts are a unit, which a task can
+    hold; a row goes to as many units as its class and the next have parts, so larger parts mean fewer copies of it. Texts go only to units with pairs to compare.
     """
     wide = max(1e-6, -log(max(least, 1e-9)) * 1.001)
     entries = entries.withColumn("size", F.floor(F.log("n") / wide).cast("int"))
-    cells = entries.groupBy("bucket", "size").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    cells = entries.groupBy("bucket", "size").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / volume)).cast("int").alias("parts"))
     cells = cells.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("size", "parts"))).alias("cells"))
     rows = entries.join(cells, "bucket")
     parts = lambda d: F.coalesce(F.try_element_at("cells", F.col("size") + d), F.lit(0))
