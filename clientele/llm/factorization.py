@@ -181,11 +181,30 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), m
         .select(F.xxhash64("k").alias("h"), "l", "t", *(f"m{i}" for i in range(len(metadata))))
         .mapInArrow(run, "h long, l int, ids array<long>, x array<double>, stats array<double>")
     )
-    rows = {}
-    for r in learned.toLocalIterator():
-        own = (tuple(r.ids), tuple(r.x), tuple(r.stats), r.l)
-        rows[r.h] = min(rows.get(r.h, own), own)
-    return fit([(np.array(i, np.int64), np.array(x), np.array(s), y) for _, (i, x, s, y) in sorted(rows.items())], settings, width)
+    return fit(_distinct(learned.toArrow()), settings, width)  # one job; at most the sample and its repeated rows
+
+
+def _distinct(learned: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Inputs and label of every key in the order of its hash; of repeated documents the one whose inputs come first."""
+    learned = learned.combine_chunks()
+    hashed, label = (learned.column(c).to_numpy() for c in ("h", "l"))
+
+    def parts(name: str) -> tuple[np.ndarray, np.ndarray]:
+        column = learned.column(name).combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        return column.values.to_numpy(), column.offsets.to_numpy()
+
+    (ids, at), (x, _), (stats, own) = parts("ids"), parts("x"), parts("stats")
+    rows: list[tuple] = []
+    last = None
+    for i in np.argsort(hashed, kind="stable").tolist():
+        row = ids[at[i] : at[i + 1]], x[at[i] : at[i + 1]], stats[own[i] : own[i + 1]], int(label[i])
+        if hashed[i] != last:
+            rows.append(row)
+        else:
+            rows[-1] = min(rows[-1], row, key=lambda r: (*(tuple(part.tolist()) for part in r[:3]), r[3]))
+        last = hashed[i]
+    return rows
 
 
 def score(docs: DataFrame, model: Model, metadata: tuple[str, ...] = ("n_chars",), key: str = "doc_id", text: str = "text",
