@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STATES, PAIRS, CHUNKS = 300_000, 400_000, 800_000  # bounds of the caches
+STATES, PAIRS, CHUNKS = 150_000, 200_000, 300_000  # bounds of the caches
 STREAM = 1 << 18  # bytes of ids that are decoded at a time, a multiple of 4
 NEVER = 1 << 60
 

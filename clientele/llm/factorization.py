@@ -67,7 +67,7 @@ class Features:
         for w in words:
             counts[w] = counts.get(w, 0) + 1
         hashes = self.hashes
-        if len(hashes) > 400_000:
+        if len(hashes) > 150_000:
             hashes.clear()
         ids = np.empty(len(counts), np.int64)
         for i, w in enumerate(counts):
