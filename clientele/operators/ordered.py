@@ -124,23 +124,26 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: str, name: str, ahead:
 def as_of_merge(facts: DataFrame, versions: DataFrame, key: str, day: str, start: str = "valid_from", most: int = ROWS) -> DataFrame:
     """Facts with the columns of the version of their key that started last, on their ``day`` or before.
 
-    Facts and versions are put into one order and every fact takes the last version before it, so the work is linear in
-    facts plus versions, however many versions a key has. (An equi join with a range condition compares every fact with all
-    versions of its key.) The versions of a key must not overlap: of several that started, only the last is looked at. Facts
-    with a NULL key or day, or from before the first version, are left out.
+    The moments of the facts, one row for each key and day, and the versions are put into one order, and every moment takes the
+    last version before it; the facts then meet their moment's version by equality. So the work is linear in facts plus versions,
+    however many versions a key has. (An equi join with a range condition compares every fact with all versions of its key.) The
+    facts themselves are never sorted by this, and shuffled only where their moments are too many for a broadcast. They are read
+    twice (once more if single moments are crowded): facts that come out of shuffles should be ``written`` first. The versions of
+    a key must not overlap: of several that started, only the last is looked at. Facts with a NULL key or day, or from before the
+    first version, are left out.
     """
     added = [c for c in versions.columns if c != key]
     clash = set(added) & set(facts.columns)
     if clash:
         raise ValueError(f"columns of both sides: {sorted(clash)}")
-    fact_type, version_type = facts.schema.simpleString(), versions.select(*added).schema.simpleString()
-    left = facts.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(day).alias("_at"), F.lit(1).alias("_side"), F.struct(*facts.columns).alias("_fact"),
-        F.lit(None).cast(version_type).alias("_version"),
+    version_type = versions.select(*added).schema.simpleString()
+    dated = facts.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(F.col(key).alias("_key"), F.col(day).alias("_at"))
+    left = written(dated.groupBy("_key", "_at").agg(F.count(F.lit(1)).alias("_n")), "moments").select(
+        "_key", "_at", F.lit(1).alias("_side"), "_n", F.lit(None).cast(version_type).alias("_version")
     )
     right = versions.where(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
         F.col(key).alias("_key"), F.col(start).cast(facts.schema[day].dataType).alias("_at"), F.lit(0).alias("_side"),
-        F.lit(None).cast(fact_type).alias("_fact"), F.struct(*added).alias("_version"),
+        F.lit(None).cast("long").alias("_n"), F.struct(*added).alias("_version"),
     )
     pieces = in_pieces(left.unionByName(right), ["_key"], ["_at", "_side"], most)
     before = pieces.window("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -149,5 +152,17 @@ def as_of_merge(facts: DataFrame, versions: DataFrame, key: str, day: str, start
         latest = F.max(F.when(F.col("_side") == 0, F.struct("_at", "_version")))["_version"].alias("_latest")
         far = F.last("_latest", ignorenulls=True).over(pieces.along()).alias("_far")
         merged = pieces.carry(merged, [latest], [far]).withColumn("_valid", F.coalesce("_valid", "_far"))
-    found = merged.where((F.col("_side") == 1) & F.col("_valid").isNotNull())
-    return found.select("_fact.*", *[F.col(f"_valid.`{c}`").alias(c) for c in added])
+    # Written, so that Spark knows before the join of the facts how large it is.
+    found = written(merged.where(F.col("_side") == 1).select("_key", "_at", "_n", "_valid"), "as_of")
+    same = (F.col(f"l.`{key}`") == F.col("r._key")) & (F.col(f"l.`{day}`") == F.col("r._at"))
+
+    def dated_by(some: DataFrame, moments: DataFrame) -> DataFrame:
+        both = some.alias("l").join(moments.alias("r"), same).where(F.col("r._valid").isNotNull())
+        return both.select(*[F.col(f"l.`{c}`") for c in facts.columns], *[F.col(f"r._valid.`{c}`").alias(c) for c in added])
+
+    # Moments with more facts than a task should hold, at most facts / most: their facts stay where they are.
+    crowded = F.broadcast(found.where(F.col("_n") > most))
+    if crowded.isEmpty():
+        return dated_by(facts, found)
+    rest = facts.alias("l").join(crowded.alias("r"), same, "left_anti")
+    return dated_by(facts, crowded).unionByName(dated_by(rest, found))

@@ -91,6 +91,59 @@ def test_as_of_merge_equals_the_range_join(spark, most):
         O.as_of_merge(f.withColumn("name", F.lit(1)), v, "k", "day")
 
 
+def crowded_days(spark, n=600):
+    """Facts of few keys and days, many on each; some before the first version, some twice, some without key or day."""
+    r = random.Random(6)
+    start = dt.date(2024, 1, 1)
+    rows = [(i, r.choice([1, 1, 1, 2, None]), r.choice([start + dt.timedelta(days=d) for d in (-3, 0, 0, 0, 4, 9)] + [None])) for i in range(n)]
+    versions = [(k, start + dt.timedelta(days=d), f"{k}-{d}") for k in (1, 2) for d in range(0, 12, k + 1)]
+    facts = spark.createDataFrame(rows + rows[:40], "i long, k long, day date").repartition(5)
+    want = Counter()
+    for i, k, day in rows + rows[:40]:
+        started = [(s, name) for key, s, name in versions if day and key == k and s <= day]
+        want.update([(i, k, day, *max(started))] if started else [])
+    return facts, spark.createDataFrame(versions, "k long, valid_from date, name string"), want
+
+
+@pytest.mark.parametrize("most", [3, 40, BIG])
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_as_of_merge_of_crowded_days(spark, most, broadcast):
+    facts, versions, want = crowded_days(spark)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = O.as_of_merge(facts, versions, "k", "day", most=most)
+        assert Counter(map(tuple, got.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+@pytest.mark.parametrize("most", [250, BIG])
+def test_as_of_merge_reads_facts_twice_and_never_sorts_them(spark, most):
+    facts, versions, want = crowded_days(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def look(i):
+        seen.add(1)
+        return True
+
+    # The row number of a fact is looked at in a filter, which every pass over the facts has to take.
+    got = O.as_of_merge(facts.where(look("i")), versions, "k", "day", most=most)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert Counter(map(tuple, got.collect())) == want
+    assert seen.value <= 2 * facts.count()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    assert O.as_of_merge(facts.limit(0), versions, "k", "day").count() == 0
+
+
+def test_as_of_query_shuffles_only_what_it_returns(spark):
+    from clientele.plans import QUERIES
+
+    plan = QUERIES["jn_asof_dense"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "Exchange hashpartitioning" not in plan
+
+
 def ts(hours):
     return dt.datetime(2024, 1, 1) + dt.timedelta(hours=hours)
 
